@@ -1,0 +1,241 @@
+"""Matching tables derived from the star-schema test tables (see FIXTURES.md).
+
+``ClinicalTables`` is also the batch form of the whole flow: each method is one table of the
+pipeline. Tables that several steps read are written to the workspace once.
+"""
+
+from __future__ import annotations
+
+from functools import cached_property
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from docmeld.operators.blocking import AUTH_RULES, MEMBER_RULES, candidate_pairs, stored_hot_blocks
+from docmeld.operators.documents import extract_fields, is_unreadable, structure_documents
+from docmeld.operators.expectations import apply_expectations, match_expectations, pair_expectations, structured_expectations
+from docmeld.operators.scoring import enrich_authorizations, fs_score, match_events, pair_features
+from docmeld.sources.tables import scan
+from docmeld.workspace import Workspace
+
+MEMBER_KEY = "concat('M', lpad(cast({} as string), 7, '0'))"
+
+
+def members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as members; SSN4 and birth date collide on purpose."""
+    customer, part = scan(spark, sf_dir, "customer"), scan(spark, sf_dir, "part")
+    return customer.join(part, F.col("p_partkey") == F.col("c_custkey")).selectExpr(
+        MEMBER_KEY.format("c_custkey") + " as member_id",
+        "split_part(p_name, ' ', 1) as first_name",
+        "split_part(p_name, ' ', 2) as last_name",
+        "lpad(cast((c_custkey * 7919) % 997 as string), 4, '0') as ssn4",
+        "date_add(date '1940-01-01', cast((c_custkey * 37) % 911 as int)) as dob",
+    )
+
+
+def authorizations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as authorizations."""
+    return scan(spark, sf_dir, "orders").selectExpr(
+        "concat('A', o_orderkey) as auth_id",
+        "concat('AUTH-', o_orderkey) as auth_number",
+        MEMBER_KEY.format("o_custkey") + " as member_id",
+        "o_orderstatus as status",
+        "o_orderpriority as provider_name",
+    )
+
+
+def forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One form per order: what it states about its member, with gaps and slips."""
+    orders = scan(spark, sf_dir, "orders").withColumn("member_id", F.expr(MEMBER_KEY.format("o_custkey")))
+    stated_dob = """
+        case when o_orderkey % 11 = 0 then null
+             when o_orderkey % 31 = 0 then '13/01/1980'
+             when o_orderkey % 13 = 0 then cast(date_add(dob, 1) as string)
+             else cast(dob as string) end"""
+    return orders.join(members(spark, sf_dir), "member_id").selectExpr(
+        "o_orderkey",
+        "member_id",
+        "concat('/docs/', o_orderkey, '.pdf') as path",
+        "o_orderdate + make_dt_interval(0, 0, cast(o_orderkey % 1440 as int)) as ingest_ts",
+        """case when o_orderkey % 17 = 0 then null
+                when o_orderkey % 4 = 0 then concat(substr(first_name, 1, 1), substr(first_name, 3))
+                else first_name end as first_name""",
+        "if(o_orderkey % 5 = 0, reverse(last_name), last_name) as last_name",
+        "if(o_orderkey % 7 = 0, null, ssn4) as ssn4",
+        stated_dob + " as dob",
+        "if(o_orderkey % 3 = 0, concat('AUTH-', o_orderkey), null) as auth_id",
+        "if(o_orderkey % 19 = 0, member_id, null) as member_id_on_form",
+        "o_orderpriority as provider_name",
+        "cast(o_orderdate as date) as received",
+    )
+
+
+def parsed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parse table: the forms, and every text of ``documents`` whole, as intake without labelled fields."""
+    lines = """
+        concat_ws('\n', concat('First name: ', first_name), concat('Last name: ', last_name),
+            concat('SSN4: ', ssn4), concat('DOB: ', dob), concat('Auth: ', auth_id),
+            concat('Member: ', member_id_on_form), concat('Provider: ', provider_name),
+            concat('Received: ', received))"""
+    from_forms = forms(spark, sf_dir).selectExpr(
+        "path",
+        "ingest_ts",
+        f"""case when o_orderkey % 29 = 0 then ''
+                 when o_orderkey % 23 = 0 then concat('Provider: ', provider_name)
+                 else {lines} end as raw_text""",
+        "if(o_orderkey % 29 = 0, 'CORRUPT', null) as parse_error_status",
+        "cast(1 + o_orderkey % 3 as int) as page_count",
+    )
+    from_documents = scan(spark, sf_dir, "documents").selectExpr(
+        "concat('/notes/', doc_id, '.tif') as path",
+        "timestamp_ntz '1995-01-01 00:00:00' + make_dt_interval(0, 0, cast(n_chars as int)) as ingest_ts",
+        "text as raw_text",
+        "cast(null as string) as parse_error_status",
+        "cast(1 + n_chars div 3000 as int) as page_count",
+    )
+    return (
+        from_forms.unionAll(from_documents)
+        .withColumns(
+            {
+                "doc_id": F.md5("path"),
+                "pipeline_run_ts": F.date_trunc("hour", "ingest_ts").cast("timestamp_ntz"),
+                "unreadable_flag": is_unreadable(F.col("parse_error_status"), F.col("raw_text")),
+            }
+        )
+        .select(
+            "path", "doc_id", "ingest_ts", "pipeline_run_ts", "raw_text",
+            "parse_error_status", "page_count", "unreadable_flag",
+        )
+    )
+
+
+class ClinicalTables:
+    """The tables of one batch run over a test-data folder."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, workspace: Workspace | None = None):
+        self.spark, self.sf_dir = spark, sf_dir
+        self.workspace = workspace or Workspace(spark)
+
+    @cached_property
+    def member(self) -> DataFrame:
+        return members(self.spark, self.sf_dir)
+
+    @cached_property
+    def auth(self) -> DataFrame:
+        return authorizations(self.spark, self.sf_dir)
+
+    @cached_property
+    def auth_with_member(self) -> DataFrame:
+        return enrich_authorizations(self.auth, self.member)
+
+    @cached_property
+    def parsed(self) -> DataFrame:
+        return parsed_documents(self.spark, self.sf_dir)
+
+    @cached_property
+    def curated(self) -> DataFrame:
+        """Parse table with extracted values; confidence is the share of lines that have text."""
+        lines = F.split("raw_text", "\n")
+        return extract_fields(self.parsed).select(
+            "doc_id",
+            "unreadable_flag",
+            F.col("fields")["dob"].alias("extracted_dob"),
+            F.col("fields")["ssn4"].alias("extracted_ssn4"),
+            (F.size(F.filter(lines, lambda x: x != "")) / F.size(lines)).alias("parse_confidence"),
+        )
+
+    @cached_property
+    def structured_unchecked(self) -> DataFrame:
+        return structure_documents(self.parsed)
+
+    @cached_property
+    def structured(self) -> DataFrame:
+        kept = apply_expectations(self.structured_unchecked, structured_expectations())
+        return self.workspace.store(kept, "structured")
+
+    @cached_property
+    def member_candidates(self) -> DataFrame:
+        hot = stored_hot_blocks(self.workspace, "member_hot", self.structured, self.member, MEMBER_RULES)
+        return candidate_pairs(self.structured, self.member, MEMBER_RULES, hot)
+
+    @cached_property
+    def auth_candidates(self) -> DataFrame:
+        auths = self.auth_with_member
+        hot = stored_hot_blocks(self.workspace, "auth_hot", self.structured, auths, AUTH_RULES)
+        return candidate_pairs(self.structured, auths, AUTH_RULES, hot)
+
+    @cached_property
+    def member_pairs(self) -> DataFrame:
+        return apply_expectations(pair_features(self.member_candidates, "member_id"), pair_expectations("member_id"))
+
+    @cached_property
+    def auth_pairs(self) -> DataFrame:
+        flags = {
+            "auth_number_exact": (F.col("l_auth_id") == F.col("r_auth_number")).cast("double"),
+            "provider_exact": (F.col("l_provider_name") == F.col("r_provider_name")).cast("double"),
+        }
+        features = pair_features(self.auth_candidates, "auth_id", **flags)
+        return apply_expectations(features, pair_expectations("auth_id", "_auth"))
+
+    def _scored(self, pairs: DataFrame, suffix: str) -> DataFrame:
+        scored = fs_score(pairs, scored_ts=F.col("pipeline_run_ts"))
+        return apply_expectations(scored, match_expectations(suffix))
+
+    @cached_property
+    def member_matches(self) -> DataFrame:
+        return self._scored(self.member_pairs, "")
+
+    @cached_property
+    def auth_matches(self) -> DataFrame:
+        return self._scored(self.auth_pairs, "_auth")
+
+    @cached_property
+    def match_events(self) -> DataFrame:
+        return match_events(self.member_matches, self.auth_matches)
+
+    def keep_pairs(self) -> ClinicalTables:
+        """Write both pair tables, for queries that read several tables derived from them."""
+        self.member_pairs = self.workspace.store(self.member_pairs, "member_pairs")
+        self.auth_pairs = self.workspace.store(self.auth_pairs, "auth_pairs")
+        return self
+
+    def as_mapping(self) -> dict[str, DataFrame]:
+        return {
+            "parsed": self.parsed,
+            "structured": self.structured,
+            "member_pairs": self.member_pairs,
+            "auth_pairs": self.auth_pairs,
+            "member_matches": self.member_matches,
+            "auth_matches": self.auth_matches,
+            "match_events": self.match_events,
+        }
+
+    @cached_property
+    def intake(self) -> DataFrame:
+        return scan(self.spark, self.sf_dir, "documents").select(
+            F.col("lang").alias("document_type"), F.col("source").alias("source_channel")
+        )
+
+    @cached_property
+    def parameters(self) -> DataFrame:
+        """m and u of both anchors, estimated from the tables.
+
+        m: share of forms stating their own member's value; u: chance that two members agree.
+        """
+        stated = forms(self.spark, self.sf_dir).selectExpr("member_id", "ssn4 as stated_ssn4", "dob as stated_dob")
+        own = stated.join(self.member, "member_id")
+        frames = []
+        for field in ("ssn4", "dob"):
+            agrees = F.count_if(F.col("stated_" + field) == F.col(field).cast("string"))
+            m = own.agg((agrees / F.count(F.lit(1))).alias("m_probability"))
+            sizes = self.member.groupBy(field).agg(F.count(F.lit(1)).alias("n"))
+            u = sizes.agg((F.sum(F.col("n") * F.col("n")) / (F.sum("n") * F.sum("n"))).alias("u_probability"))
+            both = m.unionByName(u, allowMissingColumns=True).agg(
+                F.max("m_probability").alias("m_probability"), F.max("u_probability").alias("u_probability")
+            )
+            frames.append(
+                both.select(
+                    F.lit(field).alias("field_name"), "m_probability", "u_probability",
+                    F.lit(1.0).alias("field_weight_multiplier"),
+                )
+            )
+        return frames[0].unionAll(frames[1])
