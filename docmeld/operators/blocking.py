@@ -51,25 +51,19 @@ def hot_blocks(left: DataFrame, right: DataFrame, rules: Sequence[Rule], rows_pe
     At most one block per ``rows_per_task`` input rows can be in the result.
     """
 
-    def oversize(df: DataFrame, columns: list[str], side: str) -> DataFrame:
-        parts = F.ceil(F.col("n") / rows_per_task).cast("int")
-        one = F.lit(1)
-        return (
-            _entries(df.select(*dict.fromkeys(columns)), columns, "c_")
-            .groupBy("rule", "key")
-            .agg(F.count(one).alias("n"))
-            .where(F.col("n") > rows_per_task)
-            .select(
-                "rule",
-                "key",
-                (parts if side == "left" else one).alias("left_parts"),
-                (parts if side == "right" else one).alias("right_parts"),
-            )
-        )
-
-    both = oversize(left, [r.left for r in rules], "left").unionAll(oversize(right, [r.right for r in rules], "right"))
-    return both.groupBy("rule", "key").agg(
-        F.max("left_parts").alias("left_parts"), F.max("right_parts").alias("right_parts")
+    def keys(df: DataFrame, columns: list[str], is_left: int) -> DataFrame:
+        entries = _entries(df.select(*dict.fromkeys(columns)), columns, "c_")
+        return entries.select("rule", "key", F.lit(is_left).alias("left"), F.lit(1 - is_left).alias("right"))
+
+    def parts(side: str) -> Column:
+        return F.greatest(F.ceil(F.col(side) / rows_per_task), F.lit(1)).cast("int").alias(f"{side}_parts")
+
+    both = keys(left, [r.left for r in rules], 1).unionAll(keys(right, [r.right for r in rules], 0))
+    return (
+        both.groupBy("rule", "key")
+        .agg(F.sum("left").alias("left"), F.sum("right").alias("right"))
+        .where((F.col("left") > rows_per_task) | (F.col("right") > rows_per_task))
+        .select("rule", "key", parts("left"), parts("right"))
     )
 
 

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from docmeld.config import MIN_TEXT_LENGTH
+from docmeld.functions.once import with_once
 
 Parser = Callable[[Column], Column]
 Extractor = Callable[[Column], Column]
@@ -79,16 +80,14 @@ def readable(parsed: DataFrame) -> DataFrame:
 
 
 def labelled_lines(text: Column) -> Column:
-    """All ``Label: value`` lines of the known labels, found in one pass over the text."""
+    """The ``Label: value`` lines of the known labels as a short text, found in one pass over the whole one."""
     labels = "|".join(FIELD_LABELS.values())
-    return F.regexp_extract_all(text, F.lit(rf"(?md)^(?:{labels}): [^\n]+"), F.lit(0))
+    return F.concat_ws("\n", F.regexp_extract_all(text, F.lit(rf"(?md)^(?:{labels}): [^\n]+"), F.lit(0)))
 
 
 def labelled_field(lines: Column, label: str) -> Column:
     """Value of the first line with that label, NULL without one."""
-    head = f"{label}: "
-    line = F.get(F.filter(lines, lambda x: F.startswith(x, F.lit(head))), F.lit(0))
-    return F.substring(line, F.lit(len(head) + 1), F.length(line))
+    return F.nullif(F.regexp_extract(lines, rf"(?md)^{label}: ([^\n]+)", 1), F.lit(""))
 
 
 def labelled_fields(lines: Column) -> Column:
@@ -107,12 +106,10 @@ def extract_fields(docs: DataFrame, extractor: Extractor | None = None) -> DataF
     without one the labelled lines of the form are read.
     """
     if extractor is not None:
-        return docs.withColumn("fields", json_fields(extractor(F.col("raw_text"))))
-    return (
-        docs.withColumn("lines", labelled_lines(F.col("raw_text")))
-        .withColumn("fields", labelled_fields(F.col("lines")))
-        .drop("lines")
-    )
+        replies = docs.withColumn("reply", extractor(F.col("raw_text")))
+        return with_once(replies, "fields", json_fields(F.col("reply"))).drop("reply")
+    lines = with_once(docs, "lines", labelled_lines(F.col("raw_text")))
+    return with_once(lines, "fields", labelled_fields(F.col("lines"))).drop("lines")
 
 
 def structure_documents(parsed: DataFrame, extractor: Extractor | None = None) -> DataFrame:

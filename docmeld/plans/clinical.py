@@ -14,7 +14,7 @@ from docmeld.operators.blocking import AUTH_RULES, MEMBER_RULES, candidate_pairs
 from docmeld.operators.documents import extract_fields, is_unreadable, structure_documents
 from docmeld.operators.expectations import apply_expectations, match_expectations, pair_expectations, structured_expectations
 from docmeld.operators.scoring import enrich_authorizations, fs_score, match_events, pair_features
-from docmeld.sources.tables import scan
+from docmeld.sources.tables import scan, spread
 from docmeld.workspace import Workspace
 
 MEMBER_KEY = "concat('M', lpad(cast({} as string), 7, '0'))"
@@ -34,7 +34,7 @@ def members(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def authorizations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as authorizations."""
-    return scan(spark, sf_dir, "orders").selectExpr(
+    return spread(scan(spark, sf_dir, "orders")).selectExpr(
         "concat('A', o_orderkey) as auth_id",
         "concat('AUTH-', o_orderkey) as auth_number",
         MEMBER_KEY.format("o_custkey") + " as member_id",
@@ -43,15 +43,15 @@ def authorizations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+def forms(spark: SparkSession, sf_dir: str, member: DataFrame) -> DataFrame:
     """One form per order: what it states about its member, with gaps and slips."""
-    orders = scan(spark, sf_dir, "orders").withColumn("member_id", F.expr(MEMBER_KEY.format("o_custkey")))
+    orders = spread(scan(spark, sf_dir, "orders")).withColumn("member_id", F.expr(MEMBER_KEY.format("o_custkey")))
     stated_dob = """
         case when o_orderkey % 11 = 0 then null
              when o_orderkey % 31 = 0 then '13/01/1980'
              when o_orderkey % 13 = 0 then cast(date_add(dob, 1) as string)
              else cast(dob as string) end"""
-    return orders.join(members(spark, sf_dir), "member_id").selectExpr(
+    return orders.join(member, "member_id").selectExpr(
         "o_orderkey",
         "member_id",
         "concat('/docs/', o_orderkey, '.pdf') as path",
@@ -69,14 +69,14 @@ def forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def parsed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def parsed_documents(spark: SparkSession, sf_dir: str, member: DataFrame) -> DataFrame:
     """Parse table: the forms, and every text of ``documents`` whole, as intake without labelled fields."""
     lines = """
         concat_ws('\n', concat('First name: ', first_name), concat('Last name: ', last_name),
             concat('SSN4: ', ssn4), concat('DOB: ', dob), concat('Auth: ', auth_id),
             concat('Member: ', member_id_on_form), concat('Provider: ', provider_name),
             concat('Received: ', received))"""
-    from_forms = forms(spark, sf_dir).selectExpr(
+    from_forms = forms(spark, sf_dir, member).selectExpr(
         "path",
         "ingest_ts",
         f"""case when o_orderkey % 29 = 0 then ''
@@ -85,7 +85,7 @@ def parsed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         "if(o_orderkey % 29 = 0, 'CORRUPT', null) as parse_error_status",
         "cast(1 + o_orderkey % 3 as int) as page_count",
     )
-    from_documents = scan(spark, sf_dir, "documents").selectExpr(
+    from_documents = spread(scan(spark, sf_dir, "documents")).selectExpr(
         "concat('/notes/', doc_id, '.tif') as path",
         "timestamp_ntz '1995-01-01 00:00:00' + make_dt_interval(0, 0, cast(n_chars as int)) as ingest_ts",
         "text as raw_text",
@@ -117,7 +117,7 @@ class ClinicalTables:
 
     @cached_property
     def member(self) -> DataFrame:
-        return members(self.spark, self.sf_dir)
+        return self.workspace.store(members(self.spark, self.sf_dir), "member")
 
     @cached_property
     def auth(self) -> DataFrame:
@@ -129,7 +129,7 @@ class ClinicalTables:
 
     @cached_property
     def parsed(self) -> DataFrame:
-        return parsed_documents(self.spark, self.sf_dir)
+        return parsed_documents(self.spark, self.sf_dir, self.member)
 
     @cached_property
     def curated(self) -> DataFrame:
@@ -221,7 +221,7 @@ class ClinicalTables:
 
         m: share of forms stating their own member's value; u: chance that two members agree.
         """
-        stated = forms(self.spark, self.sf_dir).selectExpr("member_id", "ssn4 as stated_ssn4", "dob as stated_dob")
+        stated = forms(self.spark, self.sf_dir, self.member).selectExpr("member_id", "ssn4 as stated_ssn4", "dob as stated_dob")
         own = stated.join(self.member, "member_id")
         frames = []
         for field in ("ssn4", "dob"):

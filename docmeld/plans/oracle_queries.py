@@ -242,6 +242,12 @@ ORACLE: dict[str, str] = {
                  ELSE 'SUCCESS' END AS status FROM ({_DQ})"""
             for hour, (u, d, s) in enumerate(((5, 20, 30), (15, 95, 95)))
         ), *_NEEDS_DQ),
+    "src_binary_stream": """SELECT page_id, strlen(html) + 1 AS length, md5(html || chr(10)) AS content_md5 FROM pages""",
+    "stream_structured": with_parts(f"SELECT {_TEXT_DOB} FROM structured", "structured"),
+    "stream_full_refresh": with_parts(f"SELECT {_TEXT_DOB} FROM structured", "structured"),
+    "stream_member_matches": with_parts("SELECT * FROM member_matches", "member_matches"),
+    "stream_auth_matches": with_parts("SELECT * EXCLUDE (auth_number_exact, provider_exact) FROM auth_matches", "auth_matches"),
+    "stream_match_events": with_parts("SELECT * FROM events_log", "events_log"),
     "publish_payload": with_parts(
         f"SELECT doc_id AS key, entity_id, entity_type, match_class, total_weight, scored_ts {_PUBLISHED}", "events_log"),
     "publish_status": with_parts(f"SELECT 'PUBLISHED' AS status, count(*) AS events, count(*) AS received {_PUBLISHED}", "events_log"),

@@ -7,16 +7,18 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from docmeld.config import DEMO_LIMITS, PRODUCTION_LIMITS
+from docmeld.config import DEMO_LIMITS, MAX_FILES_PER_TRIGGER, PRODUCTION_LIMITS
 from docmeld.functions.similarity import jaro, jaro_winkler
 from docmeld.operators import documents as docs
 from docmeld.operators import metrics, reports, scoring, validation
 from docmeld.operators.expectations import expectations_report, table_expectations
 from docmeld.operators.gates import QualityBreach, run_gates
 from docmeld.plans.clinical import ClinicalTables
+from docmeld.sources.files import binary_file_stream
 from docmeld.sources.logs import DQ_RESULTS_SCHEMA, LogTable, RunLog
 from docmeld.sources.publish import payload, publish, recent_events
-from docmeld.sources.tables import scan
+from docmeld.sources.tables import scan, spread
+from docmeld.streaming.pipeline import LINEAGE, Pipeline
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -40,7 +42,7 @@ def _as_text(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def _files(t: ClinicalTables) -> DataFrame:
-    return scan(t.spark, t.sf_dir, "documents").select(
+    return spread(scan(t.spark, t.sf_dir, "documents")).select(
         F.concat(F.lit("/notes/"), "doc_id", F.lit(".tif")).alias("path"), F.encode("text", "UTF-8").alias("content")
     )
 
@@ -111,7 +113,7 @@ def _business_pairs(t: ClinicalTables, similarity: Callable[[str, str], Column])
         scan(t.spark, t.sf_dir, "customer"), F.col("c_custkey") == F.col("o_custkey")
     )
     return (
-        scan(t.spark, t.sf_dir, "lineitem")
+        spread(scan(t.spark, t.sf_dir, "lineitem"))
         .join(buyers, F.col("o_orderkey") == F.col("l_orderkey"))
         .join(scan(t.spark, t.sf_dir, "supplier"), F.col("s_suppkey") == F.col("l_suppkey"))
         .select("l_orderkey", "l_linenumber", "c_name", "s_name", similarity("c_name", "s_name").alias("sim"))
@@ -257,6 +259,77 @@ def run_log_append(t: ClinicalTables) -> DataFrame:
     return log.read().select(F.col("run_ts").cast("timestamp_ntz").alias("run_ts"), "status")
 
 
+# Streaming
+
+
+def _pipeline(t: ClinicalTables) -> Pipeline:
+    """The flow as streams over a written parse table."""
+    schema = t.parsed.schema
+    t.workspace.store(t.parsed, "arriving")
+    arriving = t.spark.readStream.schema(schema).option("maxFilesPerTrigger", MAX_FILES_PER_TRIGGER)
+    return Pipeline(
+        t.spark,
+        t.workspace.path("pipeline"),
+        lambda: arriving.parquet(t.workspace.path("arriving")),
+        t.member,
+        t.auth,
+        scored_ts=F.col("pipeline_run_ts"),
+    )
+
+
+@query
+def src_binary_stream(t: ClinicalTables) -> DataFrame:
+    """Every page as a file of its own, taken in by the binary file stream."""
+    folder, landed = t.workspace.path("pages"), t.workspace.path("landed")
+    pages = spread(scan(t.spark, t.sf_dir, "pages"))
+    pages.select("page_id", F.col("html").alias("value")).write.partitionBy("page_id").text(folder)
+    stream = binary_file_stream(t.spark, folder, glob="*.{txt,TXT}", max_files=1000, recursive=True)
+    page_id = F.regexp_extract("path", "page_id=([0-9]+)", 1).cast("long")
+    arrived = stream.select(page_id.alias("page_id"), "length", F.md5("content").alias("content_md5"))
+    run = arrived.writeStream.format("parquet").option("checkpointLocation", t.workspace.path("pages_checkpoint"))
+    run.trigger(availableNow=True).start(landed).awaitTermination()
+    return t.spark.read.schema(arrived.schema).parquet(landed)
+
+
+@query
+def stream_structured(t: ClinicalTables) -> DataFrame:
+    """Two incremental runs: the second finds nothing new."""
+    pipeline = _pipeline(t)
+    pipeline.run(tables=LINEAGE["structured"])
+    pipeline.run(tables=LINEAGE["structured"])
+    return _as_text(pipeline.table("structured"), "dob")
+
+
+@query
+def stream_full_refresh(t: ClinicalTables) -> DataFrame:
+    """An incremental run, then everything once more from the start."""
+    pipeline = _pipeline(t)
+    pipeline.run(tables=LINEAGE["structured"])
+    pipeline.run("full", tables=LINEAGE["structured"])
+    return _as_text(pipeline.table("structured"), "dob")
+
+
+def _stream_table(t: ClinicalTables, name: str) -> DataFrame:
+    pipeline = _pipeline(t)
+    pipeline.run(tables=LINEAGE[name])
+    return pipeline.table(name)
+
+
+@query
+def stream_member_matches(t: ClinicalTables) -> DataFrame:
+    return _stream_table(t, "member_matches")
+
+
+@query
+def stream_auth_matches(t: ClinicalTables) -> DataFrame:
+    return _stream_table(t, "auth_matches")
+
+
+@query
+def stream_match_events(t: ClinicalTables) -> DataFrame:
+    return _stream_table(t, "match_events")
+
+
 # Publishing
 
 
