@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import DoubleType
 
 # Executors get the code of these functions with the task and need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -121,13 +122,13 @@ def _per_distinct_pair(scores, left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series(scores(texts_a[pairs // width], texts_b[pairs % width])[back])
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def jaro(left: pd.Series, right: pd.Series) -> pd.Series:
     """Jaro similarity of the strings as given; NULL counts as empty."""
     return _per_distinct_pair(jaro_scores, left, right)
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def jaro_winkler(left: pd.Series, right: pd.Series) -> pd.Series:
     """Jaro-Winkler similarity, NULL-safe."""
     return _per_distinct_pair(jaro_winkler_scores, left, right)

@@ -25,7 +25,7 @@ QUERIES: dict[str, Query] = {}
 
 # Fixed points in time, for repeatable results.
 TODAY = dt.date(2025, 1, 1)
-PUBLISH_AS_OF = dt.datetime(2001, 6, 1, 10, 30)
+PUBLISH_AS_OF = "2001-06-01 10:30:00"
 
 
 def query(build: Callable[[ClinicalTables], DataFrame]) -> Callable[[ClinicalTables], DataFrame]:
@@ -336,14 +336,14 @@ def stream_match_events(t: ClinicalTables) -> DataFrame:
 @query
 def publish_payload(t: ClinicalTables) -> DataFrame:
     fields = "entity_id string, entity_type string, match_class string, total_weight double, scored_ts timestamp_ntz"
-    messages = payload(recent_events(t.match_events, F.lit(PUBLISH_AS_OF)))
+    messages = payload(recent_events(t.match_events, F.lit(PUBLISH_AS_OF).cast("timestamp_ntz")))
     return messages.select("key", F.from_json("value", fields).alias("v")).select("key", "v.*")
 
 
 @query
 def publish_status(t: ClinicalTables) -> DataFrame:
     """Publish to a file sink; the number of events sent comes from the write itself."""
-    sent = publish(t.match_events, {"path": t.workspace.path("published")}, F.lit(PUBLISH_AS_OF), sink="json")
+    sent = publish(t.match_events, {"path": t.workspace.path("published")}, F.lit(PUBLISH_AS_OF).cast("timestamp_ntz"), sink="json")
     received = t.spark.read.schema("key string, value string").json(t.workspace.path("published"))
     return received.agg(F.count(F.lit(1)).alias("received")).select(
         F.lit(sent.status).alias("status"), F.lit(sent.events).cast("long").alias("events"), "received"

@@ -9,10 +9,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@cache
+def _local_root(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"docmeld-{application}-")
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder all executors see: ``spark.checkpoint.dir`` of the session.
 
@@ -22,9 +28,7 @@ def shared_root(spark: SparkSession) -> str:
     if root:
         return root.rstrip("/")
     if spark.sparkContext.master.startswith("local"):
-        root = tempfile.mkdtemp(prefix="docmeld-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        return root
+        return _local_root(spark.sparkContext.applicationId)
     raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
 
 
