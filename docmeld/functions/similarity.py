@@ -1,4 +1,4 @@
-"""Jaro and Jaro-Winkler similarity as vectorised Pandas UDFs.
+"""Jaro and Jaro-Winkler similarity as vectorised Arrow UDFs.
 
 A batch of pairs is scored as matrices of code points: one numpy step per character
 position handles all pairs of the batch at once, and a pair that occurs many times in the
@@ -11,9 +11,10 @@ import sys
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import SparkSession
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import DoubleType
 
 # Executors get the code of these functions with the task and need no copy of the package.
@@ -114,22 +115,24 @@ def jaro_winkler_scores(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return score
 
 
-def _per_distinct_pair(scores, left: pd.Series, right: pd.Series) -> pd.Series:
-    code_a, texts_a = pd.factorize(left.fillna("").to_numpy(dtype=object))
-    code_b, texts_b = pd.factorize(right.fillna("").to_numpy(dtype=object))
+def _per_distinct_pair(scores, left: pa.Array, right: pa.Array) -> pa.Array:
+    codes_a, codes_b = left.fill_null("").dictionary_encode(), right.fill_null("").dictionary_encode()
+    texts_a = codes_a.dictionary.to_numpy(zero_copy_only=False)
+    texts_b = codes_b.dictionary.to_numpy(zero_copy_only=False)
     width = max(len(texts_b), 1)
-    pairs, back = np.unique(code_a.astype(np.int64) * width + code_b, return_inverse=True)
-    return pd.Series(scores(texts_a[pairs // width], texts_b[pairs % width])[back])
+    combined = codes_a.indices.to_numpy().astype(np.int64) * width + codes_b.indices.to_numpy()
+    back, pairs = pd.factorize(combined)
+    return pa.array(scores(texts_a[pairs // width], texts_b[pairs % width])[back])
 
 
-@pandas_udf(DoubleType())
-def jaro(left: pd.Series, right: pd.Series) -> pd.Series:
+@arrow_udf(DoubleType())
+def jaro(left: pa.Array, right: pa.Array) -> pa.Array:
     """Jaro similarity of the strings as given; NULL counts as empty."""
     return _per_distinct_pair(jaro_scores, left, right)
 
 
-@pandas_udf(DoubleType())
-def jaro_winkler(left: pd.Series, right: pd.Series) -> pd.Series:
+@arrow_udf(DoubleType())
+def jaro_winkler(left: pa.Array, right: pa.Array) -> pa.Array:
     """Jaro-Winkler similarity, NULL-safe."""
     return _per_distinct_pair(jaro_winkler_scores, left, right)
 

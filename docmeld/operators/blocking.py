@@ -8,6 +8,7 @@ That needs no ``distinct``, hence no state, and is legal in an append-mode strea
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 from operator import or_
@@ -28,8 +29,8 @@ class Rule(NamedTuple):
 MEMBER_RULES = (Rule("ssn4", "ssn4"), Rule("dob", "dob"))
 AUTH_RULES = (Rule("auth_id", "auth_number"), Rule("member_id_on_form", "member_id"))
 
-# Rows of one side of a block that one task may hold; larger blocks are split.
-ROWS_PER_TASK = 100_000
+# Pairs of one block that one task may form; a block with more is split.
+PAIRS_PER_TASK = 5_000_000
 
 
 def _entries(df: DataFrame, columns: Sequence[str], prefix: str) -> DataFrame:
@@ -45,33 +46,42 @@ def _entries(df: DataFrame, columns: Sequence[str], prefix: str) -> DataFrame:
     )
 
 
-def hot_blocks(left: DataFrame, right: DataFrame, rules: Sequence[Rule], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Blocks with more than ``rows_per_task`` rows on a side, and into how many parts each side splits.
+def hot_blocks(left: DataFrame, right: DataFrame, rules: Sequence[Rule], pairs_per_task: int = PAIRS_PER_TASK) -> DataFrame:
+    """Blocks with more than ``pairs_per_task`` pairs, and into how many parts each side splits.
 
-    At most one block per ``rows_per_task`` input rows can be in the result.
+    The smaller side splits into parts of about the square root of that many rows, the larger
+    one as often as the rest needs; that keeps the copies few. A side without rows counts as one
+    row, so a key that very many rows of one side share is split even where it has no partner.
     """
 
     def keys(df: DataFrame, columns: list[str], is_left: int) -> DataFrame:
         entries = _entries(df.select(*dict.fromkeys(columns)), columns, "c_")
         return entries.select("rule", "key", F.lit(is_left).alias("left"), F.lit(1 - is_left).alias("right"))
 
-    def parts(side: str) -> Column:
-        return F.greatest(F.ceil(F.col(side) / rows_per_task), F.lit(1)).cast("int").alias(f"{side}_parts")
-
     both = keys(left, [r.left for r in rules], 1).unionAll(keys(right, [r.right for r in rules], 0))
+    rows = [F.greatest(F.sum(side), F.lit(1)).cast("double").alias(side) for side in ("left", "right")]
+    sizes = both.groupBy("rule", "key").agg(*rows)
+    is_smaller = F.col("left") <= F.col("right")
+    parts_small = F.ceil(F.least("left", "right") / math.isqrt(pairs_per_task))
+    parts_large = F.ceil(F.col("left") * F.col("right") / pairs_per_task / F.col("small"))
     return (
-        both.groupBy("rule", "key")
-        .agg(F.sum("left").alias("left"), F.sum("right").alias("right"))
-        .where((F.col("left") > rows_per_task) | (F.col("right") > rows_per_task))
-        .select("rule", "key", parts("left"), parts("right"))
+        sizes.where(F.col("left") * F.col("right") > pairs_per_task)
+        .withColumn("small", parts_small)
+        .withColumn("large", parts_large)
+        .select(
+            "rule",
+            "key",
+            F.when(is_smaller, F.col("small")).otherwise(F.col("large")).cast("long").alias("left_parts"),
+            F.when(is_smaller, F.col("large")).otherwise(F.col("small")).cast("long").alias("right_parts"),
+        )
     )
 
 
 def stored_hot_blocks(
-    workspace: Workspace, name: str, left: DataFrame, right: DataFrame, rules: Sequence[Rule], rows_per_task: int = ROWS_PER_TASK
+    workspace: Workspace, name: str, left: DataFrame, right: DataFrame, rules: Sequence[Rule], pairs_per_task: int = PAIRS_PER_TASK
 ) -> DataFrame | None:
     """The hot blocks as a written table, whose known size decides how it is joined; None if there are none."""
-    hot = workspace.store(hot_blocks(left, right, rules, rows_per_task), name)
+    hot = workspace.store(hot_blocks(left, right, rules, pairs_per_task), name)
     return None if hot.isEmpty() else hot
 
 
@@ -81,17 +91,17 @@ def _cells(entries: DataFrame, hot: DataFrame, row_id: list[str], side: str) ->
     A left row goes to its own row of the grid, a right row to its own column, so every pair
     meets in exactly one cell. Rows of other blocks stay in cell 0.
     """
-    left_parts = F.coalesce("left_parts", F.lit(1))
-    right_parts = F.coalesce("right_parts", F.lit(1))
+    one = F.lit(1).cast("long")
+    left_parts, right_parts = F.coalesce("left_parts", one), F.coalesce("right_parts", one)
     mine, others = (left_parts, right_parts) if side == "left" else (right_parts, left_parts)
-    part = F.pmod(F.xxhash64(*row_id), mine.cast("long")).cast("int")
+    part = F.pmod(F.xxhash64(*row_id), mine)
 
     def cell(x: Column) -> Column:
         return part * right_parts + x if side == "left" else x * right_parts + part
 
     return (
         entries.join(hot, ["rule", "key"], "left")
-        .withColumn("cell", F.explode(F.transform(F.sequence(F.lit(0), others - 1), cell)))
+        .withColumn("cell", F.explode(F.transform(F.sequence(F.lit(0).cast("long"), others - 1), cell)))
         .drop("left_parts", "right_parts")
     )
 

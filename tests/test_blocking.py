@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from docmeld.operators.blocking import AUTH_RULES, MEMBER_RULES, Rule, candidate_pairs, hot_blocks, stored_hot_blocks
+from docmeld.operators.blocking import _cells, _entries, AUTH_RULES, MEMBER_RULES, Rule, candidate_pairs, hot_blocks, stored_hot_blocks
 from docmeld.plans.clinical import ClinicalTables
 from docmeld.workspace import Workspace
 
@@ -32,28 +32,32 @@ def test_pairs_equal_the_or_of_the_rules_each_once(spark):
     assert len(got) == len(set(got)) and set(got) == expected
 
 
-@pytest.mark.parametrize("rows_per_task", [1, 7, 25, 50])
-def test_split_blocks_give_the_same_pairs(spark, rows_per_task):
+@pytest.mark.parametrize("pairs_per_task", [1, 9, 100, 400])
+def test_split_blocks_give_the_same_pairs(spark, pairs_per_task):
     left, right, expected = tables(spark)
-    hot = hot_blocks(left, right, MEMBER_RULES, rows_per_task)
+    hot = hot_blocks(left, right, MEMBER_RULES, pairs_per_task)
+    assert hot.count() > 0
     got = found(candidate_pairs(left, right, MEMBER_RULES, hot))
     assert len(got) == len(set(got)) and set(got) == expected
 
 
-def test_hot_blocks_count_both_sides(spark):
-    left = spark.createDataFrame([(i, "x") for i in range(30)] + [(99, "y"), (98, None)], "id int, k string")
-    right = spark.createDataFrame([(i, "y") for i in range(11)] + [(50, "x")], "id int, k string")
-    hot = {r.key: (r.left_parts, r.right_parts) for r in hot_blocks(left, right, [Rule("k", "k")], 10).collect()}
-    assert hot == {"x": (3, 1), "y": (1, 2)}
+def test_hot_blocks_weigh_both_sides(spark):
+    left = spark.createDataFrame([(i, "x") for i in range(300)] + [(i, "z") for i in range(200)] + [(99, "y"), (98, None)], "id int, k string")
+    right = spark.createDataFrame([(i, "y") for i in range(90)] + [(i, "x") for i in range(30)], "id int, k string")
+    hot = {r.key: (r.left_parts, r.right_parts) for r in hot_blocks(left, right, [Rule("k", "k")], 100).collect()}
+    assert hot == {"x": (30, 3), "z": (2, 1)}
 
 
 def test_one_block_with_a_third_of_all_rows(spark):
-    """The rows of a hot block end up in many cells, none holding more than a few parts of it."""
+    """The pairs of a hot block are spread over many cells of about the wanted size."""
     left = spark.range(3000).selectExpr("id", "if(id % 3 = 0, 'hot', cast(id as string)) as k")
     right = spark.range(300).selectExpr("id", "if(id % 3 = 0, 'hot', cast(id as string)) as k")
     rules = [Rule("k", "k")]
-    hot = hot_blocks(left, right, rules, 50)
-    assert hot.first().left_parts == 20 and hot.first().right_parts == 2
+    hot = hot_blocks(left, right, rules, 2500)
+    assert [(r.key, r.left_parts, r.right_parts) for r in hot.collect()] == [("hot", 20, 2)]
+    cells = _cells(_entries(left, ["k"], "l_"), hot, ["l_id", "l_k"], "left").where("key = 'hot'")
+    sizes = [r["count"] for r in cells.groupBy("cell").count().collect()]
+    assert len(sizes) == 40 and sum(sizes) == 2000 and max(sizes) < 100
     pairs = candidate_pairs(left, right, rules, hot)
     same = sum(1 for i in range(300) if i % 3)
     assert pairs.count() == 1000 * 100 + same
@@ -62,7 +66,7 @@ def test_one_block_with_a_third_of_all_rows(spark):
 
 def test_no_hot_blocks_is_none(spark):
     left, right, _ = tables(spark)
-    assert stored_hot_blocks(Workspace(spark), "hot", left, right, MEMBER_RULES, 1000) is None
+    assert stored_hot_blocks(Workspace(spark), "hot", left, right, MEMBER_RULES, 100_000) is None
     assert stored_hot_blocks(Workspace(spark), "hot", left, right, MEMBER_RULES, 10) is not None
 
 
