@@ -304,3 +304,23 @@ ORACLE: dict[str, str] = {
         f"""SELECT pipeline_run_ts::date::varchar AS batch_date, match_class, count(*) AS pair_count,
             {rounded('avg(total_weight)', 3)} AS avg_weight FROM member_matches GROUP BY ALL""", "member_matches"),
 }
+
+# Rows of each report view.
+ORACLE["refresh_views"] = with_parts(
+    "\nUNION ALL ".join(
+        f"SELECT '{view}' AS \"table\", {rows} AS rows"
+        for view, rows in {
+            "v_pipeline_kpis": "1",
+            "v_dq_metrics": "1",
+            "v_doc_match_status": "(SELECT count(*) FROM parsed)",
+            "v_match_summary": "(SELECT count(DISTINCT match_class) FROM member_matches)",
+            "v_score_distribution": f"(SELECT count(*) FROM ({_HISTOGRAM}))",
+            "v_auth_match_summary": "(SELECT count(DISTINCT match_class) FROM auth_matches)",
+            "v_intake_summary": "(SELECT count(DISTINCT (lang, source)) FROM documents)",
+            "v_batch_metrics": "(SELECT count(DISTINCT pipeline_run_ts::date) FROM parsed)",
+            "v_batch_extraction_metrics": "(SELECT count(DISTINCT pipeline_run_ts::date) FROM parsed WHERE NOT unreadable_flag)",
+            "v_batch_match_metrics": "(SELECT count(DISTINCT (pipeline_run_ts::date, match_class)) FROM member_matches)",
+        }.items()
+    ),
+    "parsed", "member_matches", "auth_matches",
+)

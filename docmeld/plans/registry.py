@@ -12,7 +12,7 @@ from docmeld.functions.similarity import jaro, jaro_winkler
 from docmeld.operators import documents as docs
 from docmeld.operators import metrics, reports, scoring, validation
 from docmeld.operators.expectations import expectations_report, table_expectations
-from docmeld.operators.gates import QualityBreach, run_gates
+from docmeld.operators.gates import QualityBreach, refresh_views, run_gates
 from docmeld.plans.clinical import ClinicalTables
 from docmeld.sources.files import binary_file_stream
 from docmeld.sources.logs import DQ_RESULTS_SCHEMA, LogTable, RunLog
@@ -403,5 +403,17 @@ VIEWS: dict[str, Callable[[ClinicalTables], DataFrame]] = {
     ),
     "v_batch_match_metrics": lambda t: _as_text(reports.batch_match_metrics(t.member_matches), "batch_date"),
 }
+
+
+@query
+def refreshed_views(t: ClinicalTables) -> DataFrame:
+    """Register all report views over stored pairs and count what each one shows."""
+    t.keep_pairs()
+    outcome = refresh_views(t.spark, {name: lambda view=view: view(t) for name, view in VIEWS.items()})
+    return validation.table_counts({n: t.spark.table(n) for n, state in outcome.items() if state == "REFRESHED"})
+
+
+QUERIES["refresh_views"] = QUERIES.pop("refreshed_views")
+
 for _name, _view in VIEWS.items():
     QUERIES[_name] = lambda spark, sf_dir, view=_view: view(ClinicalTables(spark, sf_dir))
