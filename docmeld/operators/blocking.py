@@ -38,10 +38,10 @@ def _entries(df: DataFrame, columns: Sequence[str], prefix: str) -> DataFrame:
     keys = F.array(
         *[F.struct(F.lit(i).alias("rule"), F.col(c).cast("string").alias("key")) for i, c in enumerate(columns)]
     )
-    given = F.filter(keys, lambda k: k["key"].isNotNull())
     return (
-        df.select(*[F.col(c).alias(prefix + c) for c in df.columns], F.explode(given).alias("k"))
+        df.select(*[F.col(c).alias(prefix + c) for c in df.columns], F.explode(keys).alias("k"))
         .select("*", F.col("k.rule").alias("rule"), F.col("k.key").alias("key"))
+        .where(F.col("key").isNotNull())
         .drop("k")
     )
 

@@ -7,7 +7,7 @@ from functools import reduce
 from operator import and_
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from docmeld.config import MATCH_CLASSES, POSSIBLE_THRESHOLD
 
@@ -50,7 +50,7 @@ def structured_expectations(today: Column | None = None) -> list[Expectation]:
         Expectation("doc_id_present", present("doc_id")),
         Expectation("has_extracted_field", any_present("first_name", "last_name", "dob")),
         Expectation("valid_dob_format", dob.isNull() | dob.between(F.to_date(F.lit("1900-01-01")), today)),
-        Expectation("valid_ssn4_format", ssn4.isNull() | ssn4.rlike("^[0-9]{4}$")),
+        Expectation("valid_ssn4_format", ssn4.isNull() | ((F.length(ssn4) == 4) & ssn4.rlike("^[0-9]{4}$"))),
         Expectation("no_all_nulls", any_present("first_name", "last_name", "dob", "ssn4"), DROP),
     ]
 
@@ -87,7 +87,7 @@ def table_expectations(today: Column | None = None) -> dict[str, list[Expectatio
     }
 
 
-def apply_expectations(df: DataFrame, rules: Sequence[Expectation], name: str | None = None) -> DataFrame:
+def apply_expectations(df: DataFrame, rules: Sequence[Expectation], name: str | Observation | None = None) -> DataFrame:
     """Enforce the rules; with a ``name`` the violations are counted before any row is dropped.
 
     The counts are observed metrics of the query, per micro-batch in a stream. The fail rule

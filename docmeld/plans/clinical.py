@@ -125,7 +125,7 @@ class ClinicalTables:
 
     @cached_property
     def auth_with_member(self) -> DataFrame:
-        return enrich_authorizations(self.auth, self.member)
+        return self.workspace.store(enrich_authorizations(self.auth, self.member), "auth_with_member")
 
     @cached_property
     def parsed(self) -> DataFrame:
