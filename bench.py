@@ -14,7 +14,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docmeld.plans.clinical import ClinicalTables
+from docmeld.plans.derived import DerivedTables
 from docmeld.plans.registry import QUERIES
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -57,7 +57,7 @@ def seconds(build: Callable[[], DataFrame]) -> float:
     return round(time.perf_counter() - start, 3)
 
 
-def direct_shapes(t: ClinicalTables) -> dict[str, Callable[[], DataFrame]]:
+def direct_shapes(t: DerivedTables) -> dict[str, Callable[[], DataFrame]]:
     """The member lane as an OR join with a row-at-a-time similarity."""
 
     def plain_similarity(a: str | None, b: str | None) -> float:
@@ -106,7 +106,7 @@ def main() -> None:
         "sf": os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf"),
     }
     if os.environ.get("BENCH_SHAPES"):
-        tables = ClinicalTables(spark, SF_DIR)
+        tables = DerivedTables(spark, SF_DIR)
         tables.structured
         result["direct_shapes"] = {name: seconds(build) for name, build in direct_shapes(tables).items()}
     print(json.dumps(result))

@@ -1,6 +1,6 @@
 """Matching tables derived from the star-schema test tables (see FIXTURES.md).
 
-``ClinicalTables`` is also the batch form of the whole flow: each method is one table of the
+``DerivedTables`` is also the batch form of the whole flow: each method is one table of the
 pipeline. Tables that several steps read are written to the workspace once.
 """
 
@@ -108,7 +108,7 @@ def parsed_documents(spark: SparkSession, sf_dir: str, member: DataFrame) -> Dat
     )
 
 
-class ClinicalTables:
+class DerivedTables:
     """The tables of one batch run over a test-data folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, workspace: Workspace | None = None):
@@ -192,7 +192,7 @@ class ClinicalTables:
     def match_events(self) -> DataFrame:
         return match_events(self.member_matches, self.auth_matches)
 
-    def keep_pairs(self) -> ClinicalTables:
+    def keep_pairs(self) -> DerivedTables:
         """Write both pair tables, for queries that read several tables derived from them."""
         self.member_pairs = self.workspace.store(self.member_pairs, "member_pairs")
         self.auth_pairs = self.workspace.store(self.auth_pairs, "auth_pairs")

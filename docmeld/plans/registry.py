@@ -13,7 +13,7 @@ from docmeld.operators import documents as docs
 from docmeld.operators import metrics, reports, scoring, validation
 from docmeld.operators.expectations import expectations_report, table_expectations
 from docmeld.operators.gates import QualityBreach, refresh_views, run_gates
-from docmeld.plans.clinical import ClinicalTables
+from docmeld.plans.derived import DerivedTables
 from docmeld.sources.files import binary_file_stream
 from docmeld.sources.logs import DQ_RESULTS_SCHEMA, LogTable, RunLog
 from docmeld.sources.publish import payload, publish, recent_events
@@ -28,9 +28,9 @@ TODAY = dt.date(2025, 1, 1)
 PUBLISH_AS_OF = "2001-06-01 10:30:00"
 
 
-def query(build: Callable[[ClinicalTables], DataFrame]) -> Callable[[ClinicalTables], DataFrame]:
+def query(build: Callable[[DerivedTables], DataFrame]) -> Callable[[DerivedTables], DataFrame]:
     """Register a function of the derived tables under its own name."""
-    QUERIES[build.__name__] = lambda spark, sf_dir: build(ClinicalTables(spark, sf_dir))
+    QUERIES[build.__name__] = lambda spark, sf_dir: build(DerivedTables(spark, sf_dir))
     return build
 
 
@@ -41,14 +41,14 @@ def _as_text(df: DataFrame, *columns: str) -> DataFrame:
 # Documents
 
 
-def _files(t: ClinicalTables) -> DataFrame:
+def _files(t: DerivedTables) -> DataFrame:
     return spread(scan(t.spark, t.sf_dir, "documents")).select(
         F.concat(F.lit("/notes/"), "doc_id", F.lit(".tif")).alias("path"), F.encode("text", "UTF-8").alias("content")
     )
 
 
 @query
-def parse_documents(t: ClinicalTables) -> DataFrame:
+def parse_documents(t: DerivedTables) -> DataFrame:
     arrived = F.lit("2025-01-01 10:20:30").cast("timestamp_ntz")
     parsed = docs.parse_documents(_files(t), arrived=arrived)
     return parsed.select(
@@ -59,33 +59,33 @@ def parse_documents(t: ClinicalTables) -> DataFrame:
 
 
 @query
-def assemble_text(t: ClinicalTables) -> DataFrame:
+def assemble_text(t: DerivedTables) -> DataFrame:
     text = docs.assemble_text(docs.plain_text_parser(F.col("content")))
     return _files(t).withColumn("raw_text", text).select("path", F.md5("raw_text").alias("text_md5"))
 
 
 @query
-def unreadable_flag(t: ClinicalTables) -> DataFrame:
+def unreadable_flag(t: DerivedTables) -> DataFrame:
     return t.parsed.select("doc_id", "unreadable_flag")
 
 
 @query
-def readable_documents(t: ClinicalTables) -> DataFrame:
+def readable_documents(t: DerivedTables) -> DataFrame:
     return docs.readable(t.parsed).select("doc_id", F.md5("raw_text").alias("text_md5"))
 
 
 @query
-def extract_fields(t: ClinicalTables) -> DataFrame:
+def extract_fields(t: DerivedTables) -> DataFrame:
     return docs.extract_fields(docs.readable(t.parsed)).select("doc_id", "fields.*")
 
 
 @query
-def structure_documents(t: ClinicalTables) -> DataFrame:
+def structure_documents(t: DerivedTables) -> DataFrame:
     return _as_text(t.structured_unchecked, "dob")
 
 
 @query
-def expect_drop(t: ClinicalTables) -> DataFrame:
+def expect_drop(t: DerivedTables) -> DataFrame:
     return _as_text(t.structured, "dob")
 
 
@@ -93,21 +93,21 @@ def expect_drop(t: ClinicalTables) -> DataFrame:
 
 
 @query
-def enrich_auth(t: ClinicalTables) -> DataFrame:
+def enrich_auth(t: DerivedTables) -> DataFrame:
     return _as_text(t.auth_with_member, "dob")
 
 
 @query
-def candidate_pairs_member(t: ClinicalTables) -> DataFrame:
+def candidate_pairs_member(t: DerivedTables) -> DataFrame:
     return t.member_candidates.select(F.col("l_doc_id").alias("doc_id"), F.col("r_member_id").alias("member_id"))
 
 
 @query
-def candidate_pairs_auth(t: ClinicalTables) -> DataFrame:
+def candidate_pairs_auth(t: DerivedTables) -> DataFrame:
     return t.auth_candidates.select(F.col("l_doc_id").alias("doc_id"), F.col("r_auth_id").alias("auth_id"))
 
 
-def _business_pairs(t: ClinicalTables, similarity: Callable[[str, str], Column]) -> DataFrame:
+def _business_pairs(t: DerivedTables, similarity: Callable[[str, str], Column]) -> DataFrame:
     """Buyer and supplier name of every order line."""
     buyers = scan(t.spark, t.sf_dir, "orders").join(
         scan(t.spark, t.sf_dir, "customer"), F.col("c_custkey") == F.col("o_custkey")
@@ -120,39 +120,39 @@ def _business_pairs(t: ClinicalTables, similarity: Callable[[str, str], Column])
     )
 
 
-QUERIES["jaro"] = lambda spark, sf_dir: _business_pairs(ClinicalTables(spark, sf_dir), jaro)
-QUERIES["jaro_winkler"] = lambda spark, sf_dir: _business_pairs(ClinicalTables(spark, sf_dir), jaro_winkler)
+QUERIES["jaro"] = lambda spark, sf_dir: _business_pairs(DerivedTables(spark, sf_dir), jaro)
+QUERIES["jaro_winkler"] = lambda spark, sf_dir: _business_pairs(DerivedTables(spark, sf_dir), jaro_winkler)
 
 
 @query
-def pair_features_member(t: ClinicalTables) -> DataFrame:
+def pair_features_member(t: DerivedTables) -> DataFrame:
     return t.member_pairs
 
 
 @query
-def pair_features_auth(t: ClinicalTables) -> DataFrame:
+def pair_features_auth(t: DerivedTables) -> DataFrame:
     return t.auth_pairs
 
 
 @query
-def fs_score(t: ClinicalTables) -> DataFrame:
+def fs_score(t: DerivedTables) -> DataFrame:
     return t.member_matches.select(
         "doc_id", "member_id", "w_ssn4", "w_dob", "w_first", "w_last", "total_weight"
     )
 
 
 @query
-def fs_classify(t: ClinicalTables) -> DataFrame:
+def fs_classify(t: DerivedTables) -> DataFrame:
     return t.auth_matches.select("doc_id", "auth_id", "total_weight", "match_class")
 
 
 @query
-def match_events(t: ClinicalTables) -> DataFrame:
+def match_events(t: DerivedTables) -> DataFrame:
     return t.match_events
 
 
 @query
-def fs_parameters(t: ClinicalTables) -> DataFrame:
+def fs_parameters(t: DerivedTables) -> DataFrame:
     return scoring.fs_parameter_report(t.parameters)
 
 
@@ -160,7 +160,7 @@ def fs_parameters(t: ClinicalTables) -> DataFrame:
 
 
 @query
-def expectations(t: ClinicalTables) -> DataFrame:
+def expectations(t: DerivedTables) -> DataFrame:
     t.keep_pairs()
     tables = {**t.as_mapping(), "structured": t.structured_unchecked}
     report = None
@@ -174,58 +174,58 @@ QUERIES["expectations_report"] = QUERIES.pop("expectations")
 
 
 @query
-def table_counts(t: ClinicalTables) -> DataFrame:
+def table_counts(t: DerivedTables) -> DataFrame:
     return validation.table_counts(t.keep_pairs().as_mapping())
 
 
 @query
-def duplicate_doc_ids(t: ClinicalTables) -> DataFrame:
+def duplicate_doc_ids(t: DerivedTables) -> DataFrame:
     """Documents with several candidate pairs."""
     return validation.duplicate_doc_ids(t.member_pairs)
 
 
 @query
-def orphan_structured(t: ClinicalTables) -> DataFrame:
+def orphan_structured(t: DerivedTables) -> DataFrame:
     """Structured documents (before the drop rule) that never became a member pair."""
     return validation.orphans(t.structured_unchecked, t.member_pairs)
 
 
 @query
-def missing_structured(t: ClinicalTables) -> DataFrame:
+def missing_structured(t: DerivedTables) -> DataFrame:
     return validation.missing_structured(t.parsed, t.structured)
 
 
 @query
-def validation_report(t: ClinicalTables) -> DataFrame:
+def validation_report(t: DerivedTables) -> DataFrame:
     return validation.validation_report(t.keep_pairs().as_mapping())
 
 
 @query
-def dq_metrics(t: ClinicalTables) -> DataFrame:
+def dq_metrics(t: DerivedTables) -> DataFrame:
     return metrics.dq_metrics(t.parsed, t.structured, t.member_matches)
 
 
 @query
-def dq_metrics_pairweighted(t: ClinicalTables) -> DataFrame:
+def dq_metrics_pairweighted(t: DerivedTables) -> DataFrame:
     return metrics.dq_metrics_pairweighted(t.parsed, t.structured, t.member_matches)
 
 
 @query
-def dq_gate(t: ClinicalTables) -> DataFrame:
+def dq_gate(t: DerivedTables) -> DataFrame:
     return metrics.dq_gate(dq_metrics(t), PRODUCTION_LIMITS)
 
 
 @query
-def dq_threshold_report(t: ClinicalTables) -> DataFrame:
+def dq_threshold_report(t: DerivedTables) -> DataFrame:
     return metrics.dq_threshold_report(t.parsed, t.structured)
 
 
 @query
-def dq_threshold_report_readable(t: ClinicalTables) -> DataFrame:
+def dq_threshold_report_readable(t: DerivedTables) -> DataFrame:
     return metrics.dq_threshold_report_readable(t.curated)
 
 
-def _metrics_log(t: ClinicalTables) -> DataFrame:
+def _metrics_log(t: DerivedTables) -> DataFrame:
     """A metrics log with one row per month of intake."""
     stamped = t.parsed.withColumn("month", F.date_trunc("month", "pipeline_run_ts").cast("timestamp_ntz"))
     rows = metrics.dq_metrics(stamped, t.structured, t.member_matches, batch="month")
@@ -236,17 +236,17 @@ def _metrics_log(t: ClinicalTables) -> DataFrame:
 
 
 @query
-def recent_runs(t: ClinicalTables) -> DataFrame:
+def recent_runs(t: DerivedTables) -> DataFrame:
     return metrics.recent_runs(_metrics_log(t), 20)
 
 
 @query
-def latest_dq_run(t: ClinicalTables) -> DataFrame:
+def latest_dq_run(t: DerivedTables) -> DataFrame:
     return metrics.latest_run(_metrics_log(t))
 
 
 @query
-def run_log_append(t: ClinicalTables) -> DataFrame:
+def run_log_append(t: DerivedTables) -> DataFrame:
     """Gate the run against the production and the demo limits; the log keeps both outcomes."""
     results = LogTable(t.spark, t.workspace.path("dq_run_results"), DQ_RESULTS_SCHEMA)
     log = RunLog(t.spark, t.workspace.path("pipeline_run_log"))
@@ -262,7 +262,7 @@ def run_log_append(t: ClinicalTables) -> DataFrame:
 # Streaming
 
 
-def _pipeline(t: ClinicalTables) -> Pipeline:
+def _pipeline(t: DerivedTables) -> Pipeline:
     """The flow as streams over a written parse table."""
     schema = t.parsed.schema
     t.workspace.store(t.parsed, "arriving")
@@ -278,7 +278,7 @@ def _pipeline(t: ClinicalTables) -> Pipeline:
 
 
 @query
-def src_binary_stream(t: ClinicalTables) -> DataFrame:
+def src_binary_stream(t: DerivedTables) -> DataFrame:
     """Every page as a file of its own, taken in by the binary file stream."""
     folder, landed = t.workspace.path("pages"), t.workspace.path("landed")
     pages = spread(scan(t.spark, t.sf_dir, "pages"))
@@ -292,7 +292,7 @@ def src_binary_stream(t: ClinicalTables) -> DataFrame:
 
 
 @query
-def stream_structured(t: ClinicalTables) -> DataFrame:
+def stream_structured(t: DerivedTables) -> DataFrame:
     """Two incremental runs: the second finds nothing new."""
     pipeline = _pipeline(t)
     pipeline.run(tables=LINEAGE["structured"])
@@ -301,7 +301,7 @@ def stream_structured(t: ClinicalTables) -> DataFrame:
 
 
 @query
-def stream_full_refresh(t: ClinicalTables) -> DataFrame:
+def stream_full_refresh(t: DerivedTables) -> DataFrame:
     """An incremental run, then everything once more from the start."""
     pipeline = _pipeline(t)
     pipeline.run(tables=LINEAGE["structured"])
@@ -309,24 +309,24 @@ def stream_full_refresh(t: ClinicalTables) -> DataFrame:
     return _as_text(pipeline.table("structured"), "dob")
 
 
-def _stream_table(t: ClinicalTables, name: str) -> DataFrame:
+def _stream_table(t: DerivedTables, name: str) -> DataFrame:
     pipeline = _pipeline(t)
     pipeline.run(tables=LINEAGE[name])
     return pipeline.table(name)
 
 
 @query
-def stream_member_matches(t: ClinicalTables) -> DataFrame:
+def stream_member_matches(t: DerivedTables) -> DataFrame:
     return _stream_table(t, "member_matches")
 
 
 @query
-def stream_auth_matches(t: ClinicalTables) -> DataFrame:
+def stream_auth_matches(t: DerivedTables) -> DataFrame:
     return _stream_table(t, "auth_matches")
 
 
 @query
-def stream_match_events(t: ClinicalTables) -> DataFrame:
+def stream_match_events(t: DerivedTables) -> DataFrame:
     return _stream_table(t, "match_events")
 
 
@@ -334,14 +334,14 @@ def stream_match_events(t: ClinicalTables) -> DataFrame:
 
 
 @query
-def publish_payload(t: ClinicalTables) -> DataFrame:
+def publish_payload(t: DerivedTables) -> DataFrame:
     fields = "entity_id string, entity_type string, match_class string, total_weight double, scored_ts timestamp_ntz"
     messages = payload(recent_events(t.match_events, F.lit(PUBLISH_AS_OF).cast("timestamp_ntz")))
     return messages.select("key", F.from_json("value", fields).alias("v")).select("key", "v.*")
 
 
 @query
-def publish_status(t: ClinicalTables) -> DataFrame:
+def publish_status(t: DerivedTables) -> DataFrame:
     """Publish to a file sink; the number of events sent comes from the write itself."""
     sent = publish(t.match_events, {"path": t.workspace.path("published")}, F.lit(PUBLISH_AS_OF).cast("timestamp_ntz"), sink="json")
     received = t.spark.read.schema("key string, value string").json(t.workspace.path("published"))
@@ -354,42 +354,42 @@ def publish_status(t: ClinicalTables) -> DataFrame:
 
 
 @query
-def match_distribution(t: ClinicalTables) -> DataFrame:
+def match_distribution(t: DerivedTables) -> DataFrame:
     return reports.match_distribution(t.member_matches)
 
 
 @query
-def score_histogram(t: ClinicalTables) -> DataFrame:
+def score_histogram(t: DerivedTables) -> DataFrame:
     return reports.score_histogram(t.member_matches)
 
 
 @query
-def event_volume(t: ClinicalTables) -> DataFrame:
+def event_volume(t: DerivedTables) -> DataFrame:
     return reports.event_volume(t.match_events)
 
 
 @query
-def doc_types(t: ClinicalTables) -> DataFrame:
+def doc_types(t: DerivedTables) -> DataFrame:
     return reports.group_counts(t.intake, "document_type")
 
 
 @query
-def intake_channels(t: ClinicalTables) -> DataFrame:
+def intake_channels(t: DerivedTables) -> DataFrame:
     return reports.group_counts(t.intake, "source_channel")
 
 
 @query
-def auth_status_share(t: ClinicalTables) -> DataFrame:
+def auth_status_share(t: DerivedTables) -> DataFrame:
     return reports.share_of_total(t.auth, "status")
 
 
 @query
-def risk_tiers(t: ClinicalTables) -> DataFrame:
+def risk_tiers(t: DerivedTables) -> DataFrame:
     return reports.risk_tiers(reports.doc_match_status(t.parsed, t.member_matches))
 
 
 # The report views of the dashboard.
-VIEWS: dict[str, Callable[[ClinicalTables], DataFrame]] = {
+VIEWS: dict[str, Callable[[DerivedTables], DataFrame]] = {
     "v_pipeline_kpis": lambda t: reports.pipeline_kpis(t.member, t.auth, t.curated, t.member_matches),
     "v_dq_metrics": lambda t: reports.dq_overview(t.curated),
     "v_doc_match_status": lambda t: reports.doc_match_status(t.parsed, t.member_matches),
@@ -406,7 +406,7 @@ VIEWS: dict[str, Callable[[ClinicalTables], DataFrame]] = {
 
 
 @query
-def refreshed_views(t: ClinicalTables) -> DataFrame:
+def refreshed_views(t: DerivedTables) -> DataFrame:
     """Register all report views over stored pairs and count what each one shows."""
     t.keep_pairs()
     outcome = refresh_views(t.spark, {name: lambda view=view: view(t) for name, view in VIEWS.items()})
@@ -416,4 +416,4 @@ def refreshed_views(t: ClinicalTables) -> DataFrame:
 QUERIES["refresh_views"] = QUERIES.pop("refreshed_views")
 
 for _name, _view in VIEWS.items():
-    QUERIES[_name] = lambda spark, sf_dir, view=_view: view(ClinicalTables(spark, sf_dir))
+    QUERIES[_name] = lambda spark, sf_dir, view=_view: view(DerivedTables(spark, sf_dir))

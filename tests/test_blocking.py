@@ -3,7 +3,7 @@ import random
 import pytest
 
 from docmeld.operators.blocking import _cells, _entries, AUTH_RULES, MEMBER_RULES, Rule, candidate_pairs, hot_blocks, stored_hot_blocks
-from docmeld.plans.clinical import ClinicalTables
+from docmeld.plans.derived import DerivedTables
 from docmeld.workspace import Workspace
 
 
@@ -77,7 +77,7 @@ def test_empty_string_is_a_key(spark):
 
 @pytest.mark.parametrize("rules", [MEMBER_RULES, AUTH_RULES])
 def test_plan_has_no_nested_loop_and_reads_only_needed_columns(spark, sf_dir, rules):
-    t = ClinicalTables(spark, sf_dir)
+    t = DerivedTables(spark, sf_dir)
     pairs = t.member_pairs if rules is MEMBER_RULES else t.auth_pairs
     plan = pairs._jdf.queryExecution().toString()
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
@@ -86,5 +86,5 @@ def test_plan_has_no_nested_loop_and_reads_only_needed_columns(spark, sf_dir, ru
 
 
 def test_similarity_is_computed_once_per_pair(spark, sf_dir):
-    physical = ClinicalTables(spark, sf_dir).member_matches._jdf.queryExecution().executedPlan().toString()
+    physical = DerivedTables(spark, sf_dir).member_matches._jdf.queryExecution().executedPlan().toString()
     assert physical.count("ArrowEvalPython") == 1

@@ -1,11 +1,14 @@
 """Every registered query against its SQL counterpart."""
 
 import math
+from functools import partial
 from pathlib import Path
 
 import duckdb
 import pytest
 
+from docmeld.operators.blocking import stored_hot_blocks
+from docmeld.plans import derived
 from docmeld.plans.oracle_queries import ORACLE
 from docmeld.plans.registry import QUERIES, VIEWS
 
@@ -45,6 +48,18 @@ def test_query_equals_sql(spark, sf_dir, duck, name):
     assert ours == theirs
 
 
+def test_events_are_the_same_with_every_block_split_and_no_broadcast(spark, sf_dir, duck, monkeypatch):
+    monkeypatch.setattr(derived, "stored_hot_blocks", partial(stored_hot_blocks, pairs_per_task=2))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = QUERIES["match_events"](spark, sf_dir)
+        rows = in_order(df.collect(), df.columns)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    cursor = duck.execute(ORACLE["match_events"])
+    assert rows == in_order(cursor.fetchall(), [c[0] for c in cursor.description])
+
+
 def test_entry(spark):
     import __spark_entry__
 
