@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from docmeld.functions.numeric import percent, round_half_up
+from docmeld.functions.rows import side_by_side
 
 
 def group_counts(df: DataFrame, column: str, alias: str | None = None) -> DataFrame:
@@ -61,19 +62,11 @@ def event_volume(events: DataFrame) -> DataFrame:
     )
 
 
-def _merge(*frames: DataFrame) -> DataFrame:
-    """One-row frames with different columns side by side."""
-    merged = frames[0]
-    for other in frames[1:]:
-        merged = merged.unionByName(other, allowMissingColumns=True)
-    return merged.agg(*[F.max(c).alias(c) for c in merged.columns])
-
-
 def pipeline_kpis(members: DataFrame, auths: DataFrame, curated: DataFrame, member_matches: DataFrame) -> DataFrame:
     """Table sizes, member matches by class, mean parse confidence of the readable documents."""
     rows = F.count(F.lit(1))
     match_class = F.col("match_class")
-    return _merge(
+    return side_by_side(
         members.agg(rows.alias("total_members")),
         auths.agg(rows.alias("total_authorizations")),
         curated.agg(

@@ -10,6 +10,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from docmeld.functions.rows import side_by_side
 from docmeld.operators.blocking import AUTH_RULES, MEMBER_RULES, candidate_pairs, stored_hot_blocks
 from docmeld.operators.documents import extract_fields, is_unreadable, structure_documents
 from docmeld.operators.expectations import apply_expectations, match_expectations, pair_expectations, structured_expectations
@@ -229,11 +230,8 @@ class DerivedTables:
             m = own.agg((agrees / F.count(F.lit(1))).alias("m_probability"))
             sizes = self.member.groupBy(field).agg(F.count(F.lit(1)).alias("n"))
             u = sizes.agg((F.sum(F.col("n") * F.col("n")) / (F.sum("n") * F.sum("n"))).alias("u_probability"))
-            both = m.unionByName(u, allowMissingColumns=True).agg(
-                F.max("m_probability").alias("m_probability"), F.max("u_probability").alias("u_probability")
-            )
             frames.append(
-                both.select(
+                side_by_side(m, u).select(
                     F.lit(field).alias("field_name"), "m_probability", "u_probability",
                     F.lit(1.0).alias("field_weight_multiplier"),
                 )

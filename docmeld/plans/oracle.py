@@ -99,13 +99,15 @@ _part("member_candidates", "structured", "member")("""
            m.member_id, m.first_name, m.last_name, m.ssn4, m.dob
     FROM structured d JOIN member m ON d.dob = m.dob AND (d.ssn4 IS NULL OR d.ssn4 <> m.ssn4)""")
 
-_part("auth_candidates", "structured", "auth_with_member")("""
-    SELECT d.doc_id, d.pipeline_run_ts, d.first_name AS df, d.last_name AS dl, d.ssn4 AS ds, d.dob AS dd,
+_AUTH_PAIR = """d.doc_id, d.pipeline_run_ts, d.first_name AS df, d.last_name AS dl, d.ssn4 AS ds, d.dob AS dd,
            a.auth_id, a.first_name AS ef, a.last_name AS el, a.ssn4 AS es, a.dob AS ed,
            (d.auth_id = a.auth_number)::int::double AS auth_number_exact,
-           (d.provider_name = a.provider_name)::int::double AS provider_exact
-    FROM structured d JOIN auth_with_member a
-      ON d.auth_id = a.auth_number OR d.member_id_on_form = a.member_id""")
+           (d.provider_name = a.provider_name)::int::double AS provider_exact"""
+_part("auth_candidates", "structured", "auth_with_member")(f"""
+    SELECT {_AUTH_PAIR} FROM structured d JOIN auth_with_member a ON d.auth_id = a.auth_number
+    UNION ALL
+    SELECT {_AUTH_PAIR} FROM structured d JOIN auth_with_member a
+      ON d.member_id_on_form = a.member_id AND (d.auth_id IS NULL OR d.auth_id <> a.auth_number)""")
 
 
 def _similarity(names: str, prefix: str) -> None:

@@ -28,9 +28,12 @@ TODAY = dt.date(2025, 1, 1)
 PUBLISH_AS_OF = "2001-06-01 10:30:00"
 
 
-def query(build: Callable[[DerivedTables], DataFrame]) -> Callable[[DerivedTables], DataFrame]:
-    """Register a function of the derived tables under its own name."""
-    QUERIES[build.__name__] = lambda spark, sf_dir: build(DerivedTables(spark, sf_dir))
+Build = Callable[[DerivedTables], DataFrame]
+
+
+def query(build: Build, name: str | None = None) -> Build:
+    """Register a function of the derived tables, under its own name if no other is given."""
+    QUERIES[name or build.__name__] = lambda spark, sf_dir: build(DerivedTables(spark, sf_dir))
     return build
 
 
@@ -120,8 +123,8 @@ def _business_pairs(t: DerivedTables, similarity: Callable[[str, str], Column])
     )
 
 
-QUERIES["jaro"] = lambda spark, sf_dir: _business_pairs(DerivedTables(spark, sf_dir), jaro)
-QUERIES["jaro_winkler"] = lambda spark, sf_dir: _business_pairs(DerivedTables(spark, sf_dir), jaro_winkler)
+query(lambda t: _business_pairs(t, jaro), "jaro")
+query(lambda t: _business_pairs(t, jaro_winkler), "jaro_winkler")
 
 
 @query
@@ -159,8 +162,7 @@ def fs_parameters(t: DerivedTables) -> DataFrame:
 # Quality
 
 
-@query
-def expectations(t: DerivedTables) -> DataFrame:
+def _expectations(t: DerivedTables) -> DataFrame:
     t.keep_pairs()
     tables = {**t.as_mapping(), "structured": t.structured_unchecked}
     report = None
@@ -170,7 +172,7 @@ def expectations(t: DerivedTables) -> DataFrame:
     return report
 
 
-QUERIES["expectations_report"] = QUERIES.pop("expectations")
+query(_expectations, "expectations_report")
 
 
 @query
@@ -389,7 +391,7 @@ def risk_tiers(t: DerivedTables) -> DataFrame:
 
 
 # The report views of the dashboard.
-VIEWS: dict[str, Callable[[DerivedTables], DataFrame]] = {
+VIEWS: dict[str, Build] = {
     "v_pipeline_kpis": lambda t: reports.pipeline_kpis(t.member, t.auth, t.curated, t.member_matches),
     "v_dq_metrics": lambda t: reports.dq_overview(t.curated),
     "v_doc_match_status": lambda t: reports.doc_match_status(t.parsed, t.member_matches),
@@ -405,15 +407,13 @@ VIEWS: dict[str, Callable[[DerivedTables], DataFrame]] = {
 }
 
 
-@query
-def refreshed_views(t: DerivedTables) -> DataFrame:
+def _refreshed_views(t: DerivedTables) -> DataFrame:
     """Register all report views over stored pairs and count what each one shows."""
     t.keep_pairs()
     outcome = refresh_views(t.spark, {name: lambda view=view: view(t) for name, view in VIEWS.items()})
     return validation.table_counts({n: t.spark.table(n) for n, state in outcome.items() if state == "REFRESHED"})
 
 
-QUERIES["refresh_views"] = QUERIES.pop("refreshed_views")
-
+query(_refreshed_views, "refresh_views")
 for _name, _view in VIEWS.items():
-    QUERIES[_name] = lambda spark, sf_dir, view=_view: view(DerivedTables(spark, sf_dir))
+    query(_view, _name)
