@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docmeld.llm import exact_dedup, language, licenses, mixing, packing, pii, toxicity
+from docmeld.llm import exact_dedup, fingerprint, language, lattice, licenses, mixing, ngram_join, packing, pii, toxicity
 from docmeld.llm.common import fold
 
-#: Vocabulary of the packing tokenizer.
-PACKING_VOCABULARY = "word_bpe_49k.json"
+#: Vocabularies: of the packing tokenizer, and of the scored pieces.
+PACKING_VOCABULARY, PIECES = "word_bpe_49k.json", "piece_bpe_32k.model"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,14 @@ def op1_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.neighbours(table(spark, sf_dir, "documents"))
+
+
+def op3_lattice_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.score(table(spark, sf_dir, "documents"), lattice.training_rows(), vocabulary(PIECES))
+
+
 def op4_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = language.predict(docs, language.fit(docs, language.training_rows()))
@@ -59,6 +67,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"), words=3, least=90)
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mixing.mix(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
@@ -70,7 +82,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_pii_spans, op4_language_mixture, op5_license_scan, op6_exact_dedup, op7_toxicity, op9_mixing, op10_packing)
+    for f in (
+        op1_pii_spans, op2_order_minhash, op3_lattice_score, op4_language_mixture, op5_license_scan,
+        op6_exact_dedup, op7_toxicity, op8_ngram_join, op9_mixing, op10_packing,
+    )
 }
 
 ORACLE = {
@@ -81,6 +96,24 @@ ORACLE = {
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
         FROM t WINDOW w AS (PARTITION BY t)
     """,
+    "op8_ngram_join": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+        ), s AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))
+                                                WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+            FROM w
+        ), n AS (
+            SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+        ), links AS (
+            SELECT a.doc_id AS a, b.doc_id AS b FROM s AS a JOIN s AS b ON a.s = b.s AND a.doc_id <> b.doc_id JOIN n AS na ON na.doc_id = a.doc_id JOIN n AS nb ON nb.doc_id = b.doc_id
+            GROUP BY a.doc_id, b.doc_id, na.n, nb.n HAVING 100 * count(*) >= 90 * (na.n + nb.n - count(*))
+        ), reach AS (
+            SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+        )
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, r.component_id
+        FROM documents AS d LEFT JOIN n ON n.doc_id = d.doc_id JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) AS r ON r.a = d.doc_id
+    """,
     # At the final level L the sources at or above their limit are those whose limit is at most L times their weight.
     # Adding sources in the order of limit over weight, the first that stays below its limit ends the list.
     "op9_mixing": r"""
