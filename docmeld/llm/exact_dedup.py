@@ -31,32 +31,35 @@ def normal(text: bytes) -> bytes:
     return text.lower()
 
 
-def _fingerprint(digest: bytes) -> int:
-    return int.from_bytes(digest[:8], "big") >> (64 - quotient.BITS)
+def _fingerprint(digest: bytes, bits: int) -> int:
+    return int.from_bytes(digest[:8], "big") >> (64 - bits)
 
 
-def _digests(batch: pa.RecordBatch) -> dict:
-    found = [hashlib.sha256(normal(t)) for t in text_bytes(batch["text"])]
-    return {
-        "doc_id": batch["doc_id"],
-        "fingerprint": pa.array([_fingerprint(d.digest()) for d in found], pa.int64()),
-        "text_sha256": [d.hexdigest() for d in found],
-    }
+def _digests(docs: DataFrame, bits: int) -> DataFrame:
+    def rows(batch: pa.RecordBatch) -> dict:
+        found = [hashlib.sha256(normal(t)) for t in text_bytes(batch["text"])]
+        return {
+            "doc_id": batch["doc_id"],
+            "fingerprint": pa.array([_fingerprint(d.digest(), bits) for d in found], pa.int64()),
+            "text_sha256": [d.hexdigest() for d in found],
+        }
 
+    return map_texts(docs, rows, "doc_id long, fingerprint long, text_sha256 string")
 
-def _texts(batch: pa.RecordBatch) -> dict:
-    texts = [normal(t) for t in text_bytes(batch["text"])]
-    return {
-        "doc_id": batch["doc_id"],
-        "fingerprint": pa.array([_fingerprint(hashlib.sha256(t).digest()) for t in texts], pa.int64()),
-        "normal": pa.array(texts, pa.binary()),
-    }
 
+def _texts(docs: DataFrame, bits: int) -> DataFrame:
+    def rows(batch: pa.RecordBatch) -> dict:
+        texts = [normal(t) for t in text_bytes(batch["text"])]
+        prints = pa.array([_fingerprint(hashlib.sha256(t).digest(), bits) for t in texts], pa.int64())
+        return {"doc_id": batch["doc_id"], "fingerprint": prints, "normal": pa.array(texts, pa.binary())}
 
-def repeated_fingerprints(ws: Workspace, prints: DataFrame) -> DataFrame:
+    return map_texts(docs, rows, "doc_id long, fingerprint long, normal binary")
+
+
+def repeated_fingerprints(ws: Workspace, prints: DataFrame, bits: int = quotient.BITS) -> DataFrame:
     """Stored (fingerprint) of those that occur in more than one row of ``prints``."""
     block_bits = max(1, min(16, (shuffle_partitions(ws.spark) - 1).bit_length()))
-    low = quotient.BITS - block_bits
+    low = bits - block_bits
 
     def filters(values: np.ndarray) -> Iterator[pd.DataFrame]:
         keys, counts = quotient.add_up(values, np.ones(len(values), np.int64))
@@ -87,19 +90,19 @@ def repeated_fingerprints(ws: Workspace, prints: DataFrame) -> DataFrame:
     return ws.store(parts.groupBy("block").applyInPandas(join, "fingerprint long"), "repeated")
 
 
-def duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bits: int = quotient.BITS) -> DataFrame:
     """Rows (doc_id, keep_id, group_size, kept, text_sha256), one for each row of ``docs``.
 
     Texts are equal if their bytes are, after lower-casing A-Z; null counts as empty. The row with the largest id
     of each group stays; a null id is smaller than any other, and alone or among nulls it stays. Rows that repeat
-    both id and text carry the same flags. Empty input gives no rows.
+    both id and text carry the same flags. Empty input gives no rows. Fingerprints have ``bits`` bits; fewer cost more comparing, not results.
     """
     ws = Workspace(docs.sparkSession)
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    rows = ws.store(map_texts(own, _digests, "doc_id long, fingerprint long, text_sha256 string"), "digests")
-    repeated = checked_broadcast(repeated_fingerprints(ws, rows), 8)
+    rows = ws.store(_digests(own, bits), "digests")
+    repeated = checked_broadcast(repeated_fingerprints(ws, rows, bits), 8)
     # texts that may have a copy, compared as bytes; equal ones meet in the task that read them before they move
-    texts = map_texts(own, _texts, "doc_id long, fingerprint long, normal binary").join(repeated, "fingerprint", "left_semi")
+    texts = _texts(own, bits).join(repeated, "fingerprint", "left_semi")
     groups = texts.groupBy("normal").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
     groups = groups.filter("group_size > 1").select(F.sha2("normal", 256).alias("text_sha256"), "keep_id", "group_size")
     groups = ws.store(groups, "groups").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
@@ -119,13 +122,13 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     kept = found.filter("kept").groupBy(F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha")).agg(F.count("*").alias("_kept_rows"))
     kept = ws.store(kept, "kept")
     # most rows have a text of their own: what goes is the shorter list
-    gone = ws.store(found.filter("not kept").select(F.col("doc_id").alias("_gone_id")).distinct(), "gone")
+    gone = ws.store(found.filter("not kept").select(F.col("doc_id").alias("__docmeld_gone")).distinct(), "gone")
     same = kept.filter("_kept_rows > 1 or _kept_id is null")
     some = same.limit(1).count() > 0
     # ids that occur with several texts, or not at all, need the text to tell rows apart
     mixed = found.groupBy("doc_id").agg(F.max("kept").alias("_any"), F.min("kept").alias("_all"), F.count("*").alias("_n")).filter("_n > 1 or doc_id is null")
     if not some and not mixed.limit(1).count():
-        return docs.join(checked_broadcast(gone, 8), F.col(doc_id) == F.col("_gone_id"), "left_anti")
+        return docs.join(checked_broadcast(gone, 8), F.col(doc_id) == F.col("__docmeld_gone"), "left_anti")
     names = {f"_c{i}": c for i, c in enumerate(docs.columns)}
     at = {c: k for k, c in names.items()}
     sha = F.sha2(F.translate(F.coalesce(F.col(at[text]), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz").cast("binary"), 256)

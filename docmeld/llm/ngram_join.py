@@ -229,5 +229,5 @@ def deduplicate(docs: DataFrame, words: int = 5, least: int = 80, doc_id: str =
     """``docs`` with one document of each group of linked ones: that of the smallest id. Rows that repeat an id are one document."""
     ws = Workspace(docs.sparkSession)
     found = join(docs, words, least, doc_id, text)
-    gone = ws.store(found.filter("doc_id is null or component_id <> doc_id").filter("component_id is not null").select(F.col("doc_id").alias("_gone_id")).distinct(), "gone")
-    return docs.join(checked_broadcast(gone, 8), F.col(doc_id).cast("long").eqNullSafe(F.col("_gone_id")), "left_anti")
+    gone = ws.store(found.filter("doc_id is null or component_id <> doc_id").filter("component_id is not null").select(F.col("doc_id").alias("__docmeld_gone")).distinct(), "gone")
+    return docs.join(checked_broadcast(gone, 8), F.col(doc_id).cast("long").eqNullSafe(F.col("__docmeld_gone")), "left_anti")

@@ -1,6 +1,6 @@
 """Counting quotient filters as plain arrays.
 
-A filter holds ``BITS``-bit fingerprints with counts. The upper bits of a fingerprint, its quotient, are not
+A filter holds fingerprints, ``BITS`` bits unless said otherwise, with counts. The upper bits of a fingerprint, its quotient, are not
 stored: one bit per quotient says that it occurs, one bit per entry that it ends its quotient's run, and the
 entries of a run lie in the order of their remainders. So entries are sorted by fingerprint, decoding gives
 every fingerprint back, and merging is a merge of sorted remainders that adds counts and loses nothing.
