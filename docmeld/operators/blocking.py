@@ -31,6 +31,8 @@ AUTH_RULES = (Rule("auth_id", "auth_number"), Rule("member_id_on_form", "member_
 
 # Pairs of one block that one task may form; a block with more is split.
 PAIRS_PER_TASK = 5_000_000
+# The list of hot blocks is broadcast up to this size, and looked up by salted keys beyond it.
+HOT_BROADCAST_BYTES, HOT_ROW_BYTES, LOOKUP_SALTS = 32 << 20, 128, 32
 
 
 def _entries(df: DataFrame, columns: Sequence[str], prefix: str) -> DataFrame:
@@ -85,11 +87,25 @@ def stored_hot_blocks(
     return None if hot.isEmpty() else hot
 
 
-def _cells(entries: DataFrame, hot: DataFrame, row_id: list[str], side: str) -> DataFrame:
+def _looked_up(entries: DataFrame, hot: DataFrame, row_id: list[str], limit: int) -> DataFrame:
+    """``entries`` with the parts of their block, NULL for blocks that are not hot.
+
+    The list is broadcast if its rows fit the limit. Beyond that both sides carry a salt, so that the rows of a hot key
+    are not brought together only to learn that they have to be spread.
+    """
+    if hot.count() * HOT_ROW_BYTES <= limit:
+        return entries.join(F.broadcast(hot), ["rule", "key"], "left")
+    salted = hot.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(LOOKUP_SALTS - 1))))
+    own = F.pmod(F.xxhash64(*row_id), F.lit(LOOKUP_SALTS)).cast("int")
+    return entries.withColumn("salt", own).join(salted, ["rule", "key", "salt"], "left").drop("salt")
+
+
+def _cells(entries: DataFrame, hot: DataFrame, row_id: list[str], side: str, limit: int) -> DataFrame:
     """Spread a hot block over a grid of left parts x right parts.
 
     A left row goes to its own row of the grid, a right row to its own column, so every pair
-    meets in exactly one cell. Rows of other blocks stay in cell 0.
+    meets in exactly one cell. Rows of other blocks stay in cell 0. The part is a hash of the whole row, so a task
+    that is run again puts its rows where they were; rows that are equal in every column share a part.
     """
     one = F.lit(1).cast("long")
     left_parts, right_parts = F.coalesce("left_parts", one), F.coalesce("right_parts", one)
@@ -100,24 +116,26 @@ def _cells(entries: DataFrame, hot: DataFrame, row_id: list[str], side: str) ->
         return part * right_parts + x if side == "left" else x * right_parts + part
 
     return (
-        entries.join(hot, ["rule", "key"], "left")
+        _looked_up(entries, hot, row_id, limit)
         .withColumn("cell", F.explode(F.transform(F.sequence(F.lit(0).cast("long"), others - 1), cell)))
         .drop("left_parts", "right_parts")
     )
 
 
-def candidate_pairs(left: DataFrame, right: DataFrame, rules: Sequence[Rule], hot: DataFrame | None = None) -> DataFrame:
+def candidate_pairs(
+    left: DataFrame, right: DataFrame, rules: Sequence[Rule], hot: DataFrame | None = None, hot_limit: int = HOT_BROADCAST_BYTES
+) -> DataFrame:
     """Pairs agreeing on any rule, each once; left columns come back as ``l_*``, right ones as ``r_*``.
 
     ``hot`` (see :func:`hot_blocks`) spreads oversize blocks over many tasks; the pairs are
-    the same with and without it.
+    the same with and without it. A list above ``hot_limit`` bytes is not broadcast.
     """
     lefts = _entries(left, [r.left for r in rules], "l_")
     rights = _entries(right, [r.right for r in rules], "r_")
     on = ["rule", "key"]
     if hot is not None:
-        lefts = _cells(lefts, hot, ["l_" + c for c in left.columns], "left")
-        rights = _cells(rights, hot, ["r_" + c for c in right.columns], "right")
+        lefts = _cells(lefts, hot, ["l_" + c for c in left.columns], "left", hot_limit)
+        rights = _cells(rights, hot, ["r_" + c for c in right.columns], "right", hot_limit)
         on.append("cell")
     pairs = lefts.join(rights, on, "inner")
     found_before = [

@@ -113,12 +113,17 @@ def extract_fields(docs: DataFrame, extractor: Extractor | None = None) -> DataF
 
 
 def structure_documents(parsed: DataFrame, extractor: Extractor | None = None) -> DataFrame:
-    """Typed identifiers of the readable documents, with their missing flags.
+    """Typed identifiers of the readable documents, with their missing flags."""
+    return typed_fields(extract_fields(readable(parsed), extractor))
+
+
+def typed_fields(extracted: DataFrame) -> DataFrame:
+    """Identifiers of documents whose ``fields`` are extracted.
 
     A date that does not parse becomes NULL but is not "missing"; an empty SSN4 is.
     """
     field = lambda name: F.col("fields")[name]
-    return extract_fields(readable(parsed), extractor).select(
+    return extracted.select(
         "doc_id",
         "path",
         "ingest_ts",

@@ -34,11 +34,15 @@ def any_present(*columns: str) -> Column:
     return F.coalesce(*[F.col(c).cast("string") for c in columns]).isNotNull()
 
 
-def parsed_expectations() -> list[Expectation]:
+# The names of the rules.
+
+
+def parsed_expectations(text: str = "raw_text") -> list[Expectation]:
+    """``text``: the text, or another column that is NULL where the text is."""
     return [
         Expectation("doc_id_present", present("doc_id")),
         Expectation("path_present", present("path")),
-        Expectation("raw_text_or_unreadable", present("raw_text") | F.col("unreadable_flag")),
+        Expectation("raw_text_or_unreadable", present(text) | F.col("unreadable_flag")),
         Expectation("valid_ingest_ts", present("ingest_ts")),
     ]
 
@@ -75,10 +79,10 @@ def match_expectations(suffix: str = "") -> list[Expectation]:
     ]
 
 
-def table_expectations(today: Column | None = None) -> dict[str, list[Expectation]]:
+def table_expectations(today: Column | None = None, text: str = "raw_text") -> dict[str, list[Expectation]]:
     """The expectations of each table of the pipeline."""
     return {
-        "parsed": parsed_expectations(),
+        "parsed": parsed_expectations(text),
         "structured": structured_expectations(today),
         "member_pairs": pair_expectations("member_id"),
         "auth_pairs": pair_expectations("auth_id", "_auth"),

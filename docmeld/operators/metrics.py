@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from docmeld.config import DEMO_LIMITS, PRODUCTION_LIMITS, QualityLimits
 from docmeld.functions.numeric import percent, round_half_up
 
+# Names of the metrics, and below of the checks in the threshold reports.
 METRIC_COLUMNS = (
     "total_docs", "pct_unreadable", "pct_missing_dob", "pct_missing_ssn4", "parse_errors",
     "pct_match", "pct_possible_match", "pct_non_match",
@@ -72,8 +73,15 @@ def _metrics(per_doc: DataFrame, batch: str | None, docs: Column, figures: dict[
     )
 
 
-def dq_metrics(parsed: DataFrame, structured: DataFrame, matches: DataFrame, batch: str | None = None) -> DataFrame:
-    """Metrics per document: each document counts once. With ``batch`` one row per value of that parsed column."""
+def dq_metrics(
+    parsed: DataFrame, structured: DataFrame, matches: DataFrame, batch: str | None = None, since: Column | None = None
+) -> DataFrame:
+    """Metrics per document: each document counts once. With ``batch`` one row per value of that parsed column.
+
+    ``since`` leaves out what earlier runs took in; the filter on the run stamp reaches the scans of all three tables.
+    """
+    if since is not None:
+        parsed, structured, matches = (df.where(F.col("pipeline_run_ts") >= since) for df in (parsed, structured, matches))
     per_doc = _per_document(parsed, structured, matches, batch)
     figures = {c: F.count_if(F.col(c) > 0) for c in ("unreadable", "no_dob", "no_ssn4", "errors")}
     pairs = {c: F.sum(c) for c in ("classed", "match", "possible_match", "non_match")}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from docmeld.functions.numeric import percent, round_half_up
 from docmeld.functions.rows import side_by_side
@@ -15,11 +15,8 @@ def group_counts(df: DataFrame, column: str, alias: str | None = None) -> DataFr
 
 
 def share_of_total(df: DataFrame, column: str) -> DataFrame:
-    """Rows per value and their share of all rows.
-
-    The window runs over the grouped rows, one per distinct value.
-    """
-    total = F.sum("cnt").over(Window.partitionBy())
+    """Rows per value and their share of all rows, whose number is a scalar subquery."""
+    total = df.agg(F.count(F.lit(1))).scalar()
     return (
         df.groupBy(column)
         .agg(F.count(F.lit(1)).alias("cnt"))
@@ -48,7 +45,7 @@ def match_distribution(matches: DataFrame) -> DataFrame:
 def score_histogram(matches: DataFrame) -> DataFrame:
     """Pairs per whole-number weight bucket and class."""
     return (
-        matches.groupBy(round_half_up(F.col("total_weight"), 0).alias("weight_bucket"), "match_class")
+        matches.groupBy(F.round("total_weight", 0).alias("weight_bucket"), "match_class")
         .agg(F.count(F.lit(1)).alias("pair_count"))
         .orderBy("weight_bucket", "match_class")
     )

@@ -32,6 +32,7 @@ _part("form", "member")(f"""
            o_orderdate + to_minutes(o_orderkey % 1440) AS ingest_ts,
            CASE WHEN o_orderkey % 17 = 0 THEN NULL
                 WHEN o_orderkey % 4 = 0 THEN substr(first_name, 1, 1) || substr(first_name, 3)
+                WHEN o_orderkey % 9 = 0 THEN ' ' || first_name || ' '
                 ELSE first_name END AS first_name,
            CASE WHEN o_orderkey % 5 = 0 THEN reverse(last_name) ELSE last_name END AS last_name,
            CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE ssn4 END AS ssn4,
@@ -147,10 +148,10 @@ def _similarity(names: str, prefix: str) -> None:
 
 
 _part("lane_names", "member_candidates", "auth_candidates")("""
-    SELECT lower(coalesce(df, '')) AS a, lower(ef) AS b FROM member_candidates
-    UNION SELECT lower(coalesce(dl, '')), lower(el) FROM member_candidates
-    UNION SELECT lower(coalesce(df, '')), lower(ef) FROM auth_candidates
-    UNION SELECT lower(coalesce(dl, '')), lower(el) FROM auth_candidates""")
+    SELECT lower(trim(coalesce(df, ''))) AS a, lower(trim(ef)) AS b FROM member_candidates
+    UNION SELECT lower(trim(coalesce(dl, ''))), lower(trim(el)) FROM member_candidates
+    UNION SELECT lower(trim(coalesce(df, ''))), lower(trim(ef)) FROM auth_candidates
+    UNION SELECT lower(trim(coalesce(dl, ''))), lower(trim(el)) FROM auth_candidates""")
 _similarity("lane_names", "lane")
 
 _part("business_pairs")("""
@@ -167,17 +168,21 @@ for _lane, _id, _extra in (("member", "member_id", ""), ("auth", "auth_id", ", a
         SELECT c.doc_id, c.{_id}, c.pipeline_run_ts, f.sim AS first_name_sim, l.sim AS last_name_sim,
                (ds = es)::int::double AS ssn4_exact, (dd = ed)::int::double AS dob_exact{_extra}
         FROM {_lane}_candidates c
-        JOIN lane_winkler f ON f.a = lower(coalesce(df, '')) AND f.b = lower(ef)
-        JOIN lane_winkler l ON l.a = lower(coalesce(dl, '')) AND l.b = lower(el)""")
-    _part(f"{_lane}_matches", f"{_lane}_pairs")(f"""
-        SELECT *, CASE WHEN total_weight >= 8 THEN 'match' WHEN total_weight >= 4 THEN 'possible_match'
+        JOIN lane_winkler f ON f.a = lower(trim(coalesce(df, ''))) AND f.b = lower(trim(ef))
+        JOIN lane_winkler l ON l.a = lower(trim(coalesce(dl, ''))) AND l.b = lower(trim(el))""")
+    _part(f"{_lane}_pairs_faulty", f"{_lane}_pairs")(f"""
+        SELECT * REPLACE (CASE WHEN regexp_extract({_id}, '([0-9]+)$', 1)::bigint % 97 <> 0 THEN {_id} END AS {_id}) FROM {_lane}_pairs""")
+    _scored = """
+        SELECT *, CASE WHEN total_weight >= {at} THEN 'match' WHEN total_weight >= 4 THEN 'possible_match'
                        ELSE 'non_match' END AS match_class, pipeline_run_ts AS scored_ts
         FROM (SELECT *, w_ssn4 + w_dob + w_first + w_last AS total_weight
               FROM (SELECT *, CASE WHEN ssn4_exact = 1 THEN 4.595::double ELSE -4.595::double END AS w_ssn4,
                            CASE WHEN dob_exact = 1 THEN 3.892::double ELSE -3.892::double END AS w_dob,
                            first_name_sim * 2.0::double - 1.0::double AS w_first,
                            last_name_sim * 2.0::double - 1.0::double AS w_last
-                    FROM {_lane}_pairs))""")
+                    FROM {pairs}))"""
+    _part(f"{_lane}_matches", f"{_lane}_pairs")(_scored.format(at=8, pairs=f"{_lane}_pairs"))
+    _part(f"{_lane}_matches_faulty", f"{_lane}_pairs_faulty")(_scored.format(at=2, pairs=f"{_lane}_pairs_faulty"))
 
 _EVENT = """doc_id, {} AS entity_id, '{}' AS entity_type, pipeline_run_ts, match_class, total_weight,
            w_ssn4, w_dob, w_first, w_last, scored_ts"""
@@ -199,6 +204,8 @@ def with_parts(query: str, *needs: str) -> str:
 
     for name in needs:
         add(name)
+    if not order:
+        return query
     return "WITH RECURSIVE " + ",\n".join(f"{n} AS ({PARTS[n][1]})" for n in order) + "\n" + query
 
 

@@ -23,7 +23,7 @@ def _expectations() -> str:
 
     def pairs(lane: str, suffix: str) -> list[str]:
         return rows(
-            f"{lane}_pairs", f"{lane}_pairs",
+            f"{lane}_pairs", f"{lane}_pairs_faulty",
             ("valid_pair", "drop", f"doc_id IS NOT NULL AND {lane}_id IS NOT NULL"),
             ("valid_similarity_scores" + suffix, "warn", "first_name_sim BETWEEN 0 AND 1 AND last_name_sim BETWEEN 0 AND 1"),
             ("valid_exact_flags" + suffix, "warn", "ssn4_exact IN (0, 1) AND dob_exact IN (0, 1)"),
@@ -31,7 +31,7 @@ def _expectations() -> str:
 
     def matches(lane: str, suffix: str) -> list[str]:
         return rows(
-            f"{lane}_matches", f"{lane}_matches",
+            f"{lane}_matches", f"{lane}_matches_faulty",
             ("valid_weight" + suffix, "warn", "total_weight IS NOT NULL"),
             ("valid_classification" + suffix, "warn", "match_class IN ('match', 'possible_match', 'non_match')"),
             ("weight_class_consistent" + suffix, "fail", "NOT (match_class = 'match' AND total_weight < 4)"),
@@ -157,7 +157,7 @@ def _weights(digits: int) -> str:
     return ", ".join(f"{rounded(f'{f}(total_weight)', digits)} AS {f}_weight" for f in ("avg", "min", "max"))
 
 
-_HISTOGRAM = f"""SELECT {rounded('total_weight', 0)} AS weight_bucket, match_class, count(*) AS pair_count
+_HISTOGRAM = f"""SELECT round(total_weight, 0) AS weight_bucket, match_class, count(*) AS pair_count
 FROM member_matches GROUP BY ALL"""
 
 ORACLE: dict[str, str] = {
@@ -176,6 +176,9 @@ ORACLE: dict[str, str] = {
     "extract_fields": with_parts(
         """SELECT doc_id, first_name, last_name, dob_text AS dob, ssn4, member_id_on_form, auth_id, provider_name
         FROM fields WHERE NOT unreadable_flag""", "fields"),
+    "extract_fields_json": with_parts(
+        """SELECT doc_id, first_name, last_name, dob_text AS dob, ssn4, member_id_on_form, auth_id, provider_name
+        FROM fields WHERE NOT unreadable_flag""", "fields"),
     "structure_documents": with_parts(f"SELECT {_TEXT_DOB} FROM structured_unchecked", "structured_unchecked"),
     "expect_drop": with_parts(f"SELECT {_TEXT_DOB} FROM structured", "structured"),
     "enrich_auth": with_parts(f"SELECT {_TEXT_DOB} FROM auth_with_member", "auth_with_member"),
@@ -187,6 +190,9 @@ ORACLE: dict[str, str] = {
     "jaro_winkler": with_parts(
         """SELECT l_orderkey, l_linenumber, x AS c_name, y AS s_name, sim
         FROM business_pairs JOIN folded_winkler ON a = lower(x) AND b = lower(y)""", "business_pairs", "folded_winkler"),
+    "jw_sim_sql": with_parts(
+        """SELECT l_orderkey, l_linenumber, x AS c_name, y AS s_name, sim
+        FROM business_pairs JOIN folded_winkler ON a = lower(x) AND b = lower(y)""", "business_pairs", "folded_winkler"),
     "pair_features_member": with_parts("SELECT * FROM member_pairs", "member_pairs"),
     "pair_features_auth": with_parts("SELECT * FROM auth_pairs", "auth_pairs"),
     "fs_score": with_parts(
@@ -204,15 +210,17 @@ ORACLE: dict[str, str] = {
                           FROM (SELECT count(*) AS n FROM member GROUP BY {f})) AS u)"""
             for f in ("ssn4", "dob")
         ), "form", "member"),
-    "expectations_report": with_parts(_expectations(), "parsed", "structured_unchecked", *_LANES),
+    "expectations_report": with_parts(
+        _expectations(), "parsed", "structured_unchecked", "member_pairs_faulty", "auth_pairs_faulty",
+        "member_matches_faulty", "auth_matches_faulty"),
     "table_counts": with_parts(
         "\nUNION ALL ".join(f"SELECT '{t}' AS \"table\", count(*) AS rows FROM {s}" for t, s in _TABLES.items()), *_LANES),
     "duplicate_doc_ids": with_parts(
         "SELECT doc_id, count(*) AS cnt FROM member_candidates GROUP BY 1 HAVING count(*) > 1", "member_candidates"),
     "orphan_structured": with_parts(
-        """SELECT doc_id, count(*) AS rows FROM structured_unchecked s
-        WHERE NOT EXISTS (SELECT 1 FROM member_candidates c WHERE c.doc_id = s.doc_id) GROUP BY 1""",
-        "structured_unchecked", "member_candidates"),
+        """SELECT doc_id, count(*) AS rows FROM structured s
+        WHERE NOT EXISTS (SELECT 1 FROM parsed p WHERE p.doc_id = s.doc_id AND p.path LIKE '/notes/%') GROUP BY 1""",
+        "structured", "parsed"),
     "missing_structured": with_parts(
         """SELECT doc_id, count(*) AS rows FROM parsed p WHERE NOT unreadable_flag
         AND NOT EXISTS (SELECT 1 FROM structured s WHERE s.doc_id = p.doc_id) GROUP BY 1""", "parsed", "structured"),
@@ -239,17 +247,22 @@ ORACLE: dict[str, str] = {
         "\nUNION ALL ".join(
             f"""SELECT TIMESTAMP '2025-01-01 0{hour}:00:00' AS run_ts,
             CASE WHEN pct_unreadable > {u} OR pct_missing_dob > {d} OR pct_missing_ssn4 > {s} THEN 'DQ_BREACH'
-                 ELSE 'SUCCESS' END AS status FROM ({_DQ})"""
-            for hour, (u, d, s) in enumerate(((5, 20, 30), (15, 95, 95)))
+                 ELSE 'SUCCESS' END AS status, true AS by_this_user FROM ({_DQ})"""
+            for hour, (u, d, s) in ((2, (5, 20, 30)), (4, (15, 95, 95)), (3, (5, 20, 30)), (2, (15, 95, 95)))
         ), *_NEEDS_DQ),
-    "src_binary_stream": """SELECT page_id, strlen(html) + 1 AS length, md5(html || chr(10)) AS content_md5 FROM pages""",
+    "run_history": with_parts(
+        f"""SELECT run_ts, CASE WHEN pct_missing_dob > 95 THEN 'DQ_BREACH' ELSE 'SUCCESS' END AS status, 'history' AS run_by
+        FROM ({_MONTHLY}) ORDER BY run_ts DESC LIMIT 20""", *_NEEDS_DQ),
+    "src_binary_stream": """
+        SELECT page_id // 20 AS lot, sum(strlen(html) + 1)::bigint AS length, md5(string_agg(html || chr(10), '' ORDER BY page_id)) AS content_md5
+        FROM pages GROUP BY 1""",
     "stream_structured": with_parts(f"SELECT {_TEXT_DOB} FROM structured", "structured"),
     "stream_full_refresh": with_parts(f"SELECT {_TEXT_DOB} FROM structured", "structured"),
     "stream_member_matches": with_parts("SELECT * FROM member_matches", "member_matches"),
     "stream_auth_matches": with_parts("SELECT * EXCLUDE (auth_number_exact, provider_exact) FROM auth_matches", "auth_matches"),
     "stream_match_events": with_parts("SELECT * FROM events_log", "events_log"),
     "publish_payload": with_parts(
-        f"SELECT doc_id AS key, entity_id, entity_type, match_class, total_weight, scored_ts {_PUBLISHED}", "events_log"),
+        f"SELECT doc_id AS key, * {_PUBLISHED}", "events_log"),
     "publish_status": with_parts(f"SELECT 'PUBLISHED' AS status, count(*) AS events, count(*) AS received {_PUBLISHED}", "events_log"),
     "match_distribution": with_parts(f"SELECT match_class, count(*) AS cnt, {_weights(2)} FROM member_matches GROUP BY 1", "member_matches"),
     "score_histogram": with_parts(_HISTOGRAM, "member_matches"),
@@ -305,22 +318,51 @@ ORACLE: dict[str, str] = {
             {rounded('avg(total_weight)', 3)} AS avg_weight FROM member_matches GROUP BY ALL""", "member_matches"),
 }
 
-# Rows of each report view.
-ORACLE["refresh_views"] = with_parts(
-    "\nUNION ALL ".join(
-        f"SELECT '{view}' AS \"table\", {rows} AS rows"
-        for view, rows in {
-            "v_pipeline_kpis": "1",
-            "v_dq_metrics": "1",
-            "v_doc_match_status": "(SELECT count(*) FROM parsed)",
-            "v_match_summary": "(SELECT count(DISTINCT match_class) FROM member_matches)",
-            "v_score_distribution": f"(SELECT count(*) FROM ({_HISTOGRAM}))",
-            "v_auth_match_summary": "(SELECT count(DISTINCT match_class) FROM auth_matches)",
-            "v_intake_summary": "(SELECT count(DISTINCT (lang, source)) FROM documents)",
-            "v_batch_metrics": "(SELECT count(DISTINCT pipeline_run_ts::date) FROM parsed)",
-            "v_batch_extraction_metrics": "(SELECT count(DISTINCT pipeline_run_ts::date) FROM parsed WHERE NOT unreadable_flag)",
-            "v_batch_match_metrics": "(SELECT count(DISTINCT (pipeline_run_ts::date, match_class)) FROM member_matches)",
-        }.items()
-    ),
-    "parsed", "member_matches", "auth_matches",
-)
+# Rows and checksum of each report view: its columns in order of their names, those with a point as numbers of six decimals.
+_VIEW_COLUMNS = {
+    "v_pipeline_kpis": "avg_confidence. high_confidence_matches possible_matches total_authorizations total_documents total_members",
+    "v_dq_metrics": "avg_parse_confidence. missing_dob_count missing_ssn4_count pct_missing_dob. pct_missing_ssn4. pct_unreadable. total_docs unreadable_count",
+    "v_doc_match_status": "best_class best_weight. doc_id doc_risk_tier unreadable_flag",
+    "v_match_summary": "avg_dob_agreement. avg_first_name_sim. avg_last_name_sim. avg_ssn4_agreement. avg_weight. candidate_count match_class max_weight. min_weight.",
+    "v_score_distribution": "match_class pair_count weight_bucket.",
+    "v_auth_match_summary": "auth_candidate_count avg_weight. direct_auth_matches match_class provider_npi_matches",
+    "v_intake_summary": "cnt document_type source_channel",
+    "v_batch_metrics": "batch_date docs_parsed unreadable",
+    "v_batch_extraction_metrics": "batch_date docs_extracted extraction_rate. missing_dob missing_ssn4",
+    "v_batch_match_metrics": "avg_weight. batch_date match_class pair_count",
+}
+
+
+def _checksum(view: str, columns: str) -> str:
+    values = ", ".join(
+        f"coalesce({c.rstrip('.')}::{'decimal(28, 6)' if c.endswith('.') else 'varchar'}::varchar, '-')" for c in columns.split()
+    )
+    return (
+        f"SELECT '{view}' AS \"table\", count(*) AS rows, sum(('0x' || substr(md5(concat_ws('|', {values})), 1, 8))::bigint)::bigint AS checksum"
+        f" FROM {view}"
+    )
+
+
+def _over_views() -> str:
+    """One WITH over the parts of all views and the views themselves."""
+    needs = ("parsed", "structured", "member", "auth", "curated", "member_matches", "auth_matches")
+    body = "\nUNION ALL ".join(_checksum(v, c) for v, c in _VIEW_COLUMNS.items())
+    parts = with_parts("", *needs)
+    # A view's own statement repeats its parts; only what follows them is taken.
+    tails = {v: ORACLE[v].removeprefix(with_parts("", *_VIEW_NEEDS[v])) for v in _VIEW_COLUMNS}
+    return parts.rstrip() + ",\n" + ",\n".join(f"{v} AS ({t})" for v, t in tails.items()) + "\n" + body
+
+
+_VIEW_NEEDS = {
+    "v_pipeline_kpis": ("member", "auth", "curated", "member_matches"),
+    "v_dq_metrics": ("curated",),
+    "v_doc_match_status": ("parsed", "member_matches"),
+    "v_match_summary": ("member_matches",),
+    "v_score_distribution": ("member_matches",),
+    "v_auth_match_summary": ("auth_matches",),
+    "v_intake_summary": (),
+    "v_batch_metrics": ("parsed",),
+    "v_batch_extraction_metrics": ("parsed", "structured"),
+    "v_batch_match_metrics": ("member_matches",),
+}
+ORACLE["refresh_views"] = _over_views()

@@ -26,11 +26,3 @@ SCHEMAS = {
 def scan(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[table]).parquet(f"{folder}/{table}.parquet")
 
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give a scan that has fewer splits than there are cores one part per core.
-
-    Such a table is small; a large one has splits enough and is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -7,6 +7,8 @@ re-read and not a second pass over the document texts, and the planner knows its
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from functools import cache
@@ -16,7 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 @cache
 def _local_root(application: str) -> str:
-    return tempfile.mkdtemp(prefix=f"docmeld-{application}-")
+    root = tempfile.mkdtemp(prefix=f"docmeld-{application}-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -32,6 +36,33 @@ def shared_root(spark: SparkSession) -> str:
     raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
 
 
+def _folder(spark: SparkSession, path: str):
+    """The file system that Spark uses for a path, and the path as it takes it."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it does not exist."""
+    fs, where = _folder(spark, path)
+    return [f.getPath().getName() for f in fs.listStatus(where)] if fs.exists(where) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all it holds; one that does not exist is no matter."""
+    fs, where = _folder(spark, path)
+    fs.delete(where, True)
+
+
+def set_modified(spark: SparkSession, path: str, millis: int) -> None:
+    """Give all files below a folder a time stamp, as a restored archive has."""
+    fs, where = _folder(spark, path)
+    files = fs.listFiles(where, True)
+    while files.hasNext():
+        fs.setTimes(files.next().getPath(), millis, -1)
+
+
 class Workspace:
     """One run's own folder under the shared root."""
 
@@ -47,3 +78,7 @@ class Workspace:
         path = self.path(name)
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
+
+    def remove(self) -> None:
+        """Delete the folder once nothing reads its tables any more."""
+        remove(self.spark, self.root)

@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from docmeld.config import DEMO_LIMITS, QualityLimits, parse_bytes
 from docmeld.operators.gates import QualityBreach, refresh_views, run_gates
@@ -177,6 +178,29 @@ def test_gates_log_success(spark, tmp_path):
     assert latest_run(results.read()).first().run_ts == dt.datetime(2025, 1, 2)
 
 
+def test_gate_judges_its_own_run(spark, tmp_path):
+    results, log, run = gates(spark, tmp_path, GOOD, QualityLimits(0, 0, 0))
+    clean = {**GOOD, "parsed": [("a", False, None), ("b", False, None)], "structured": [("a", False, False), ("b", False, False)]}
+    _, _, run_clean = gates(spark, tmp_path, clean, QualityLimits(0, 0, 0))
+    run_clean(dt.datetime(2030, 1, 1))
+    for stamp in (dt.datetime(2025, 1, 1), dt.datetime(2030, 1, 1), dt.datetime(2030, 1, 1)):
+        with pytest.raises(QualityBreach):
+            run(stamp)
+    run_clean(dt.datetime(2025, 1, 1))
+    assert sorted((r.run_ts.year, r.status) for r in log.read().collect()) == [
+        (2025, "DQ_BREACH"), (2025, "SUCCESS"), (2030, "DQ_BREACH"), (2030, "DQ_BREACH"), (2030, "SUCCESS"),
+    ]
+
+
+def test_metrics_since_a_time(spark):
+    stamp = lambda day: dt.datetime(2025, 1, day)
+    t = tables(spark, **GOOD)
+    days = spark.createDataFrame([("a", stamp(1)), ("b", stamp(3)), ("c", stamp(3))], "doc_id string, pipeline_run_ts timestamp")
+    parsed, structured, matches = (t[n].join(days, "doc_id") for n in ("parsed", "structured", "member_matches"))
+    row = dq_metrics(parsed, structured, matches, since=F.lit(stamp(2))).first()
+    assert (row.total_docs, row.pct_unreadable, row.pct_missing_dob, row.pct_possible_match) == (2, 50.0, 0.0, 100.0)
+
+
 def test_breach_is_logged_raised_and_stops_the_views(spark, tmp_path):
     built = []
     _, log, run = gates(spark, tmp_path, GOOD, DEMO_LIMITS, {"v": lambda: built.append(1)})
