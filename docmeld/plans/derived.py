@@ -220,7 +220,7 @@ class DerivedTables:
         tables = {}
         for lane, pairs in (("member", self.member_pairs), ("auth", self.auth_pairs)):
             entity = f"{lane}_id"
-            lost = F.regexp_extract(entity, "([0-9]+)$", 1).cast("long") % 97 == 0
+            lost = F.expr(f"substr({entity}, 2)").cast("long") % 97 == 0
             pairs = pairs.withColumn(entity, F.when(~lost, F.col(entity)))
             scored = fs_score(pairs, MatchWeights(match_at=FAULTY_MATCH_AT), scored_ts=F.col("pipeline_run_ts"))
             tables |= {f"{lane}_pairs": pairs, f"{lane}_matches": scored}

@@ -171,7 +171,7 @@ for _lane, _id, _extra in (("member", "member_id", ""), ("auth", "auth_id", ", a
         JOIN lane_winkler f ON f.a = lower(trim(coalesce(df, ''))) AND f.b = lower(trim(ef))
         JOIN lane_winkler l ON l.a = lower(trim(coalesce(dl, ''))) AND l.b = lower(trim(el))""")
     _part(f"{_lane}_pairs_faulty", f"{_lane}_pairs")(f"""
-        SELECT * REPLACE (CASE WHEN regexp_extract({_id}, '([0-9]+)$', 1)::bigint % 97 <> 0 THEN {_id} END AS {_id}) FROM {_lane}_pairs""")
+        SELECT * REPLACE (CASE WHEN substr({_id}, 2)::bigint % 97 <> 0 THEN {_id} END AS {_id}) FROM {_lane}_pairs""")
     _scored = """
         SELECT *, CASE WHEN total_weight >= {at} THEN 'match' WHEN total_weight >= 4 THEN 'possible_match'
                        ELSE 'non_match' END AS match_class, pipeline_run_ts AS scored_ts
