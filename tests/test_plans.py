@@ -16,7 +16,7 @@ def plan(df):
 @pytest.mark.parametrize("name", ["expectations_report", "orphan_structured", "v_pipeline_kpis", "dq_metrics", "validation_report"])
 def test_texts_are_read_and_extracted_once(spark, sf_dir, name):
     text = plan(QUERIES[name](spark, sf_dir))
-    assert "regexp_extract" not in text and "raw_text" not in text and "documents.parquet" not in text
+    assert "regexp_extract" not in text and "raw_text#" not in text and "documents.parquet" not in text
 
 
 @pytest.mark.parametrize("name", ["parse_documents", "extract_fields", "structure_documents", "jaro_winkler"])
