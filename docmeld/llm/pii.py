@@ -36,14 +36,18 @@ BEFORE, AFTER = 24, 8
 _BLOCK = 256
 
 
-def _prefix_sums(numbers: Column) -> Column:
-    """Sum of the numbers before each place, in blocks, so that the work per place is bounded."""
-    n = F.size(numbers)
+def _with_prefix_sums(rows: DataFrame, name: str, numbers: str) -> DataFrame:
+    """Column ``name``: the sum of the numbers before each place. Sums go by blocks, so that the work per place is bounded;
+    each step is a column of its own, as a lambda evaluates for each element all that it holds."""
+    none, n = F.array().cast("array<long>"), F.size(numbers)
     add = lambda part: F.aggregate(part, F.lit(0).cast("long"), lambda a, x: a + x)
     blocks = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / _BLOCK).cast("int")), lambda b: add(F.slice(numbers, b * _BLOCK + 1, _BLOCK)))
-    before = F.aggregate(blocks, F.array(F.lit(0).cast("long")), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x)))
-    place = lambda i: F.get(before, F.floor(i / _BLOCK).cast("int")) + add(F.slice(numbers, i - i % _BLOCK + 1, i % _BLOCK))
-    return F.transform(F.sequence(F.lit(0), n - 1), place)
+    rows = with_once(rows, "_blocks", F.when(n > 0, blocks).otherwise(none))
+    before = F.aggregate("_blocks", F.array(F.lit(0).cast("long")), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x)))
+    rows = with_once(rows, "_before", F.when(n > 0, before).otherwise(none))
+    place = lambda i: F.get("_before", F.floor(i / _BLOCK).cast("int")) + add(F.slice(numbers, i - i % _BLOCK + 1, i % _BLOCK))
+    sums = F.transform(F.sequence(F.lit(0), n - 1), place)
+    return with_once(rows, name, F.when(n > 0, sums).otherwise(none)).drop("_blocks", "_before")
 
 
 def _with_matches(rows: DataFrame, name: str, pattern: str, worth: Column) -> DataFrame:
@@ -55,8 +59,8 @@ def _with_matches(rows: DataFrame, name: str, pattern: str, worth: Column) -> Da
     rows = with_once(rows, "_m", F.when(worth, F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).otherwise(empty))
     rows = with_once(rows, "_gap", F.when(F.size("_m") > 0, F.transform(F.split("text", pattern, -1), lambda g: F.length(g).cast("long"))).otherwise(F.array().cast("array<long>")))
     step = F.transform(F.arrays_zip(F.slice("_gap", 1, F.size("_m")).alias("g"), F.col("_m").alias("m")), lambda x: x["g"] + F.length(x["m"]))
-    starts = F.when(F.size("_m") > 0, _prefix_sums(step))
-    rows = with_once(rows, "_start", F.coalesce(starts, F.array().cast("array<long>")))
+    rows = with_once(rows, "_step", F.when(F.size("_m") > 0, step).otherwise(F.array().cast("array<long>")))
+    rows = _with_prefix_sums(rows, "_start", "_step")
     spans = F.transform(
         F.sequence(F.lit(0), F.size("_m") - 1),
         lambda i: F.struct(
@@ -64,7 +68,7 @@ def _with_matches(rows: DataFrame, name: str, pattern: str, worth: Column) -> Da
         ),
     )
     none = F.array().cast("array<struct<s:bigint,e:bigint,m:string>>")
-    return with_once(rows, name, F.when(F.size("_m") > 0, spans).otherwise(none)).drop("_m", "_gap", "_start")
+    return with_once(rows, name, F.when(F.size("_m") > 0, spans).otherwise(none)).drop("_m", "_gap", "_step", "_start")
 
 
 def _digits(m: Column) -> Column:
@@ -98,7 +102,7 @@ def _bits(m: Column, before: Column, after: Column) -> Column:
         m.rlike(r"^[0-9]{4}[\x20-]?[0-9]{4}[\x20-]?[0-9]{4}[\x20-]?[0-9]{1,7}$"),
         m.rlike(r"@[A-Za-z0-9-]+([.][A-Za-z0-9-]+)*[.][A-Za-z]{2,}$"),
         F.forall(F.split(m, r"\x20?[.]\x20?"), lambda p: p.rlike("^[0-9]{1,3}$") & (p.cast("double") <= 255)),
-        before.rlike(r"(^|[\s:(])$") & after.rlike(r"^($|[\s.,;:!?)])"),
+        before.rlike(r"(^|[\s:(+])$") & after.rlike(r"^($|[\s.,;:!?)])"),
         word.rlike(r"(call|phone|tel|mobile|fax|contact)[^\n]*$"),
         word.rlike(r"(card|visa|credit|account|payment)[^\n]*$"),
         word.rlike(r"(mail|server|host|address|\bip\b)[^\n]*$"),
@@ -209,8 +213,8 @@ def joined(spans: Column) -> Column:
 
 def redact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows (doc_id, redacted) with every span replaced by its kind in brackets; where spans overlap, the first stays whole and what it covers goes."""
-    found = find(docs.select(F.struct(F.col(doc_id).alias("id"), F.col(text).alias("text")).alias("row"), F.col(text).alias("text")), "row", "text")
-    names, whole = F.array(*map(F.lit, KINDS)), F.coalesce(F.col("doc_id.text"), F.lit(""))
+    found = find(docs.select(F.struct(F.col(doc_id).alias("id"), F.col(text).alias("text")).alias("row"), F.col(text).alias("text")), "row", "text").withColumnRenamed("doc_id", "_row")
+    names, whole = F.array(*map(F.lit, KINDS)), F.coalesce(F.col("_row.text"), F.lit(""))
     start = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
 
     def step(a: Column, x: Column) -> Column:
@@ -218,4 +222,4 @@ def redact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
         return F.when(x["s"] >= a["at"], F.struct(piece.alias("out"), x["e"].alias("at"))).otherwise(F.struct(a["out"].alias("out"), F.greatest(a["at"], x["e"]).alias("at")))
 
     end = F.aggregate("spans", start, step, lambda a: F.concat(a["out"], F.substring(whole, (a["at"] + 1).cast("int"), F.length(whole))))
-    return found.select(F.col("doc_id.id").alias("doc_id"), end.alias("redacted"))
+    return found.select(F.col("_row.id").alias("doc_id"), end.alias("redacted"))
