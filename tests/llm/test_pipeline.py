@@ -1,0 +1,76 @@
+"""The pipeline against its stages done plainly, and the registered queries."""
+
+import random
+import sys
+from collections import Counter, defaultdict
+from pathlib import Path
+
+sys.path.insert(0, str(Path(__file__).parents[2]))
+
+import __spark_entry__  # noqa: E402
+import corpus_pipeline  # noqa: E402
+import duckdb  # noqa: E402
+import pytest  # noqa: E402
+from helpers import frame, lower, rows_of  # noqa: E402
+from test_duplicates import near_copies, plain_join  # noqa: E402
+from test_mixing_packing import plain_targets  # noqa: E402
+
+from docmeld.llm import queries  # noqa: E402
+
+
+@pytest.fixture(scope="module")
+def corpus():
+    rng = random.Random(12)
+    rows = [(i, t, f"s{i % 4}", "en") for i, t in near_copies(rng, 120)]
+    rows += [(2000 + k, r[1].upper(), "s1", "en") for k, r in enumerate(rng.sample(rows, 30))] + [(3000, None, None, None), (3001, "12 34", "s9", None), (3002, "", "s1", "en")]
+    return rows
+
+
+def test_pipeline_equals_its_stages_done_plainly(spark, tmp_path, corpus):
+    frame(spark, corpus).write.parquet(str(tmp_path / "documents.parquet"))
+    kept = [r for r in corpus if any(c.isalpha() for c in r[1] or "")]
+    by_text = defaultdict(list)
+    for r in kept:
+        by_text[lower(r[1])].append(r)
+    kept = [max(g) for g in by_text.values()]
+    alone = {i for i, _, c in plain_join(kept, 5, 80) if i == c}
+    kept = [r for r in kept if r[0] in alone]
+    size, target = plain_targets(kept)
+    found = rows_of(corpus_pipeline.run(spark, str(tmp_path)))
+    copies = Counter(r["doc_id"] for r in found if r["piece"] == 0)
+    assert set(copies) <= alone
+    for i, _, source, _ in kept:
+        rate = target[source] / size[source]
+        assert int(rate) <= copies[i] <= int(rate) + 1
+    filled = defaultdict(int)
+    for r in found:
+        filled[r["sequence_id"]] += r["length"]
+    assert max(filled.values()) <= 2048 and len(filled) <= -(-sum(filled.values()) // 2048) + 1
+
+
+def test_stages_hand_on_the_columns_of_documents(spark, tmp_path, corpus):
+    docs = frame(spark, corpus)
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["language_id", "exact_dedup", "ngram_jaccard_join", "mixing", "packing"]
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs, str(tmp_path)).columns == docs.columns
+
+
+def test_pipeline_of_nothing(spark, tmp_path):
+    frame(spark, []).write.parquet(str(tmp_path / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_all_queries_are_registered():
+    names = [n for n in __spark_entry__.queries() if n.startswith("op") and n[2].isdigit()]
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in __spark_entry__.queries()
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE))
+def test_queries_equal_their_sql(spark, sf_dir, name):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
+    cursor = con.execute(queries.ORACLE[name])
+    columns = [c[0] for c in cursor.description]
+    df = queries.QUERIES[name](spark, sf_dir)
+    assert sorted(df.columns) == sorted(columns)
+    assert sorted(map(tuple, df.select(columns).collect())) == sorted(cursor.fetchall())
