@@ -7,8 +7,9 @@ segments of the hash range whose content is equal, of which linked sets share on
 (``shingles.keys``). Below that, each bucket's points form an R-tree: boxes and then points whose summed minima are too
 small are passed over, and what survives is verified on the whole sets.
 
-Equal sets are one set from the start. Buckets are first joined to their smallest set; only buckets that are not yet
-connected by verified links are searched pair by pair, in cells of bounded size.
+Equal sets are one set from the start. Each set is first compared with the set that most of its buckets share most with.
+Buckets that verified links do not connect by then are searched by tree, in cells of bounded size, twice: at first only
+the likeliest pairs that would connect a cell's parts are verified, then every pair that is left between parts.
 """
 
 from __future__ import annotations
@@ -24,8 +25,8 @@ from docmeld.llm.common import checked_broadcast, chunks, components, map_texts,
 from docmeld.llm.shingles import digest, keys, shingle_set
 from docmeld.workspace import Workspace
 
-#: Groups that shingles are hashed to.
-GROUPS = 64
+#: Groups that shingles are hashed to, and how many of them the tree's boxes take together.
+GROUPS, FOLDED = 512, 8
 #: Points of a bucket in one part; a cell joins two parts.
 CELL = 2_000
 FANOUT = 32
@@ -37,7 +38,17 @@ _PAIRS = 1 << 15
 
 
 def group_counts(hashes: np.ndarray) -> np.ndarray:
-    return np.bincount((hashes & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS).astype(np.int32)
+    """Shingles per group, in the narrowest type that holds them."""
+    counts = np.bincount((hashes & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS)
+    return counts.astype(np.uint8 if counts.max() < 1 << 8 else np.uint16 if counts.max() < 1 << 16 else np.int32)
+
+
+def as_points(counts: list[bytes]) -> np.ndarray:
+    """Stored counts as rows of one array."""
+    kinds = {GROUPS: np.uint8, 2 * GROUPS: np.uint16, 4 * GROUPS: np.int32}
+    if {len(c) for c in counts} <= {GROUPS}:
+        return np.frombuffer(b"".join(counts), np.uint8).reshape(-1, GROUPS)
+    return np.stack([np.frombuffer(c, kinds[len(c)]).astype(np.int32) for c in counts])
 
 
 def _can_link(overlap: np.ndarray, sizes: np.ndarray, least: int) -> np.ndarray:
@@ -46,17 +57,19 @@ def _can_link(overlap: np.ndarray, sizes: np.ndarray, least: int) -> np.ndarray:
 
 
 def _minima(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    parts = [np.minimum(a[i[k : k + _PAIRS]], b[j[k : k + _PAIRS]]).sum(1) for k in range(0, len(i), _PAIRS)]
+    parts = [np.minimum(a[i[k : k + _PAIRS]], b[j[k : k + _PAIRS]]).sum(1, dtype=np.int64) for k in range(0, len(i), _PAIRS)]
     return np.concatenate(parts) if parts else np.empty(0, np.int64)
 
 
-def tree_pairs(points: np.ndarray, sizes: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs i < j of rows of ``points`` (counts per group, int) that may be linked, by descending an R-tree against itself.
+def tree_pairs(counts: np.ndarray, sizes: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs i < j of rows of ``counts`` that may be linked, and their bounds, by descending an R-tree against itself.
 
     Rows are packed by size and then by their fullest group, ``FANOUT`` to a node, nodes to nodes above; a node knows the
-    largest count per group and the smallest size below it.
+    largest count per group and the smallest size below it. Boxes and points are compared in groups taken together, and
+    the points that pass in all groups.
     """
     sizes = sizes.astype(np.int64)
+    points = counts.reshape(len(counts), FOLDED, -1).sum(1, dtype=np.int32)
     order = np.lexsort((points.argmax(1), sizes // np.maximum(1, sizes // 10 + 1)))
     floors = [(points[order], sizes[order])]
     while len(floors[-1][0]) > FANOUT:
@@ -78,8 +91,28 @@ def tree_pairs(points: np.ndarray, sizes: np.ndarray, least: int) -> tuple[np.nd
             jj = (j[:, None, None] * FANOUT + child[None, None, :] + 0 * child[None, :, None]).ravel()
             fit = (ii < below) & (jj < below) & (ii <= jj)
             i, j = ii[fit], jj[fit]
-    a, b = order[i], order[j]
-    return np.minimum(a, b), np.maximum(a, b)
+    a, b = np.minimum(order[i], order[j]), np.maximum(order[i], order[j])
+    bound = _minima(counts, counts, a, b)
+    kept = _can_link(bound, sizes[a] + sizes[b], least)
+    return a[kept], b[kept], bound[kept]
+
+
+def connecting(a: np.ndarray, b: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Which of the edges between labels, heaviest first, connect what those before them did not."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := parent.get(x, x)) != x:
+            parent[x] = x = parent.get(up, up)
+        return x
+
+    kept = np.zeros(len(a), bool)
+    for k in np.argsort(-weight, kind="stable").tolist():
+        x, y = root(int(a[k])), root(int(b[k]))
+        if x != y:
+            parent[max(x, y)] = min(x, y)
+            kept[k] = True
+    return kept
 
 
 def _signed(a: np.ndarray) -> np.ndarray:
@@ -132,10 +165,11 @@ def _linked(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
 
     def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = (np.frombuffer(b"".join(batch[f"counts_{s}"].to_pylist()), np.int32).reshape(-1, GROUPS) for s in "ab")
-            sizes = batch["n_a"].to_numpy() + batch["n_b"].to_numpy()
-            kept = _can_link(np.minimum(a, b).sum(1), sizes, least)
-            yield batch.select(["a", "b"]).filter(pa.array(kept))
+            for part in chunks(batch):
+                a, b = (as_points(part[f"counts_{s}"].to_pylist()) for s in "ab")
+                sizes = part["n_a"].to_numpy() + part["n_b"].to_numpy()
+                kept = _can_link(np.minimum(a, b).sum(1, dtype=np.int64), sizes, least)
+                yield part.select(["a", "b"]).filter(pa.array(kept))
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -151,16 +185,28 @@ def _linked(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
     return near.join(side("a", "hashes"), "a").join(side("b", "hashes"), "b").mapInArrow(verified, "a long, b long")
 
 
-def _open_pairs(ws: Workspace, members: DataFrame, roots: DataFrame, sets: DataFrame, least: int) -> DataFrame:
-    """Pairs of sets that share a bucket, are not connected yet, and pass the tree."""
-    labelled = members.join(roots.withColumnRenamed("id", "digest"), "digest", "left").withColumn("label", F.coalesce("root", "digest")).drop("root", "hub")
+def _hub_pairs(members: DataFrame) -> DataFrame:
+    """(a, b) of each set b with one other: of each bucket the set that meets most others in all its buckets, of these the
+    one that b shares most buckets with. An original meets its copies more often than they meet each other."""
+    sizes = members.groupBy("key").agg(F.count("*").alias("size"))
+    weights = members.join(sizes, "key").groupBy("digest").agg(F.sum("size").alias("weight"))
+    hubs = members.join(weights, "digest").groupBy("key").agg(F.max(F.struct("weight", "digest")).alias("hub"))
+    shared = members.join(hubs.select("key", F.col("hub.digest").alias("a"), F.col("hub.weight").alias("weight")), "key")
+    shared = shared.filter("a <> digest").groupBy(F.col("digest").alias("b"), "a").agg(F.count("*").alias("n"), F.max("weight").alias("weight"))
+    return shared.groupBy("b").agg(F.max(F.struct("n", "weight", "a"))["a"].alias("a")).select("a", "b")
+
+
+def _open_pairs(ws: Workspace, members: DataFrame, roots: DataFrame, sets: DataFrame, least: int, every: bool, name: str) -> DataFrame:
+    """Pairs of sets that share a bucket, are not connected yet, and pass the tree: ``every`` such pair, or of each cell
+    those that would connect its parts, the ones with the highest bounds."""
+    labelled = members.join(roots.withColumnRenamed("id", "digest"), "digest", "left").withColumn("label", F.coalesce("root", "digest")).drop("root")
     ends = labelled.groupBy("key").agg(
         F.min("label").alias("first"), F.max("label").alias("last"), F.count("*").alias("size"),
         F.sum(F.xxhash64("digest") % (1 << 40)).alias("sum"), F.bit_xor(F.xxhash64("digest", F.lit(7))).alias("xor"),
     )
     # near copies share many buckets: of buckets with the same members one is searched
     ends = ends.filter("first <> last").groupBy("first", "last", "size", "sum", "xor").agg(F.min("key").alias("key")).select("key", "size")
-    rows = ws.store(labelled.join(ws.store(ends, "open"), "key"), "open-members")
+    rows = ws.store(labelled.join(ws.store(ends, f"{name}-open"), "key"), f"{name}-members")
     bundles = max(shuffle_partitions(ws.spark), rows.count() // BUNDLE)
     rows = rows.join(sets.select("digest", "n", "counts"), "digest")
     parts = F.ceil(F.col("size") / CELL).cast("int")
@@ -172,16 +218,20 @@ def _open_pairs(ws: Workspace, members: DataFrame, roots: DataFrame, sets: DataF
     def search(group: pd.DataFrame) -> pd.DataFrame:
         out = [np.empty((0, 2), np.int64)]
         for (_, i, j), cell in group.groupby(["key", "i", "j"], sort=False):
-            points = np.frombuffer(b"".join(cell["counts"]), np.int32).reshape(-1, GROUPS)
-            x, y = tree_pairs(points, cell["n"].to_numpy(), least)
+            n = cell["n"].to_numpy()
+            x, y, bound = tree_pairs(as_points(cell["counts"].to_list()), n, least)
             label, part, ids = cell["label"].to_numpy(), cell["part"].to_numpy(), cell["digest"].to_numpy()
             kept = (label[x] != label[y]) & ((i == j) | (part[x] != part[y]))
-            out.append(np.sort(np.stack((ids[x[kept]], ids[y[kept]]), 1), 1))
+            x, y, bound = x[kept], y[kept], bound[kept]
+            if not every:
+                kept = connecting(label[x], label[y], bound / (n[x] + n[y]))
+                x, y = x[kept], y[kept]
+            out.append(np.sort(np.stack((ids[x], ids[y]), 1), 1))
         found = np.unique(np.concatenate(out), axis=0)
         return pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
 
     found = rows.withColumn("task", task).select("task", "key", "i", "j", "part", "digest", "label", "n", "counts")
-    return ws.store(found.groupBy("task").applyInPandas(search, "a long, b long").distinct(), "open-pairs")
+    return ws.store(found.groupBy("task").applyInPandas(search, "a long, b long").distinct(), f"{name}-pairs")
 
 
 def join(docs: DataFrame, words: int = 5, least: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -201,18 +251,17 @@ def join(docs: DataFrame, words: int = 5, least: int = 80, doc_id: str = "doc_id
 
     points = ws.store(map_texts(own, sizes, "doc_id long, n_shingles long, digest long"), "points")
     dealt = _meetings(own, words, least).repartition(shuffle_partitions(ws.spark), "key")
-    shared = dealt.groupBy("key").agg(F.min("digest").alias("hub"), F.max("digest").alias("last")).filter("hub <> last").select("key", "hub")
+    shared = dealt.groupBy("key").agg(F.min("digest").alias("first"), F.max("digest").alias("last")).filter("first <> last").select("key")
     members = ws.store(dealt.join(shared.hint("merge"), "key").distinct(), "members")
     active = ws.store(members.select("digest").distinct(), "active")
     sets = _sets(own, words).join(checked_broadcast(active, 8), "digest", "left_semi")
     sets = ws.store(sets.groupBy("digest").agg(F.first("n").alias("n"), F.first("counts").alias("counts"), F.first("hashes").alias("hashes")), "sets")
-    # each set with the smallest one it meets, then whatever is not connected by that
-    pairs = ws.store(members.groupBy(F.col("digest").alias("b")).agg(F.min("hub").alias("a")).filter("a <> b").select("a", "b"), "hub-pairs")
-    links = ws.store(_linked(pairs, sets, least), "hub-links")
-    roots = ws.store(components(ws, links, "hub-components"), "hub-roots")
-    more = _linked(_open_pairs(ws, members, roots, sets, least), sets, least)
-    edges = ws.store(more.union(roots.select(F.col("id").alias("a"), F.col("root").alias("b"))), "links")
-    roots = ws.store(components(ws, edges, "components"), "roots")
+    # three rounds, each over what those before it did not connect
+    roots = components(ws, ws.store(_linked(ws.store(_hub_pairs(members), "hub-pairs"), sets, least), "hub-links"), "hubs")
+    for every, name in ((False, "likely"), (True, "rest")):
+        links = _linked(_open_pairs(ws, members, roots, sets, least, every, name), sets, least)
+        edges = links.union(roots.select(F.col("id").alias("a"), F.col("root").alias("b")))
+        roots = components(ws, ws.store(edges, f"{name}-links"), name)
     # the smallest id of each component goes back to all documents of its sets
     classes = points.filter("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows"))
     classes = classes.join(roots.withColumnRenamed("id", "digest"), "digest", "left").withColumn("root", F.coalesce("root", "digest"))

@@ -160,14 +160,19 @@ def test_linked_sets_share_a_key(least):
 def test_tree_passes_every_pair_that_its_bound_allows():
     rng = np.random.default_rng(2)
     centres = rng.poisson(3, (40, ngram_join.GROUPS))
-    points = (centres[rng.integers(0, 40, 700)] + rng.poisson(0.05, (700, ngram_join.GROUPS))).astype(np.int32)
-    sizes = points.sum(1)
+    points = (centres[rng.integers(0, 40, 700)] + rng.poisson(0.05, (700, ngram_join.GROUPS))).astype(np.uint8)
+    sizes = points.sum(1, dtype=np.int64)
     i, j = np.triu_indices(700, 1)
-    enough = 180 * np.minimum(points[i], points[j]).sum(1) >= 80 * (sizes[i] + sizes[j])
-    a, b = ngram_join.tree_pairs(points, sizes, 80)
+    enough = 180 * np.minimum(points[i], points[j]).sum(1, dtype=np.int64) >= 80 * (sizes[i] + sizes[j])
+    a, b, _ = ngram_join.tree_pairs(points, sizes, 80)
     assert set(zip(i[enough].tolist(), j[enough].tolist(), strict=True)) == set(zip(a.tolist(), b.tolist(), strict=True))
 
 
+def test_edges_that_connect():
+    a, b = np.array([1, 2, 1, 5, 3]), np.array([2, 3, 3, 6, 4])
+    assert ngram_join.connecting(a, b, np.array([0.9, 0.8, 0.95, 0.1, 0.2])).tolist() == [True, False, True, True, True]
+
+
 def test_components_of_paths_stars_and_rings(spark):
     edges = [(i, i + 1) for i in range(40)] + [(1000, k) for k in range(1001, 1100)] + [(500 + i, 500 + (i + 1) % 9) for i in range(9)] + [(7000, 7000)]
     df = spark.createDataFrame(edges, "a long, b long").repartition(3)
