@@ -73,27 +73,28 @@ class _Row(NamedTuple):
     print: np.ndarray
 
 
-def _ranges(docs: DataFrame, n: int) -> tuple[list[int], list[tuple[int | None, int]]]:
-    """Bounds that cut the ids into about ``n`` ranges, and (largest id, number) of each range that has rows, downwards.
-
-    Range k holds the ids in [bounds[k - 1], bounds[k]), range 0 also the null ids.
-    """
-    bounds = sorted({int(x) for x in docs.filter("doc_id is not null").approxQuantile("doc_id", [k / n for k in range(1, n)], 0.2 / n)})
-    at = docs.select("doc_id", _range_of(bounds).alias("range"))
-    heads = at.groupBy("range").agg(F.max("doc_id").alias("head")).collect()  # one row per range
-    return bounds, [(r["head"], r["range"]) for r in sorted(heads, key=lambda r: -r["range"])]
+def _range_of(ids: pa.Array, bounds: np.ndarray) -> np.ndarray:
+    """Range k holds the ids in [bounds[k - 1], bounds[k]), range 0 also the null ids."""
+    null = ids.is_null().to_numpy(zero_copy_only=False)
+    return np.where(null, 0, np.searchsorted(bounds, ids.fill_null(0).to_numpy(), side="right")).astype(np.int32)
 
 
-def _range_of(bounds: list[int]):
-    """The range by halving, a nested condition as deep as the logarithm of their number."""
+def _ranges(ids: DataFrame, n: int) -> tuple[np.ndarray, dict[int, tuple[int | None, int]]]:
+    """Bounds that cut the ids into about ``n`` ranges. Of each range that has rows: its largest id, and the range that
+    the document of this id closes, which is the one above it, and the lowest for the very first document."""
+    bounds = np.array(sorted({int(x) for x in ids.filter("doc_id is not null").approxQuantile("doc_id", [k / n for k in range(1, n)], 0.2 / n)}), np.int64)
 
-    def within(low: int, high: int):
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(F.col("doc_id") >= bounds[middle], within(middle + 1, high)).otherwise(within(low, middle))
+    def largest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, int | None] = {}
+        for batch in batches:
+            for k, i in zip(_range_of(batch["doc_id"], bounds).tolist(), batch["doc_id"].to_pylist(), strict=True):
+                if found.get(k) is None or (i is not None and i > found[k]):
+                    found[k] = i
+        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int32()), pa.array(list(found.values()), pa.int64())], ["range", "head"])
 
-    return within(0, len(bounds))
+    heads = ids.mapInArrow(largest, "range int, head long").groupBy("range").agg(F.max("head").alias("head")).collect()  # one row per range
+    ordered = sorted((r["range"], r["head"]) for r in heads)[::-1]
+    return bounds, {k: (head, ordered[i - 1][0]) for i, (k, head) in enumerate(ordered)}
 
 
 def neighbours(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -107,17 +108,21 @@ def neighbours(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     """
     spark = docs.sparkSession
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    ids = own.select("doc_id")
-    bounds, heads = _ranges(ids, RANGES * shuffle_partitions(spark))
-    # the range that a range's first document closes: the one above it, and the lowest for the very first
-    closes = {number: heads[i - 1][1] for i, (_, number) in enumerate(heads)}
-    ghost = F.lit(None).cast("int")
-    for head, number in heads:
-        ghost = F.when((F.col("range") == number) & F.col("doc_id").eqNullSafe(F.lit(head)), closes[number]).otherwise(ghost)
-    dealt = own.withColumn("range", _range_of(bounds))
-    at = F.array(F.struct(F.col("range").alias("to"), F.lit(False).alias("ghost")), F.struct(ghost.alias("to"), F.lit(True).alias("ghost")))
-    dealt = dealt.withColumn("at", F.explode(F.filter(at, lambda x: x["to"].isNotNull()))).select("doc_id", "text", "at.to", "at.ghost")
-    ordered = dealt.repartition(RANGES * shuffle_partitions(spark), "to").sortWithinPartitions("to", "ghost", F.col("doc_id").desc(), "text")
+    n = RANGES * shuffle_partitions(spark)
+    bounds, heads = _ranges(own.select("doc_id"), n)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each row with its range, and the first rows of a range once more for the range they close."""
+        for batch in batches:
+            ranges, ids = _range_of(batch["doc_id"], bounds), batch["doc_id"].to_pylist()
+            first = [k for k, i in enumerate(ids) if heads[int(ranges[k])][0] == i]
+            rows = batch.take(pa.array([*range(len(ids)), *first], pa.int64()))
+            to = np.concatenate((ranges, np.array([heads[int(ranges[k])][1] for k in first], np.int32)))
+            ghost = np.arange(len(to)) >= len(ids)
+            yield pa.RecordBatch.from_arrays([rows["doc_id"], rows["text"], pa.array(to, pa.int32()), pa.array(ghost)], ["doc_id", "text", "to", "ghost"])
+
+    dealt = own.mapInArrow(deal, "doc_id long, text string, to int, ghost boolean")
+    ordered = dealt.repartition(n, "to").sortWithinPartitions("to", "ghost", F.col("doc_id").desc(), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: _Row | None = None
