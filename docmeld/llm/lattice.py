@@ -148,7 +148,16 @@ def score(docs: DataFrame, train: Column, vocabulary: str, doc_id: str = "doc_id
         return top + F.log10(F.pow(F.lit(10.0), rest - top) + F.coalesce(F.pow(F.lit(10.0), counted - top), F.lit(0.0)))
 
     rated = words.select("word", (F.col("c") > 0).cast("long").alias("known"), base_of(F.col("c")).alias("base"), model_of(F.col("c"), F.col("lattice")).alias("model"), "c")
-    head = rated.filter("c > 0").orderBy(F.col("c").desc(), "word").limit(head_words).select("word", "known", "base", "model").collect()
+    # the head ends at the rarest step of counts, sixteen to a doubling, above which the words fit
+    step = F.floor(F.log2("c") * 16)
+    steps = words.filter("c > 0").groupBy(step.alias("step")).count().orderBy(F.col("step").desc()).collect()
+    kept, least = 0, math.inf
+    for r in steps:
+        kept += r["count"]
+        if kept > head_words:
+            break
+        least = r["step"]
+    head = rated.filter("c > 0").filter(step >= F.lit(float(least))).select("word", "known", "base", "model").collect()
     shared = docs.sparkSession.sparkContext.broadcast({bytes(r["word"]): (r["base"], r["model"]) for r in head})
     end_lattice = _lattice(vocabulary).byte / math.log(10)
     end_base = math.log10((ends + 1) / (n + v + 1))
