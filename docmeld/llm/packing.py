@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import cache
@@ -31,6 +32,7 @@ _NORMAL = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replac
 _SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 _PLAIN = re.compile("([a-z\u00df-\u00f6\u00f8-\u00ff]+)([.,;:!?]*)")
 # Byte-level tokens write each byte as a printable character: itself, or the next free one from 256 on.
+_LITTLE = struct.Struct("<I").pack
 _ODD = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
 _BYTE_LETTERS = {c: "".join(chr(256 + _ODD.index(b) if b in _ODD else b) for b in chr(c).encode()) for c in range(33, 256)}
 
@@ -50,6 +52,7 @@ class WordIds:
 
     def __init__(self, path: str):
         self.tokenizer, self.known, self.stems = _tokenizer(path), {}, {}
+        self.model = self.tokenizer.model
         # a text that holds a special token as a string is encoded whole, as the library finds these before splitting
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         parts = json.loads(self.tokenizer.to_str())
@@ -58,16 +61,17 @@ class WordIds:
     def _stem(self, stem: str) -> bytes:
         """Ids of one run of letters or of marks, which is one unit of the tokenizer's split."""
         if (ids := self.stems.get(stem)) is None:
-            tokens = self.tokenizer.model.tokenize(stem.translate(_BYTE_LETTERS))
-            ids = self.stems[stem] = np.array([t.id for t in tokens], "<u4").tobytes()
+            tokens = self.model.tokenize(stem if stem.isascii() else stem.translate(_BYTE_LETTERS))
+            ids = self.stems[stem] = b"".join([_LITTLE(t.id) for t in tokens])
         return ids
 
     def _learn_plain(self, words: list[bytes]) -> list[bytes]:
         """Learn the words of Latin letters with marks at the end; return the others."""
-        rest = []
+        rest, known, stem, plain = [], self.known, self._stem, _PLAIN.fullmatch
         for w in words:
-            if m := _PLAIN.fullmatch(t := w.decode().lower()):
-                self.known[w] = self._stem(m[1]) + (self._stem(m[2]) if m[2] else b"")
+            if m := plain(w.decode().lower()):
+                letters, marks = m.groups()
+                known[w] = stem(letters) + stem(marks) if marks else stem(letters)
             else:
                 rest.append(w)
         return rest
