@@ -32,6 +32,8 @@ CELL = 2_000
 FANOUT = 32
 #: Rows of small buckets that one task searches together.
 BUNDLE = 20_000
+#: Keys that are sorted together.
+KEYS_PER_PART = 300_000
 SALTS = 16
 #: Pairs whose summed minima are computed at a time.
 _PAIRS = 1 << 15
@@ -138,8 +140,15 @@ def _meetings(docs: DataFrame, words: int, least: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "key long, digest long")
 
 
-def _sets(docs: DataFrame, words: int) -> DataFrame:
-    """(digest, n, counts, hashes) of each set; a task hands in each set once."""
+def _made(ws: Workspace, docs: DataFrame, reps: DataFrame, digests: DataFrame, words: int, column: str, name: str) -> DataFrame:
+    """Stored (digest, n, ``column``) of the sets asked for, made anew from one document each: their counts or their hashes.
+
+    Only these documents reach Python, and no set travels. Ids need not tell documents apart; what comes out is matched by digest.
+    """
+    wanted = ws.store(reps.join(digests, "digest"), f"{name}-wanted")
+    ids = checked_broadcast(wanted.select(F.col("rep").alias("_rep")), 8)
+    chosen = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_rep")), "left_semi")
+    value = group_counts if column == "counts" else lambda hashes: hashes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -150,56 +159,69 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
                     hashes = shingle_set(t, words)
                     if len(hashes) and (d := digest(hashes)) not in seen:
                         seen.add(d)
-                        rows.append((d, len(hashes), group_counts(hashes).tobytes(), hashes.tobytes()))
-                kinds = {"digest": pa.int64(), "n": pa.int64(), "counts": pa.binary(), "hashes": pa.binary()}
+                        rows.append((d, len(hashes), value(hashes).tobytes()))
+                kinds = {"digest": pa.int64(), "n": pa.int64(), column: pa.binary()}
                 yield pa.RecordBatch.from_pydict({k: pa.array([r[i] for r in rows], t) for i, (k, t) in enumerate(kinds.items())})
 
-    return docs.select("text").mapInArrow(run, "digest long, n long, counts binary, hashes binary")
+    made = chosen.select("text").mapInArrow(run, f"digest long, n long, {column} binary")
+    return ws.store(made.join(checked_broadcast(wanted.select("digest"), 8), "digest", "left_semi"), name)
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose whole sets are similar enough; the bound on the counts goes first."""
+class _Verifier:
+    """Verifies pairs of sets: by the bound of their counts first, then on the whole sets."""
 
-    def side(name: str, *columns: str) -> DataFrame:
-        return sets.select(F.col("digest").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in columns))
+    def __init__(self, ws: Workspace, docs: DataFrame, reps: DataFrame, counts: DataFrame, words: int, least: int):
+        self.ws, self.docs, self.reps, self.counts, self.words, self.least = ws, docs, reps, counts, words, least
 
-    def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in chunks(batch):
-                a, b = (as_points(part[f"counts_{s}"].to_pylist()) for s in "ab")
-                sizes = part["n_a"].to_numpy() + part["n_b"].to_numpy()
-                kept = _can_link(np.minimum(a, b).sum(1, dtype=np.int64), sizes, least)
-                yield part.select(["a", "b"]).filter(pa.array(kept))
+    def linked(self, pairs: DataFrame, name: str) -> DataFrame:
+        """Those of ``pairs`` (a, b) that are similar enough, stored."""
+        least = self.least
+
+        def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for part in chunks(batch):
+                    a, b = (as_points(part[f"counts_{s}"].to_pylist()) for s in "ab")
+                    sizes = part["n_a"].to_numpy() + part["n_b"].to_numpy()
+                    kept = _can_link(np.minimum(a, b).sum(1, dtype=np.int64), sizes, least)
+                    yield part.select(["a", "b"]).filter(pa.array(kept))
+
+        def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for part in chunks(batch):
+                    kept = []
+                    for x, y in zip(part["hashes_a"].to_pylist(), part["hashes_b"].to_pylist(), strict=True):
+                        p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                        both = len(np.intersect1d(p, q, assume_unique=True))
+                        kept.append(bool(_can_link(both, len(p) + len(q), least)))
+                    yield part.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
+
+        near = self.ws.store(_with_sides(pairs, self.counts, "counts").mapInArrow(bounded, "a long, b long").distinct(), f"{name}-near")
+        digests = near.select(F.explode(F.array("a", "b")).alias("digest")).distinct()
+        sets = _made(self.ws, self.docs, self.reps, digests, self.words, "hashes", f"{name}-sets")
+        return self.ws.store(_with_sides(near, sets, "hashes").mapInArrow(verified, "a long, b long").distinct(), f"{name}-links")
 
-    def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in chunks(batch):
-                kept = []
-                for x, y in zip(part["hashes_a"].to_pylist(), part["hashes_b"].to_pylist(), strict=True):
-                    p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                    both = len(np.intersect1d(p, q, assume_unique=True))
-                    kept.append(bool(_can_link(both, len(p) + len(q), least)))
-                yield part.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
-    near = pairs.join(side("a", "n", "counts"), "a").join(side("b", "n", "counts"), "b").mapInArrow(bounded, "a long, b long")
-    return near.join(side("a", "hashes"), "a").join(side("b", "hashes"), "b").mapInArrow(verified, "a long, b long")
+def _with_sides(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
+    for side in "ab":
+        named = sets.select(F.col("digest").alias(side), F.col("n").alias(f"n_{side}"), F.col(column).alias(f"{column}_{side}"))
+        pairs = pairs.join(named, side)
+    return pairs
 
 
 def _hub_pairs(members: DataFrame) -> DataFrame:
     """(a, b) of each set b with one other: of each bucket the set that meets most others in all its buckets, of these the
     one that b shares most buckets with. An original meets its copies more often than they meet each other."""
-    sizes = members.groupBy("key").agg(F.count("*").alias("size"))
-    weights = members.join(sizes, "key").groupBy("digest").agg(F.sum("size").alias("weight"))
+    weights = members.groupBy("digest").agg(F.sum("size").alias("weight"))
     hubs = members.join(weights, "digest").groupBy("key").agg(F.max(F.struct("weight", "digest")).alias("hub"))
     shared = members.join(hubs.select("key", F.col("hub.digest").alias("a"), F.col("hub.weight").alias("weight")), "key")
     shared = shared.filter("a <> digest").groupBy(F.col("digest").alias("b"), "a").agg(F.count("*").alias("n"), F.max("weight").alias("weight"))
     return shared.groupBy("b").agg(F.max(F.struct("n", "weight", "a"))["a"].alias("a")).select("a", "b")
 
 
-def _open_pairs(ws: Workspace, members: DataFrame, roots: DataFrame, sets: DataFrame, least: int, every: bool, name: str) -> DataFrame:
+def _open_pairs(ws: Workspace, members: DataFrame, roots: DataFrame, counts: DataFrame, least: int, every: bool, name: str) -> DataFrame:
     """Pairs of sets that share a bucket, are not connected yet, and pass the tree: ``every`` such pair, or of each cell
     those that would connect its parts, the ones with the highest bounds."""
-    labelled = members.join(roots.withColumnRenamed("id", "digest"), "digest", "left").withColumn("label", F.coalesce("root", "digest")).drop("root")
+    labelled = members.join(roots.withColumnRenamed("id", "digest"), "digest", "left").withColumn("label", F.coalesce("root", "digest")).drop("root", "size")
     ends = labelled.groupBy("key").agg(
         F.min("label").alias("first"), F.max("label").alias("last"), F.count("*").alias("size"),
         F.sum(F.xxhash64("digest") % (1 << 40)).alias("sum"), F.bit_xor(F.xxhash64("digest", F.lit(7))).alias("xor"),
@@ -208,7 +230,7 @@ def _open_pairs(ws: Workspace, members: DataFrame, roots: DataFrame, sets: DataF
     ends = ends.filter("first <> last").groupBy("first", "last", "size", "sum", "xor").agg(F.min("key").alias("key")).select("key", "size")
     rows = ws.store(labelled.join(ws.store(ends, f"{name}-open"), "key"), f"{name}-members")
     bundles = max(shuffle_partitions(ws.spark), rows.count() // BUNDLE)
-    rows = rows.join(sets.select("digest", "n", "counts"), "digest")
+    rows = rows.join(counts, "digest")
     parts = F.ceil(F.col("size") / CELL).cast("int")
     own = F.pmod(F.xxhash64("digest"), parts).cast("int")
     rows = rows.withColumn("part", own).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
@@ -250,18 +272,21 @@ def join(docs: DataFrame, words: int = 5, least: int = 80, doc_id: str = "doc_id
         return {"doc_id": part["doc_id"], "n_shingles": pa.array([len(s) for s in sets], pa.int64()), "digest": pa.array([digest(s) if len(s) else None for s in sets], pa.int64())}
 
     points = ws.store(map_texts(own, sizes, "doc_id long, n_shingles long, digest long"), "points")
-    dealt = _meetings(own, words, least).repartition(shuffle_partitions(ws.spark), "key")
-    shared = dealt.groupBy("key").agg(F.min("digest").alias("first"), F.max("digest").alias("last")).filter("first <> last").select("key")
+    # as many parts as keep the keys of one within a sort of moderate size; a set has fewer keys than half its shingles
+    keys_at_most = (points.agg(F.sum("n_shingles")).first()[0] or 0) // 2
+    parts = max(shuffle_partitions(ws.spark), keys_at_most // KEYS_PER_PART)
+    dealt = _meetings(own, words, least).repartition(parts, "key")
+    shared = dealt.groupBy("key").agg(F.min("digest").alias("first"), F.max("digest").alias("last"), F.count("*").alias("size"))
+    shared = shared.filter("first <> last").select("key", "size")
     members = ws.store(dealt.join(shared.hint("merge"), "key").distinct(), "members")
-    active = ws.store(members.select("digest").distinct(), "active")
-    sets = _sets(own, words).join(checked_broadcast(active, 8), "digest", "left_semi")
-    sets = ws.store(sets.groupBy("digest").agg(F.first("n").alias("n"), F.first("counts").alias("counts"), F.first("hashes").alias("hashes")), "sets")
+    reps = ws.store(points.filter("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep")), "reps")
+    counts = _made(ws, own, reps, members.select("digest").distinct(), words, "counts", "counts")
+    verifier = _Verifier(ws, own, reps, counts, words, least)
     # three rounds, each over what those before it did not connect
-    roots = components(ws, ws.store(_linked(ws.store(_hub_pairs(members), "hub-pairs"), sets, least), "hub-links"), "hubs")
+    roots = components(ws, verifier.linked(ws.store(_hub_pairs(members), "hub-pairs"), "hub"), "hubs")
     for every, name in ((False, "likely"), (True, "rest")):
-        links = _linked(_open_pairs(ws, members, roots, sets, least, every, name), sets, least)
-        edges = links.union(roots.select(F.col("id").alias("a"), F.col("root").alias("b")))
-        roots = components(ws, ws.store(edges, f"{name}-links"), name)
+        links = verifier.linked(_open_pairs(ws, members, roots, counts, least, every, name), name)
+        roots = components(ws, links.union(roots.select(F.col("id").alias("a"), F.col("root").alias("b"))), name)
     # the smallest id of each component goes back to all documents of its sets
     classes = points.filter("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows"))
     classes = classes.join(roots.withColumnRenamed("id", "digest"), "digest", "left").withColumn("root", F.coalesce("root", "digest"))

@@ -11,6 +11,8 @@ import numpy as np
 
 #: Sets up to this size meet by their smallest hashes, larger ones by equal segments.
 SMALL = 32
+#: Words whose hashes a worker remembers; frequent ones are soon back after it forgets.
+KNOWN_WORDS = 50_000
 _STEP = 1.4
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _known: dict[bytes, int] = {}
@@ -26,7 +28,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 def word_hashes(words: list[bytes]) -> np.ndarray:
     from xxhash import xxh64_intdigest
 
-    if len(_known) > 400_000:
+    if len(_known) > KNOWN_WORDS:
         _known.clear()
     get = _known.get
     out = list(map(get, words))
