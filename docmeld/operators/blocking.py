@@ -100,7 +100,7 @@ def _looked_up(entries: DataFrame, hot: DataFrame, row_id: list[str], limit: int
     return entries.withColumn("salt", own).join(salted, ["rule", "key", "salt"], "left").drop("salt")
 
 
-def _cells(entries: DataFrame, hot: DataFrame, row_id: list[str], side: str, limit: int) -> DataFrame:
+def _cells(entries: DataFrame, hot: DataFrame, row_id: list[str], side: str, limit: int = HOT_BROADCAST_BYTES) -> DataFrame:
     """Spread a hot block over a grid of left parts x right parts.
 
     A left row goes to its own row of the grid, a right row to its own column, so every pair
