@@ -21,7 +21,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from docmeld.llm.common import checked_broadcast, chunks, components, map_texts, shuffle_partitions, text_bytes
+from docmeld.llm.common import CHUNK, checked_broadcast, chunks, components, map_texts, shuffle_partitions, text_bytes
 from docmeld.llm.shingles import digest, keys, shingle_set
 from docmeld.workspace import Workspace
 
@@ -256,15 +256,8 @@ def _open_pairs(ws: Workspace, members: DataFrame, roots: DataFrame, counts: Dat
     return ws.store(found.groupBy("task").applyInPandas(search, "a long, b long").distinct(), f"{name}-pairs")
 
 
-def join(docs: DataFrame, words: int = 5, least: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows (doc_id, n_shingles, component_id), one for each row of ``docs``.
-
-    Documents are linked if their sets of ``words``-word shingles share ``least`` per cent or more of their union;
-    ``component_id`` is the smallest id that links lead to, nulls aside, the document's own included. With fewer words the
-    whole sequence is one shingle; a null text or one without words has no shingles and no links. Rows that repeat an id
-    and a text are linked to themselves. Sets are known by 64-bit hashes of their 64-bit shingle hashes.
-    """
-    ws = Workspace(docs.sparkSession)
+def _groups(ws: Workspace, docs: DataFrame, words: int, least: int, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """Stored (doc_id, n_shingles, digest) of all rows, and (digest, least, root, component_id) of the sets in groups of two rows or more."""
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
 
     def sizes(part: pa.RecordBatch) -> dict:
@@ -292,16 +285,56 @@ def join(docs: DataFrame, words: int = 5, least: int = 80, doc_id: str = "doc_id
     classes = classes.join(roots.withColumnRenamed("id", "digest"), "digest", "left").withColumn("root", F.coalesce("root", "digest"))
     classes = ws.store(classes, "classes")
     found = classes.groupBy("root").agg(F.min("least").alias("component_id"), F.sum("rows").alias("members")).filter("members > 1")
-    found = ws.store(classes.join(found, "root").select("digest", "component_id"), "found")
+    return points, ws.store(classes.join(found, "root").select("digest", "least", "root", "component_id"), "found")
+
+
+def _of_rows(points: DataFrame, found: DataFrame, how: str) -> DataFrame:
+    """``points`` with what ``found`` says of their digests, salted, as a digest may be that of very many rows."""
     found = found.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     points = points.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
-    joined = points.join(found, ["digest", "salt"], "left")
+    return points.join(found, ["digest", "salt"], how)
+
+
+def join(docs: DataFrame, words: int = 5, least: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Rows (doc_id, n_shingles, component_id), one for each row of ``docs``.
+
+    Documents are linked if their sets of ``words``-word shingles share ``least`` per cent or more of their union;
+    ``component_id`` is the smallest id that links lead to, nulls aside, the document's own included. With fewer words the
+    whole sequence is one shingle; a null text or one without words has no shingles and no links. Rows that repeat an id
+    and a text are linked to themselves. Sets are known by 64-bit hashes of their 64-bit shingle hashes.
+    """
+    points, found = _groups(Workspace(docs.sparkSession), docs, words, least, doc_id, text)
+    joined = _of_rows(points, found.select("digest", "component_id"), "left")
     return joined.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def deduplicate(docs: DataFrame, words: int = 5, least: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one document of each group of linked ones: that of the smallest id. Rows that repeat an id are one document."""
+    """``docs`` with one row of each group of linked ones: that of the smallest id, nulls last, and of the smallest digest among those.
+
+    Each row is decided by its own text: ids may be null or occur with several texts. Texts without words have no links and stay.
+    """
     ws = Workspace(docs.sparkSession)
-    found = join(docs, words, least, doc_id, text)
-    gone = ws.store(found.filter("doc_id is null or component_id <> doc_id").filter("component_id is not null").select(F.col("doc_id").alias("__docmeld_gone")).distinct(), "gone")
-    return docs.join(checked_broadcast(gone, 8), F.col(doc_id).cast("long").eqNullSafe(F.col("__docmeld_gone")), "left_anti")
+    points, found = _groups(ws, docs, words, least, doc_id, text)
+    first = found.filter(F.col("least").eqNullSafe(F.col("component_id"))).groupBy("root").agg(F.min("digest").alias("first"))
+    found = ws.store(found.join(first, "root").select("digest", "component_id", (F.col("digest") == F.col("first")).alias("first")), "decided")
+    stays = F.col("first") & F.col("doc_id").eqNullSafe(F.col("component_id"))
+    grouped = ws.store(_of_rows(points, found, "inner").select("doc_id", "digest", stays.alias("stays")), "grouped")
+    gone = ws.store(grouped.filter("not stays").select(F.col("doc_id").alias("__docmeld_gone"), F.col("digest").alias("__docmeld_digest")).distinct(), "gone")
+    repeated = points.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1")
+    if not grouped.filter("doc_id is null").limit(1).count() and not repeated.limit(1).count():
+        return docs.join(checked_broadcast(gone.select("__docmeld_gone"), 8), F.col(doc_id).cast("long") == F.col("__docmeld_gone"), "left_anti")
+
+    # ids that occur with several texts, or not at all, need the set to tell rows apart
+    @F.arrow_udf("long")
+    def own_digest(texts: pa.Array) -> pa.Array:
+        sets = (shingle_set(t, words) for at in range(0, len(texts), CHUNK) for t in text_bytes(texts.slice(at, CHUNK)))
+        return pa.array([digest(s) if len(s) else None for s in sets], pa.int64())
+
+    names = {f"_c{i}": c for i, c in enumerate(docs.columns)}
+    at = {c: k for k, c in names.items()}
+    rows = docs.toDF(*names).withColumn("_digest", own_digest(F.col(at[text]).cast("string")))
+    rows = rows.join(checked_broadcast(gone, 16), F.col(at[doc_id]).cast("long").eqNullSafe(F.col("__docmeld_gone")) & (F.col("_digest") == F.col("__docmeld_digest")), "left_anti")
+    # of rows with the same id and set one stays; a row without a set is like no other
+    alone = F.when(F.col("_digest").isNull(), F.monotonically_increasing_id())
+    rows = rows.withColumn("_alone", alone).dropDuplicates([at[doc_id], "_digest", "_alone"])
+    return rows.select(*(F.col(k).alias(c) for k, c in names.items()))

@@ -141,6 +141,31 @@ def test_join_deduplicate_and_empty(spark):
     assert found_join(frame(spark, []), 5, 80) == []
 
 
+@pytest.mark.parametrize("case", ["odd", "repeated", "nulls"])
+def test_join_deduplicate_with_null_and_repeated_ids(spark, case):
+    """One row of each group stays, of the smallest id, nulls last, whatever happens to other rows of that id."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    if case == "odd":
+        rows = odd_rows() + [(None, "a clean text that has nothing to do with any other row"), (None, "One two three FOUR")]
+    elif case == "repeated":
+        rows = [(3, a), (7, a + " more"), (3, b), (2, b + " more"), (3, c), (3, c + " more"), (3, c + " more"), (None, ""), (4, "")]
+    else:
+        rows = [(None, a), (None, a + " more"), (1, b), (None, b + " more"), (None, c), (None, None), (None, "")]
+    sets, group = plain_sets(rows, 5), list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if sets[i] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                group = [group[j] if g == group[i] else g for g in group]
+    least = {g: min((rows[k][0] is None, rows[k][0] or 0) for k in range(len(rows)) if group[k] == g) for g in group}
+    df = frame(spark, rows, extra=True)
+    out = ngram_join.deduplicate(df)
+    assert out.columns == df.columns
+    found = [(r["doc_id"], r["text"]) for r in rows_of(out)]
+    at = {(r[0], r[1]): g for r, g in zip(rows, group, strict=True)}
+    assert sorted(at[x] for x in found) == sorted(set(group))
+    assert all((i is None, i or 0) == least[at[i, t]] for i, t in found)
+
+
 @pytest.mark.parametrize("least", [80, 90])
 def test_linked_sets_share_a_key(least):
     rng = random.Random(least)
