@@ -3,7 +3,8 @@
 Strict patterns give the base spans. Loose patterns propose further, overlapping spans. Each proposal gets a few
 format and context bits; counting proposals by their bits and by whether a base span of the kind confirms them gives
 a small table of the whole corpus, on which boosted trees are fitted. A threshold per kind, calibrated on the other
-half of the documents, says which bits are redacted.
+half of the documents, says which bits are redacted. A proposal that no base span confirms is no error where its format
+and context are those of personal data (``negatives``).
 """
 
 from __future__ import annotations
@@ -28,7 +29,8 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 ANY_AT = r"[^\s@<>()\[\],;:\x22]++(?:@|\x20?[\[(]at[\])]\x20?)[^\s@<>()\[\],;:\x22]++"
 ANY_QUAD = r"(?:\G|(?<![0-9]))[0-9]++(?:\x20?[.]\x20?[0-9]++){3}"
 ANY_NUMBER = r"(?:\([0-9]++\)\x20?)?[0-9](?:[\x20().-]{0,2}[0-9])++"
-#: Precision against the base spans that a threshold has to reach on the calibration half.
+_AT = r"\x20?[\[(]at[\])]\x20?"
+#: Precision, of confirmed proposals against negatives, that a threshold has to reach on the calibration half.
 PRECISION = 0.95
 TREES, RATE = 40, 0.3
 #: Characters of context.
@@ -90,9 +92,9 @@ def _valid_spans(number: int, kind: str) -> Column:
 
 
 def _bits(m: Column, before: Column, after: Column) -> Column:
-    """Format and context of a proposal as one number."""
+    """Format and context of a proposal as one number. A spelled-out [at] is an @."""
     n = F.length(_digits(m))
-    word = F.lower(before)
+    m, word = F.regexp_replace(m, _AT, "@"), F.lower(before)
     facts = [
         n.between(10, 15),
         F.when(n.between(14, 19), F.call_function("luhn_check", _digits(m))).otherwise(False),
@@ -103,13 +105,37 @@ def _bits(m: Column, before: Column, after: Column) -> Column:
         m.rlike(r"@[A-Za-z0-9-]+([.][A-Za-z0-9-]+)*[.][A-Za-z]{2,}$"),
         F.forall(F.split(m, r"\x20?[.]\x20?"), lambda p: p.rlike("^[0-9]{1,3}$") & (p.cast("double") <= 255)),
         before.rlike(r"(^|[\s:(+])$") & after.rlike(r"^($|[\s.,;:!?)])"),
-        word.rlike(r"(call|phone|tel|mobile|fax|contact)[^\n]*$"),
+        word.rlike(r"\b(calls?|phones?|telephones?|tel|cell|mobile|fax|contacts?)\b[^\n]*$"),
         word.rlike(r"(card|visa|credit|account|payment)[^\n]*$"),
         word.rlike(r"(mail|server|host|address|\bip\b)[^\n]*$"),
     ]
     return sum((F.when(f, 1 << i).otherwise(0) for i, f in enumerate(facts)), F.lit(0)).cast("int")
 
 
+def negatives(kind: int, table: dict[int, float]) -> dict[int, float]:
+    """Of the unconfirmed proposals of each bit pattern, ``table``, how many count as no personal data.
+
+    None where the format is valid and the format or the words before it tell the kind: an address with a domain, four
+    octets or a card number after words for them, a number of telephone length with (area code) and line or after words
+    for calling. Numbers of telephone length with a line number that stand by themselves may be either: of them as many
+    are taken for others as there are with the same bits and a length that no telephone number has. Of the rest, all.
+    """
+    has = lambda b, *bits: all(b >> i & 1 for i in bits)
+    told = (
+        lambda b: has(b, 6),
+        lambda b: has(b, 7, 11),
+        lambda b: has(b, 1) and (has(b, 5) or has(b, 10)),
+        lambda b: has(b, 0) and (has(b, 3, 4) or has(b, 9)),
+    )[kind]
+    like = lambda b: b & ~0b100011
+    others: dict[int, float] = defaultdict(float)
+    for b, n in table.items():
+        if not has(b, 0):
+            others[like(b)] += n
+    open_ = lambda b: kind == 3 and has(b, 0, 4, 8)
+    return {b: 0.0 if told(b) else min(n, others[like(b)]) if open_(b) else n for b, n in table.items()}
+
+
 def _boosted(cells: dict[int, tuple[float, float]]) -> dict[int, float]:
     """Score of each bit pattern from counts (confirmed, not) by gradient boosting with trees of depth two."""
     logit = dict.fromkeys(cells, 0.0)
@@ -138,13 +164,17 @@ def _boosted(cells: dict[int, tuple[float, float]]) -> dict[int, float]:
 def chosen_bits(cells: list[tuple[int, int, int, bool, int]]) -> dict[int, list[int]]:
     """By kind, the bit patterns to redact. ``cells``: (kind, bits, half, confirmed, count).
 
-    The trees see half 0. The threshold is the lowest score above which half 1 is confirmed to ``PRECISION``.
+    The trees see half 0. The threshold is the lowest score above which half 1 is confirmed to ``PRECISION``. In both,
+    what is not confirmed counts as far as ``negatives`` says.
     """
     by: dict = defaultdict(lambda: defaultdict(lambda: [[0.0, 0.0], [0.0, 0.0]]))
     for kind, bits, half, confirmed, n in cells:
         by[kind][bits][half][not confirmed] += n
     out: dict[int, list[int]] = {}
     for kind, table in by.items():
+        for half in (0, 1):
+            for b, n in negatives(kind, {b: h[half][1] for b, h in table.items()}).items():
+                table[b][half][1] = n
         scores = _boosted({b: tuple(h[0]) for b, h in table.items()})
         yes = no = 0.0
         ranked, upto = sorted(table, key=lambda b: (-scores[b], b)), 0
@@ -172,6 +202,9 @@ def proposals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
 
     def proposed(kind: int, name: str) -> Column:
         def one(x: Column) -> Column:
+            if kind == 0:  # the end of a sentence is none of the address
+                m = F.rtrim(x["m"], F.lit(".!?"))
+                x = {"s": x["s"], "e": x["s"] + F.length(m), "m": m}
             before = F.substring(F.col("text"), F.greatest(x["s"] - BEFORE, F.lit(0)).cast("int") + 1, F.least(x["s"], F.lit(BEFORE)).cast("int"))
             after = F.substring(F.col("text"), x["e"].cast("int") + 1, F.lit(AFTER))
             confirmed = F.exists("base", lambda b: (b["kind"] == kind) & (b["s"] < x["e"]) & (b["e"] > x["s"]))
