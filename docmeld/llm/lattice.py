@@ -9,7 +9,7 @@ goes to the pieces. A text's probability is the product over its words and one e
 from __future__ import annotations
 
 import math
-from collections import Counter
+from collections import Counter, deque
 from collections.abc import Iterator
 from functools import cache
 
@@ -26,8 +26,6 @@ COUNTED_WORDS = 300_000
 #: Rank that flattens the head of the vocabulary's scores.
 _FLAT = 20.0
 _SPACE = "▁"
-#: Longest word scored as one lattice; a longer one is scored by stretches of this many characters, one after another.
-STRETCH = 4_096
 
 
 class Lattice:
@@ -57,23 +55,23 @@ class Lattice:
 
     def _marginal(self, text: str) -> float:
         log_p, longest, exp, log = self.log_p, self.longest, math.exp, math.log
-        forward = [0.0]
+        # no piece reaches further back than the longest one
+        forward = deque([0.0], maxlen=longest)
         for end in range(1, len(text) + 1):
             ways = []
             for start in range(max(0, end - longest), end):
                 p = log_p.get(text[start:end])
                 if p is not None:
-                    ways.append(forward[start] + p)
+                    ways.append(forward[start - end] + p)
             if text[end - 1] not in log_p:
-                ways.append(forward[end - 1] + self.byte * len(text[end - 1].encode()))
+                ways.append(forward[-1] + self.byte * len(text[end - 1].encode()))
             top = max(ways)
             forward.append(top + log(sum(exp(w - top) for w in ways)) if len(ways) > 1 else top)
         return forward[-1]
 
     def log10(self, word: bytes) -> float:
         """Logarithm of the probability of a word, the sum over all its segmentations."""
-        text = _SPACE + word.decode()
-        return sum(self._marginal(text[k : k + STRETCH]) for k in range(0, len(text), STRETCH)) / math.log(10)
+        return self._marginal(_SPACE + word.decode()) / math.log(10)
 
 
 @cache

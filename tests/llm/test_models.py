@@ -170,6 +170,16 @@ def test_a_very_long_word(spark, pieces):
     assert row["score"] < -4_000 and math.isfinite(row["score"])
 
 
+def test_a_long_word_is_one_lattice(pieces):
+    """No place in a word is a border that no piece may cross."""
+    word, forward = "the" * 3_000, [0.0]
+    text = "▁" + word
+    for end in range(1, len(text) + 1):
+        ways = [forward[at] + pieces.log_p[text[at:end]] for at in range(max(0, end - pieces.longest), end) if text[at:end] in pieces.log_p]
+        forward.append(max(ways) + math.log(sum(math.exp(w - max(ways)) for w in ways)))
+    assert pieces.log10(word.encode()) == pytest.approx(forward[-1] / math.log(10), rel=1e-9)
+
+
 def plain_minhash(text):
     """By definition: all numbered k-mers, ordered per component by their hash from the component's start upwards."""
     k, points = fingerprint.K, text
