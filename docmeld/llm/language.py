@@ -65,14 +65,28 @@ class LanguageModel:
                 mixed = own @ share
             return float(n @ np.log(mixed)), share
 
-        # all languages at once first: the proportions say in which order they are tried
+        def fit_each(chosen: list[int], rest: list[int]) -> tuple[np.ndarray, np.ndarray]:
+            """``fit`` of the chosen languages with each one of the rest: likelihoods and, in columns, shares."""
+            own, new = p[:, chosen], p[:, rest]
+            share = np.full((len(chosen) + 1, len(rest)), 1 / (len(chosen) + 1))
+            mixed = own @ share[:-1] + new * share[-1]
+            for _ in range(ITERATIONS):
+                weight = n[:, None] / mixed
+                share = share * np.concatenate((own.T @ weight, (new * weight).sum(0)[None])) / total
+                mixed = own @ share[:-1] + new * share[-1]
+            return n @ np.log(mixed), share
+
+        # all languages at once say which is first; then each step tries all others and takes the one that gains most
         order = np.argsort(-fit(list(range(len(self.languages))))[1], kind="stable").tolist()
         chosen, (best, share) = order[:1], fit(order[:1])
-        for k in order[1:]:
-            likelihood, proportions = fit([*chosen, k])
-            if likelihood - best <= 1.5 * np.log(total) + 0.02 * total:
+        rest = order[1:]
+        while rest:
+            likelihood, proportions = fit_each(chosen, rest)
+            k = int(likelihood.argmax())
+            if likelihood[k] - best <= 1.5 * np.log(total) + 0.02 * total:
                 break
-            chosen, best, share = [*chosen, k], likelihood, proportions
+            best, share = float(likelihood[k]), proportions[:, k]
+            chosen = [*chosen, rest.pop(k)]
         by = np.argsort(-share, kind="stable")
         return [chosen[i] for i in by], share[by]
 

@@ -38,6 +38,22 @@ def test_languages_and_mixtures(spark, languages):
     assert row["languages"] == ["xa", "zc"] and 0.6 < row["score"] < 0.9
 
 
+def plain_model(names):
+    """A model of the languages ``names``, of which those with the same first two letters sound the same."""
+    rng = random.Random(5)
+    counts = {lang: np.bincount(language.grams(prose(rng, lang, 3_000).encode()), minlength=language.BUCKETS) for lang in SOUNDS}
+    table = np.stack([(counts[x[:2]] + 0.5) / (counts[x[:2]].sum() + 0.5 * language.BUCKETS) for x in names], 1)
+    return language.LanguageModel(tuple(names), table)
+
+
+def test_a_language_that_does_not_pay_keeps_no_other_out():
+    rng = random.Random(6)
+    text = (prose(rng, "xa", 300) + " " + prose(rng, "zc", 60)).encode()
+    model = plain_model(["xa", "xa2", "yb", "zc"])
+    chosen, share = model.mixture(text)
+    assert [model.languages[i][:2] for i in chosen] == ["xa", "zc"] and 0.1 < share[1] < 0.3
+
+
 def test_documents_without_letters_or_model(spark, languages):
     model = language.fit(frame(spark, languages))
     odd = odd_rows() + [(50, "12 34 !?"), (51, "x")]
