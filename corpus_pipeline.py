@@ -17,7 +17,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which one language has at least half; the rest has no letters or no main language."""
+    """Documents that one language, or a set of languages, explains; the rest has no letters or no language."""
     return language.keep_identified(docs, language.fit(docs))
 
 

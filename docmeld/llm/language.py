@@ -90,6 +90,11 @@ class LanguageModel:
         by = np.argsort(-share, kind="stable")
         return [chosen[i] for i in by], share[by]
 
+    def explains(self, text: bytes, chosen: list[int], share: np.ndarray) -> bool:
+        """Whether the mixture makes a gram of the text likelier, in the mean, than a draw from all buckets does."""
+        found = grams(text)
+        return len(found) > 0 and float(np.log(self.table[found][:, chosen] @ share).mean()) > -np.log(BUCKETS)
+
 
 def fit(docs: DataFrame, train: Column | None = None, text: str = "text", lang: str = "lang") -> LanguageModel:
     """Count n-grams per language over all rows of ``docs`` with a language for which ``train`` holds.
@@ -155,13 +160,20 @@ def training_rows(doc_id: str = "doc_id") -> Column:
 
 
 def keep_identified(docs: DataFrame, model: LanguageModel, least: float = 0.5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without those that have no language or none with a share of ``least``; all columns stay as they are."""
+    """``docs`` without those that have no letter, or neither a language with a share of ``least`` nor a set of languages that
+    explains them; all columns stay as they are. If nothing was learned, all with a letter stay."""
     shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.table))
 
     @F.pandas_udf("boolean")
     def clear(texts: pd.Series) -> pd.Series:
         model = LanguageModel(*shared.value)
-        share = (model.mixture(t.encode())[1] if t and has_letter(t) else () for t in texts)
-        return pd.Series([len(s) > 0 and s[0] >= least for s in share], dtype=bool)
+
+        def stays(text: str) -> bool:
+            if not model.languages:
+                return True
+            chosen, share = model.mixture(text.encode())
+            return len(share) > 0 and (share[0] >= least or model.explains(text.encode(), chosen, share))
+
+        return pd.Series([bool(t) and has_letter(t) and bool(stays(t)) for t in texts], dtype=bool)
 
     return docs.filter(clear(F.col(text)))

@@ -77,6 +77,17 @@ def test_identified_documents_are_kept_whole(spark, languages):
     assert sorted(r["doc_id"] for r in rows_of(out)) == sorted(i for i, *_ in languages)
 
 
+def test_documents_in_three_languages_and_without_a_model_are_kept(spark, languages):
+    rng = random.Random(7)
+    mixed = " ".join(prose(rng, lang, n) for lang, n in (("xa", 300), ("yb", 250), ("zc", 200)))
+    model = language.fit(frame(spark, languages))
+    assert max(model.mixture(mixed.encode())[1]) < 0.5
+    df = frame(spark, [(1, mixed), (2, "12 34"), (3, None), (4, "xa")])
+    assert sorted(r["doc_id"] for r in rows_of(language.keep_identified(df, model))) == [1, 4]
+    nothing = language.fit(frame(spark, [(1, "text", "s", None)]).withColumn("lang", F.lit(None).cast("string")))
+    assert nothing.languages == () and sorted(r["doc_id"] for r in rows_of(language.keep_identified(df, nothing))) == [1, 4]
+
+
 def toxic_rows(n, seed=1):
     rng = random.Random(seed)
     rows, labels = [], []
