@@ -58,16 +58,28 @@ class ToxicityModel:
 
 
 def _sample(docs: DataFrame, labels: DataFrame, rows: int, train: Column, doc_id: str, text: str) -> list:
-    """A bounded sample of labelled texts as (label, features, swapped features) for the driver."""
+    """A bounded sample of labelled texts as (label, features, swapped features) for the driver.
+
+    Of the texts of an id that repeats, the one with the smallest hash counts.
+    """
     ws = Workspace(docs.sparkSession)
     order = F.xxhash64(F.col("_id"))
     known = labels.filter("toxic in (0, 1)").select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("label"))
     known = known.filter(F.col("_id").isNotNull()).filter(train).groupBy("_id").agg(F.max("label").alias("label"))
     parts = [known.filter(F.col("label") == k).orderBy(order, "_id").limit(rows // 2) for k in (0, 1)]
     chosen = checked_broadcast(ws.store(parts[0].union(parts[1]), "sample"), 16)
-    texts = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("text")).join(chosen, "_id")
+    hashed = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("text")).join(chosen, "_id").withColumn("_hash", F.xxhash64("text"))
+    first = ws.store(hashed.groupBy("_id").agg(F.min("_hash").alias("_hash")), "texts")
+    texts = hashed.join(checked_broadcast(first, 16), ["_id", "_hash"])
+    seen: set[int] = set()
 
     def encode(part: pa.RecordBatch) -> dict:
+        # equal texts of an id: a task hands over one
+        new = []
+        for i in part["_id"].to_pylist():
+            new.append(i not in seen)
+            seen.add(i)
+        part = part.filter(pa.array(new, pa.bool_()))
         plain, gone, come = [], [], []
         for t in text_bytes(part["text"]):
             own = words(t)
@@ -80,7 +92,7 @@ def _sample(docs: DataFrame, labels: DataFrame, rows: int, train: Column, doc_id
         return {"id": part["_id"], "label": part["label"]} | lists
 
     schema = "id long, label int, plain array<int>, gone array<int>, come array<int>"
-    return map_texts(texts.select(F.col("_id").cast("long").alias("_id"), "label", "text"), encode, schema).toArrow().sort_by("id").to_pylist()
+    return map_texts(texts.select(F.col("_id").cast("long").alias("_id"), "label", "text"), encode, schema).dropDuplicates(["id"]).toArrow().sort_by("id").to_pylist()
 
 
 def fit(

@@ -133,6 +133,13 @@ def test_sample_is_bounded(spark):
     assert Counter(r["label"] for r in got) == {0: 20, 1: 20}
 
 
+def test_sample_has_one_row_of_an_id_that_repeats(spark):
+    rows, labels = toxic_rows(60)
+    docs = frame(spark, rows + [(5, f"hot text {i % 50}") for i in range(300)])
+    got = toxicity._sample(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), 200, F.lit(True), "doc_id", "text")
+    assert sorted(r["id"] for r in got) == list(range(60))
+
+
 @pytest.fixture(scope="module")
 def pieces():
     return lattice.Lattice(vocabulary(PIECES))
