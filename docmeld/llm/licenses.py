@@ -57,6 +57,14 @@ TEMPLATES = (
     template("mit", "released under the mit license", "mit license"),
     template("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software", "permission is hereby granted free of charge"),
     template("mpl-2.0", "subject to the terms of the mozilla public license v 2 0", "mozilla public license"),
+    # bare names, with the version where there are several
+    *(template(label, name, name) for label, name in (
+        ("apache-2.0", "apache license version 2 0"), ("apache-2.0", "apache license 2 0"), ("apache-2.0", "apache license v2 0"), ("bsd", "bsd license"),
+        ("cc-by-nc", "cc by nc"), ("cc-by-nd", "cc by nd"), ("cc-by-sa", "cc by sa"), ("cc0", "cc0"), ("epl", "eclipse public license"),
+        ("gpl-3.0", "general public license version 3"), ("gpl-3.0", "general public license v3"), ("isc", "isc license"), ("lgpl", "lesser general public license"),
+        ("mit", "mit license"), ("mpl-2.0", "mozilla public license version 2 0"), ("mpl-2.0", "mozilla public license v 2 0"),
+        ("mpl-2.0", "mozilla public license 2 0"), ("mpl-2.0", "mozilla public license v2 0"),
+    )),
     template("unlicense", "this is free and unencumbered software released into the public domain", "free and unencumbered software"),
 )
 

@@ -135,6 +135,17 @@ def test_template_labels(spark, text, labels):
     assert all(not found[i]["found"] and found[i]["score"] == 0 for i in range(40))
 
 
+def test_bare_names_are_labels(spark):
+    """A name is found whatever the corpus says of how rare its words are."""
+    names = {"MIT License": "mit", "Eclipse Public License": "epl", "CC BY-SA": "cc-by-sa", "Apache License 2.0": "apache-2.0", "Mozilla Public License, v2.0": "mpl-2.0"}
+    rows = [(i, f"see the {name}, and more") for i, name in enumerate(names)]
+    for more in ([], [(100 + i, "a license of the public") for i in range(60)], [(100 + i, " ".join(names).lower()) for i in range(60)]):
+        found = {r["doc_id"]: r for r in rows_of(licenses.scan(frame(spark, rows + more)))}
+        assert [{x["label"] for x in found[i]["found"]} for i in range(len(rows))] == [{x} for x in names.values()]
+    (row,) = rows_of(licenses.scan(frame(spark, [(1, "the Apache License, version 1.1")])))
+    assert not row["found"]
+
+
 def test_rarity_counts_documents(spark):
     rows = [(1, "license license"), (2, "the license"), (3, None)]
     idf = licenses.rarity(frame(spark, rows))
