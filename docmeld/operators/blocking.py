@@ -4,6 +4,10 @@ An OR of equalities makes Spark compare every row with every row. Here each side
 exploded into its ``(rule, key)`` entries and joined on them, so the work follows the
 number of true candidates; a pair found by several rules is kept for the first one only.
 That needs no ``distinct``, hence no state, and is legal in an append-mode stream.
+
+Pairs are dealt by work (:func:`pair_layout`): blocks with more pairs than a small part of a task are split into cells,
+the others are gathered in buckets, all of them get numbers by a running sum of their pairs, and equal ranges of numbers
+are the tasks. However skewed the keys and however few the splits of the scan, each task forms about as many pairs.
 """
 
 from __future__ import annotations
@@ -14,7 +18,7 @@ from functools import reduce
 from operator import or_
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from docmeld.workspace import Workspace
 
@@ -31,6 +35,8 @@ AUTH_RULES = (Rule("auth_id", "auth_number"), Rule("member_id_on_form", "member_
 
 # Pairs of one block that one task may form; a block with more is split.
 PAIRS_PER_TASK = 5_000_000
+# Units of work per task: a cell of a split block or a bucket of small ones is about this part of a task.
+SHARES = 32
 # The list of hot blocks is broadcast up to this size, and looked up by salted keys beyond it.
 HOT_BROADCAST_BYTES, HOT_ROW_BYTES, LOOKUP_SALTS = 32 << 20, 128, 32
 
@@ -48,13 +54,9 @@ def _entries(df: DataFrame, columns: Sequence[str], prefix: str) -> DataFrame:
     )
 
 
-def hot_blocks(left: DataFrame, right: DataFrame, rules: Sequence[Rule], pairs_per_task: int = PAIRS_PER_TASK) -> DataFrame:
-    """Blocks with more than ``pairs_per_task`` pairs, and into how many parts each side splits.
-
-    The smaller side splits into parts of about the square root of that many rows, the larger
-    one as often as the rest needs; that keeps the copies few. A side without rows counts as one
-    row, so a key that very many rows of one side share is split even where it has no partner.
-    """
+def block_sizes(left: DataFrame, right: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Rows of both sides per (rule, key). A side without rows counts as one row, so a key that very many rows of one side
+    share has weight even where it has no partner."""
 
     def keys(df: DataFrame, columns: list[str], is_left: int) -> DataFrame:
         entries = _entries(df.select(*dict.fromkeys(columns)), columns, "c_")
@@ -62,12 +64,17 @@ def hot_blocks(left: DataFrame, right: DataFrame, rules: Sequence[Rule], pairs_p
 
     both = keys(left, [r.left for r in rules], 1).unionAll(keys(right, [r.right for r in rules], 0))
     rows = [F.greatest(F.sum(side), F.lit(1)).cast("double").alias(side) for side in ("left", "right")]
-    sizes = both.groupBy("rule", "key").agg(*rows)
+    return both.groupBy("rule", "key").agg(*rows)
+
+
+def _split(sizes: DataFrame, pairs_per_cell: float) -> DataFrame:
+    """Blocks with more than ``pairs_per_cell`` pairs, and into how many parts each side splits."""
     is_smaller = F.col("left") <= F.col("right")
-    parts_small = F.ceil(F.least("left", "right") / math.isqrt(pairs_per_task))
-    parts_large = F.ceil(F.col("left") * F.col("right") / pairs_per_task / F.col("small"))
+    pairs = F.col("left") * F.col("right")
+    parts_small = F.ceil(F.least("left", "right") / max(1, math.isqrt(int(pairs_per_cell))))
+    parts_large = F.ceil(pairs / pairs_per_cell / F.col("small"))
     return (
-        sizes.where(F.col("left") * F.col("right") > pairs_per_task)
+        sizes.where(pairs > pairs_per_cell)
         .withColumn("small", parts_small)
         .withColumn("large", parts_large)
         .select(
@@ -75,10 +82,84 @@ def hot_blocks(left: DataFrame, right: DataFrame, rules: Sequence[Rule], pairs_p
             "key",
             F.when(is_smaller, F.col("small")).otherwise(F.col("large")).cast("long").alias("left_parts"),
             F.when(is_smaller, F.col("large")).otherwise(F.col("small")).cast("long").alias("right_parts"),
+            pairs.alias("pairs"),
         )
     )
 
 
+def hot_blocks(left: DataFrame, right: DataFrame, rules: Sequence[Rule], pairs_per_task: int = PAIRS_PER_TASK) -> DataFrame:
+    """Blocks with more than ``pairs_per_task`` pairs, and into how many parts each side splits.
+
+    The smaller side splits into parts of about the square root of that many rows, the larger
+    one as often as the rest needs; that keeps the copies few.
+    """
+    return _split(block_sizes(left, right, rules), pairs_per_task).drop("pairs")
+
+
+class Layout(NamedTuple):
+    """Which task forms which pairs.
+
+    ``split`` holds the blocks that are split (rule, key, left_parts, right_parts, and as ``start`` and ``step`` the pairs
+    before its first cell and those of one cell), ``buckets`` the task of each bucket of other blocks. Both are written
+    tables of at most ``SHARES`` rows per task, whatever the data.
+    """
+
+    split: DataFrame
+    buckets: DataFrame
+    tasks: int
+    pairs_per_task: float
+
+    @property
+    def n_buckets(self) -> int:
+        return self.tasks * SHARES
+
+
+def _bucket(n_buckets: int) -> Column:
+    return F.pmod(F.xxhash64("rule", "key"), F.lit(n_buckets)).cast("int")
+
+
+def pair_layout(
+    workspace: Workspace, name: str, left: DataFrame, right: DataFrame, rules: Sequence[Rule], pairs_per_task: int = PAIRS_PER_TASK
+) -> Layout | None:
+    """Deal the pairs of two tables to tasks of equal work; None if there are no keys.
+
+    There is one task for each ``pairs_per_task`` pairs, and at least one per shuffle partition. A unit of work is at most
+    about a ``SHARES``-th of a task and goes to the task its middle falls into, so no task has much more than its part.
+    The running sum goes over the units, whose number follows that of the tasks and not that of the keys.
+    """
+    sizes = workspace.store(block_sizes(left, right, rules), f"{name}_sizes")
+    pairs = F.col("left") * F.col("right")
+    total = sizes.agg(F.sum(pairs)).first()[0]
+    if not total:
+        return None
+    partitions = int(workspace.spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(partitions, math.ceil(total / pairs_per_task))
+    share, unit = total / tasks, max(1.0, total / tasks / SHARES)
+    n_buckets = tasks * SHARES
+    heavy = _split(sizes, unit)
+    small = sizes.where(pairs <= unit).groupBy(_bucket(n_buckets).alias("bucket")).agg(F.sum(pairs).alias("pairs"))
+    small = workspace.spark.range(n_buckets).select(F.col("id").cast("int").alias("bucket")).join(small, "bucket", "left")
+    units = heavy.unionByName(small.withColumn("pairs", F.coalesce("pairs", F.lit(0.0))), allowMissingColumns=True)
+    before = F.sum("pairs").over(Window.orderBy("bucket", "rule", "key").rowsBetween(Window.unboundedPreceding, -1))
+    units = workspace.store(units.withColumn("start", F.coalesce(before, F.lit(0.0))), f"{name}_units")
+    step = F.col("pairs") / (F.col("left_parts") * F.col("right_parts"))
+    split = units.where("bucket is null").select("rule", "key", "left_parts", "right_parts", "start", step.alias("step"))
+    middle = F.floor((F.col("start") + F.col("pairs") / 2) / share)
+    dealt = units.where("bucket is not null").select("bucket", F.least(middle, F.lit(tasks - 1)).cast("int").alias("bucket_task"))
+    return Layout(split, dealt, tasks, share)
+
+
+def _dealt(entries: DataFrame, layout: Layout, row_id: list[str], side: str, limit: int) -> DataFrame:
+    """``entries`` with their cell, in the partition of the task that forms the pairs of that cell."""
+    cells = _cells(entries, layout.split, row_id, side, limit)
+    middle = F.floor((F.col("start") + (F.col("cell") + 0.5) * F.col("step")) / layout.pairs_per_task)
+    buckets = F.broadcast(layout.buckets) if layout.n_buckets * HOT_ROW_BYTES <= limit else layout.buckets
+    placed = cells.withColumn("bucket", _bucket(layout.n_buckets)).join(buckets, "bucket")
+    task = F.coalesce(F.least(middle, F.lit(layout.tasks - 1)).cast("int"), F.col("bucket_task"))
+    placed = placed.withColumn("task", task).drop("bucket", "bucket_task", "start", "step")
+    return placed.repartitionById(layout.tasks, "task")
+
+
 def stored_hot_blocks(
     workspace: Workspace, name: str, left: DataFrame, right: DataFrame, rules: Sequence[Rule], pairs_per_task: int = PAIRS_PER_TASK
 ) -> DataFrame | None:
@@ -123,17 +204,26 @@ def _cells(entries: DataFrame, hot: DataFrame, row_id: list[str], side: str, lim
 
 
 def candidate_pairs(
-    left: DataFrame, right: DataFrame, rules: Sequence[Rule], hot: DataFrame | None = None, hot_limit: int = HOT_BROADCAST_BYTES
+    left: DataFrame,
+    right: DataFrame,
+    rules: Sequence[Rule],
+    hot: DataFrame | Layout | None = None,
+    hot_limit: int = HOT_BROADCAST_BYTES,
 ) -> DataFrame:
     """Pairs agreeing on any rule, each once; left columns come back as ``l_*``, right ones as ``r_*``.
 
-    ``hot`` (see :func:`hot_blocks`) spreads oversize blocks over many tasks; the pairs are
-    the same with and without it. A list above ``hot_limit`` bytes is not broadcast.
+    A layout (see :func:`pair_layout`) deals the pairs to tasks of equal work, a list of hot blocks (:func:`hot_blocks`)
+    only spreads oversize ones; the pairs are the same with either and without. A list above ``hot_limit`` bytes is not
+    broadcast.
     """
     lefts = _entries(left, [r.left for r in rules], "l_")
     rights = _entries(right, [r.right for r in rules], "r_")
     on = ["rule", "key"]
-    if hot is not None:
+    if isinstance(hot, Layout):
+        lefts = _dealt(lefts, hot, ["l_" + c for c in left.columns], "left", hot_limit)
+        rights = _dealt(rights, hot, ["r_" + c for c in right.columns], "right", hot_limit)
+        on += ["cell", "task"]
+    elif hot is not None:
         lefts = _cells(lefts, hot, ["l_" + c for c in left.columns], "left", hot_limit)
         rights = _cells(rights, hot, ["r_" + c for c in right.columns], "right", hot_limit)
         on.append("cell")

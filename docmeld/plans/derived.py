@@ -11,12 +11,12 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from docmeld.functions.rows import side_by_side
-from docmeld.operators.blocking import AUTH_RULES, MEMBER_RULES, candidate_pairs, stored_hot_blocks
+from docmeld.operators.blocking import AUTH_RULES, MEMBER_RULES, Rule, candidate_pairs, pair_layout
 from docmeld.config import MatchWeights
 from docmeld.operators.documents import extract_fields, is_unreadable, readable, typed_fields
 from docmeld.operators.expectations import apply_expectations, match_expectations, pair_expectations, structured_expectations
-from docmeld.operators.scoring import enrich_authorizations, fs_score, match_events, pair_features
-from docmeld.sources.tables import scan
+from docmeld.operators.scoring import MATCH_COLUMNS, enrich_authorizations, fs_score, match_events, pair_features
+from docmeld.sources.tables import dealt, scan
 from docmeld.workspace import Workspace
 
 FAULTY_MATCH_AT = 2.0
@@ -48,7 +48,8 @@ def authorizations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def forms(spark: SparkSession, sf_dir: str, member: DataFrame) -> DataFrame:
     """One form per order: what it states about its member, with gaps and slips."""
-    orders = scan(spark, sf_dir, "orders").withColumn("member_id", F.expr(MEMBER_KEY.format("o_custkey")))
+    # A form is costly to write and to read again, an order is a few bytes.
+    orders = dealt(scan(spark, sf_dir, "orders"), "o_orderkey").withColumn("member_id", F.expr(MEMBER_KEY.format("o_custkey")))
     stated_dob = """
         case when o_orderkey % 11 = 0 then null
              when o_orderkey % 31 = 0 then '13/01/1980'
@@ -174,16 +175,17 @@ class DerivedTables:
     def structured(self) -> DataFrame:
         return apply_expectations(self.structured_unchecked, structured_expectations())
 
+    def _candidates(self, name: str, entities: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
+        documents = self.structured.select(*MATCH_COLUMNS)
+        return candidate_pairs(documents, entities, rules, pair_layout(self.workspace, f"{name}_layout", documents, entities, rules))
+
     @cached_property
     def member_candidates(self) -> DataFrame:
-        hot = stored_hot_blocks(self.workspace, "member_hot", self.structured, self.member, MEMBER_RULES)
-        return candidate_pairs(self.structured, self.member, MEMBER_RULES, hot)
+        return self._candidates("member", self.member, MEMBER_RULES)
 
     @cached_property
     def auth_candidates(self) -> DataFrame:
-        auths = self.auth_with_member
-        hot = stored_hot_blocks(self.workspace, "auth_hot", self.structured, auths, AUTH_RULES)
-        return candidate_pairs(self.structured, auths, AUTH_RULES, hot)
+        return self._candidates("auth", self.auth_with_member, AUTH_RULES)
 
     @cached_property
     def member_pairs(self) -> DataFrame:

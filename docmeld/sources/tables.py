@@ -26,3 +26,12 @@ SCHEMAS = {
 def scan(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[table]).parquet(f"{folder}/{table}.parquet")
 
+
+
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """A narrow table whose files give fewer splits than the session has cores, dealt by a hash of ``keys``.
+
+    For tables before a step that costs much more than moving their rows. One with splits enough stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)

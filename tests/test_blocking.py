@@ -1,8 +1,9 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from docmeld.operators.blocking import _cells, _entries, AUTH_RULES, MEMBER_RULES, Rule, candidate_pairs, hot_blocks, stored_hot_blocks
+from docmeld.operators.blocking import _cells, _entries, AUTH_RULES, MEMBER_RULES, Rule, candidate_pairs, hot_blocks, pair_layout, stored_hot_blocks
 from docmeld.plans.derived import DerivedTables
 from docmeld.workspace import Workspace
 
@@ -70,6 +71,58 @@ def test_no_hot_blocks_is_none(spark):
     assert stored_hot_blocks(Workspace(spark), "hot", left, right, MEMBER_RULES, 10) is not None
 
 
+@pytest.mark.parametrize("pairs_per_task", [20, 300, 10**6])
+def test_dealt_pairs_are_the_same(spark, pairs_per_task):
+    left, right, expected = tables(spark)
+    layout = pair_layout(Workspace(spark), "layout", left, right, MEMBER_RULES, pairs_per_task)
+    for limit in (1 << 20, 0):
+        got = found(candidate_pairs(left, right, MEMBER_RULES, layout, limit))
+        assert len(got) == len(set(got)) and set(got) == expected
+
+
+def per_task(pairs):
+    return sorted(r["count"] for r in pairs.groupBy(F.spark_partition_id()).count().collect())
+
+
+def test_tasks_form_about_as_many_pairs_each_whatever_the_skew(spark):
+    """A hot key, some large ones and a long tail, read as one split."""
+    key = "case when id % 3 = 0 then 'hot' when id % 3 = 1 then concat('k', id % 7) else cast(id as string) end"
+    left = spark.range(0, 6000, 1, 1).selectExpr("id", f"{key} as k")
+    right = spark.range(0, 900, 1, 1).selectExpr("id", f"{key} as k")
+    rules, ws = [Rule("k", "k")], Workspace(spark)
+    left, right = ws.store(left, "left"), ws.store(right, "right")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        layout = pair_layout(ws, "layout", left, right, rules, 40_000)
+        pairs = candidate_pairs(left, right, rules, layout).select("l_id", "r_id")
+        rows = per_task(pairs)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum(rows) == candidate_pairs(left, right, rules).count() and len(rows) == layout.tasks > 8
+    assert max(rows) <= 1.5 * sum(rows) / len(rows)
+    assert pairs.exceptAll(candidate_pairs(left, right, rules).select("l_id", "r_id")).isEmpty()
+
+
+def test_layout_knows_each_bucket_so_that_new_keys_find_a_task(spark):
+    left, right, _ = tables(spark)
+    layout = pair_layout(Workspace(spark), "layout", left, right, MEMBER_RULES, 50)
+    assert layout.buckets.count() == layout.n_buckets
+    other = spark.createDataFrame([(1, "late", None)], "id int, ssn4 string, dob string")
+    assert found(candidate_pairs(other, other, MEMBER_RULES, layout)) == [(1, 1)]
+    assert pair_layout(Workspace(spark), "none", left.limit(0), right.limit(0), MEMBER_RULES) is None
+
+
+def test_dealing_adds_no_shuffle_to_the_join(spark):
+    left, right, _ = tables(spark)
+    layout = pair_layout(Workspace(spark), "layout", left, right, MEMBER_RULES, 50)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = candidate_pairs(left, right, MEMBER_RULES, layout)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange shufflepartitionidpassthrough") == 2 and "Exchange hashpartitioning" not in plan
+
+
 def test_empty_string_is_a_key(spark):
     left = spark.createDataFrame([(1, "", None)], "id int, ssn4 string, dob string")
     assert found(candidate_pairs(left, left, MEMBER_RULES)) == [(1, 1)]

@@ -6,6 +6,7 @@ import pytest
 
 from docmeld.operators.blocking import MEMBER_RULES, candidate_pairs, hot_blocks
 from docmeld.plans.registry import QUERIES
+from docmeld.sources.tables import dealt
 from docmeld.workspace import Workspace
 
 
@@ -19,11 +20,17 @@ def test_texts_are_read_and_extracted_once(spark, sf_dir, name):
     assert "regexp_extract" not in text and "raw_text#" not in text and "documents.parquet" not in text
 
 
-@pytest.mark.parametrize("name", ["parse_documents", "extract_fields", "structure_documents", "jaro_winkler"])
+@pytest.mark.parametrize("name", ["parse_documents", "structure_documents", "jaro_winkler"])
 def test_scans_are_not_dealt_anew(spark, sf_dir, name):
     assert "Repartition" not in plan(QUERIES[name](spark, sf_dir))
 
 
+def test_narrow_tables_of_few_splits_are_dealt_before_costly_steps(spark, sf_dir):
+    assert "RepartitionByExpression [o_orderkey" in plan(QUERIES["extract_fields"](spark, sf_dir))
+    many = spark.range(0, 100, 1, 50)
+    assert dealt(many, "id") is many
+
+
 def test_share_of_total_is_no_window(spark, sf_dir):
     assert "Window" not in plan(QUERIES["auth_status_share"](spark, sf_dir))
 

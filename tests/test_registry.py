@@ -7,7 +7,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from docmeld.operators.blocking import stored_hot_blocks
+from docmeld.operators.blocking import pair_layout
 from docmeld.plans import derived
 from docmeld.plans.oracle_queries import ORACLE
 from docmeld.plans.registry import QUERIES, VIEWS
@@ -49,7 +49,7 @@ def test_query_equals_sql(spark, sf_dir, duck, name):
 
 
 def test_events_are_the_same_with_every_block_split_and_no_broadcast(spark, sf_dir, duck, monkeypatch):
-    monkeypatch.setattr(derived, "stored_hot_blocks", partial(stored_hot_blocks, pairs_per_task=2))
+    monkeypatch.setattr(derived, "pair_layout", partial(pair_layout, pairs_per_task=100))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         df = QUERIES["match_events"](spark, sf_dir)
