@@ -13,7 +13,7 @@ from docmeld.functions.similarity import jaro, jaro_winkler, register_functions
 from docmeld.operators import documents as docs
 from docmeld.operators import metrics, reports, scoring, validation
 from docmeld.operators.expectations import expectations_report, table_expectations
-from docmeld.operators.scoring import EVENT_DAY
+from docmeld.operators.scoring import EVENT_DAY, EVENT_MONTH
 from docmeld.operators.gates import QualityBreach, refresh_views, run_gates
 from docmeld.plans.derived import DerivedTables
 from docmeld.sources.files import binary_file_stream
@@ -356,7 +356,7 @@ def stream_full_refresh(t: DerivedTables) -> DataFrame:
 def _stream_table(t: DerivedTables, name: str) -> DataFrame:
     pipeline = _pipeline(t)
     pipeline.run(tables=(name,))
-    return pipeline.table(name).drop(EVENT_DAY)
+    return pipeline.table(name).drop(EVENT_DAY, EVENT_MONTH)
 
 
 @query
