@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docmeld.llm import exact_dedup, fingerprint, language, lattice, licenses, mixing, ngram_join, packing, pii, toxicity
+from docmeld.llm import exact_dedup, fingerprint, language, lattice, licenses, merkle, mixing, ngram_join, packing, pii, toxicity
 from docmeld.llm.common import fold
 
 #: Vocabularies: of the packing tokenizer, and of the scored pieces.
@@ -80,11 +80,21 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit(table(spark, sf_dir, "documents"), vocabulary(PACKING_VOCABULARY))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.when(fold(F.col("doc_id"), 7) == 0, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    found = merkle.manifest(table(spark, sf_dir, "documents"), {"n_chars": tampered})
+    folded = found.withColumn("folded_root", merkle.folded(F.col("claimed"), F.col("path")))
+    return folded.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof(F.col("path")).alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_pii_spans, op2_order_minhash, op3_lattice_score, op4_language_mixture, op5_license_scan,
-        op6_exact_dedup, op7_toxicity, op8_ngram_join, op9_mixing, op10_packing,
+        op6_exact_dedup, op7_toxicity, op8_ngram_join, op9_mixing, op10_packing, op13_merkle_manifest,
     )
 }
 
@@ -142,4 +152,43 @@ ORACLE = {
                                     THEN 1 ELSE 0 END) * size)::BIGINT AS taken
         FROM rated
     """,
+    # CRC-32 bit by bit; levels of all trees by recursion; the path of a leaf is the neighbour of its ancestor at each level.
+    "op13_merkle_manifest": r"""
+        WITH RECURSIVE d AS (
+            SELECT *, list_reduce([4294967295::UBIGINT] || list_transform(list_filter(string_split(coalesce(doc_id::VARCHAR, ''), ''), lambda c: c <> ''), lambda c: ord(c)::UBIGINT),
+                       lambda crc, c: list_reduce([xor(crc, c), 0, 0, 0, 0, 0, 0, 0, 0], lambda r, z: xor(r >> 1, 3988292384::UBIGINT * (r & 1)))) AS crc
+            FROM documents
+        ), f AS (
+            SELECT *, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') AS a,
+                   coalesce(strlen(text) || ':' || text, '-') AS z, n_chars + (xor(crc, 4294967295::UBIGINT) % 7 = 0)::BIGINT AS m, coalesce('=' || lang, '-') AS tree
+            FROM d
+        ), l AS (
+            SELECT doc_id, tree, sha256(a || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || z) AS leaf, sha256(a || coalesce(strlen(m::VARCHAR) || ':' || m, '-') || z) AS claimed,
+                   row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST) - 1 AS i, count(*) OVER (PARTITION BY tree) AS n
+            FROM f
+        ), nodes AS (
+            SELECT tree, 0 AS level, i, n, leaf AS h FROM l
+            UNION ALL SELECT tree, level + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM nodes WHERE n > 1 GROUP BY tree, level, i // 2, n
+        ), roots AS (
+            SELECT tree, h AS subroot, row_number() OVER (ORDER BY tree) - 1 AS i, count(*) OVER () AS n FROM nodes WHERE n = 1
+        ), top AS (
+            SELECT 0 AS level, i, n, subroot AS h FROM roots
+            UNION ALL SELECT level + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM top WHERE n > 1 GROUP BY level, i // 2, n
+        ), lower_path AS (
+            SELECT l.tree, l.i, list(CASE WHEN s.h IS NULL THEN '-' WHEN s.i % 2 = 0 THEN 'L' || s.h ELSE 'R' || s.h END ORDER BY o.level) AS path
+            FROM l JOIN nodes AS o ON o.tree = l.tree AND o.i = l.i >> o.level AND o.n > 1 LEFT JOIN nodes AS s ON s.tree = o.tree AND s.level = o.level AND s.i = xor(o.i, 1)
+            GROUP BY l.tree, l.i
+        ), upper_path AS (
+            SELECT r.tree, list(CASE WHEN s.h IS NULL THEN '-' WHEN s.i % 2 = 0 THEN 'L' || s.h ELSE 'R' || s.h END ORDER BY o.level) AS path
+            FROM roots AS r JOIN top AS o ON o.i = r.i >> o.level AND o.n > 1 LEFT JOIN top AS s ON s.level = o.level AND s.i = xor(o.i, 1)
+            GROUP BY r.tree
+        ), p AS (
+            SELECT l.doc_id, l.leaf, l.claimed, r.subroot, t.h AS root, coalesce(a.path, []) || coalesce(b.path, []) AS path
+            FROM l JOIN roots AS r ON r.tree = l.tree JOIN top AS t ON t.n = 1 LEFT JOIN lower_path AS a ON a.tree = l.tree AND a.i = l.i LEFT JOIN upper_path AS b ON b.tree = l.tree
+        ), g AS (
+            SELECT *, list_reduce([claimed] || path, lambda h, s: sha256(CASE s[1] WHEN 'L' THEN s[2:] || h WHEN 'R' THEN h || s[2:] ELSE h END)) AS folded_root FROM p
+        )
+        SELECT doc_id, leaf, subroot, root, sha256(coalesce(array_to_string(list_transform(list_filter(path, lambda s: s <> '-'), lambda s: s[2:]), ''), '')) AS proof_sha256, folded_root, folded_root = root AS verified
+        FROM g
+    """,
 }
