@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docmeld.llm import exact_dedup, fingerprint, language, lattice, licenses, merkle, mixing, ngram_join, packing, pii, toxicity
+from docmeld.llm import divergence, exact_dedup, fingerprint, language, lattice, licenses, merkle, mixing, ngram_join, packing, pii, toxicity
 from docmeld.llm.common import fold
 
 #: Vocabularies: of the packing tokenizer, and of the scored pieces.
@@ -80,6 +80,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit(table(spark, sf_dir, "documents"), vocabulary(PACKING_VOCABULARY))
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     tampered = F.when(fold(F.col("doc_id"), 7) == 0, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
     found = merkle.manifest(table(spark, sf_dir, "documents"), {"n_chars": tampered})
@@ -94,7 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_pii_spans, op2_order_minhash, op3_lattice_score, op4_language_mixture, op5_license_scan,
-        op6_exact_dedup, op7_toxicity, op8_ngram_join, op9_mixing, op10_packing, op13_merkle_manifest,
+        op6_exact_dedup, op7_toxicity, op8_ngram_join, op9_mixing, op10_packing, op12_source_divergence, op13_merkle_manifest,
     )
 }
 
@@ -152,6 +156,44 @@ ORACLE = {
                                     THEN 1 ELSE 0 END) * size)::BIGINT AS taken
         FROM rated
     """,
+    "op12_source_divergence": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+            FROM documents
+        ), t AS (
+            SELECT id, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+        ), kept AS (
+            SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT id) >= 3
+        ), v AS (
+            SELECT lang, count(*)::HUGEINT AS v FROM kept GROUP BY lang
+        ), c AS (
+            SELECT lang, source, term, count(*)::HUGEINT AS n FROM t SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term
+        ), g AS (
+            SELECT DISTINCT lang, source FROM d
+        ), total AS (
+            SELECT lang, source, coalesce(sum(n), 0)::HUGEINT AS total FROM g LEFT JOIN c USING (lang, source) GROUP BY lang, source
+        ), p AS (
+            SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (total.total + v.v) AS p
+            FROM g JOIN kept AS k USING (lang) JOIN total USING (lang, source) JOIN v USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+        ), lang_total AS (
+            SELECT lang, sum(total)::HUGEINT AS total FROM total GROUP BY lang
+        ), q AS (
+            SELECT k.lang, k.term, 1 + (1000000000::HUGEINT * (coalesce(sum(c.n), 0)::HUGEINT + 1)) // (any_value(lang_total.total) + any_value(v.v)) AS q
+            FROM kept AS k JOIN lang_total USING (lang) JOIN v USING (lang) LEFT JOIN c ON c.lang = k.lang AND c.term = k.term GROUP BY k.lang, k.term
+        ), pairs AS (
+            SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p)::BIGINT AS value
+            FROM p AS a JOIN p AS b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+        ), all_pairs AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(pairs.value, 0) AS value
+            FROM g AS a JOIN g AS b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+        ), more AS (
+            SELECT p.lang, p.source, 'term' AS part, p.term AS item, ((p.p - q.q) * (p.p - q.q) // q.q)::BIGINT AS value FROM p JOIN q USING (lang, term) WHERE p.n > 0 AND p.p > q.q
+        )
+        SELECT *, (row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item))::INT AS rank FROM all_pairs
+        UNION ALL
+        SELECT *, (row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item))::INT AS rank FROM more QUALIFY rank <= 200
+    """,
     # CRC-32 bit by bit; levels of all trees by recursion; the path of a leaf is the neighbour of its ancestor at each level.
     "op13_merkle_manifest": r"""
         WITH RECURSIVE d AS (
