@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docmeld.llm import divergence, exact_dedup, fingerprint, language, lattice, licenses, merkle, mixing, ngram_join, packing, pii, toxicity
+from docmeld.llm import divergence, exact_dedup, fingerprint, html_blocks, language, lattice, licenses, merkle, mixing, ngram_join, packing, pii, toxicity
 from docmeld.llm.common import fold
 
 #: Vocabularies: of the packing tokenizer, and of the scored pieces.
@@ -80,6 +80,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit(table(spark, sf_dir, "documents"), vocabulary(PACKING_VOCABULARY))
 
 
+def op11_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_blocks.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
@@ -98,7 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_pii_spans, op2_order_minhash, op3_lattice_score, op4_language_mixture, op5_license_scan,
-        op6_exact_dedup, op7_toxicity, op8_ngram_join, op9_mixing, op10_packing, op12_source_divergence, op13_merkle_manifest,
+        op6_exact_dedup, op7_toxicity, op8_ngram_join, op9_mixing, op10_packing, op11_html_text, op12_source_divergence, op13_merkle_manifest,
     )
 }
 
