@@ -63,6 +63,8 @@ LABELLED = (
     (7, 0.00, 1, 1.00, 120, 0.00, 0, 1, 0, 1), (5, 0.60, 33, 0.00, 30, 0.00, 0, 1, 0, 1), (2, 0.00, 0, 0.00, 0, 0.00, 0, 1, 0, 1),
     (9, 0.50, 40, 0.00, 0, 0.00, 0, 1, 0, 1), (2, 0.50, 1, 1.00, 0, 0.00, 0, 1, 0, 1), (4, 0.50, 30, 0.00, 8, 0.00, 0, 1, 0, 1),
     (6, 0.67, 20, 0.00, 2, 0.50, 0, 1, 0, 1), (3, 0.33, 3, 0.33, 3, 0.33, 0, 1, 0, 1), (8, 0.75, 60, 0.00, 30, 0.00, 0, 1, 0, 1),
+    (20, 0.00, 5, 0.00, 2, 1.00, 0, 1, 0, 1), (3, 0.00, 2, 0.00, 1, 1.00, 0, 1, 0, 1), (60, 0.00, 1, 1.00, 1, 1.00, 0, 1, 0, 1),
+    (9, 0.11, 12, 0.00, 4, 1.00, 0, 1, 0, 1), (31, 0.00, 0, 0.00, 1, 1.00, 0, 1, 0, 1), (12, 0.00, 24, 0.30, 3, 0.80, 0, 1, 0, 1),
     # its headings
     (9, 0.00, 6, 1.00, 48, 0.00, 0, 1, 1, 1), (4, 0.00, 75, 0.00, 62, 0.00, 0, 1, 1, 1), (12, 0.00, 11, 0.00, 1, 0.00, 0, 1, 1, 1),
     (6, 1.00, 1, 1.00, 60, 0.00, 0, 1, 1, 1),
@@ -78,7 +80,8 @@ LABELLED = (
     (58, 0.02, 44, 0.00, 66, 0.01, 0, 0, 0, 1), (35, 0.00, 4, 0.00, 80, 0.00, 0, 0, 0, 1), (90, 0.12, 3, 1.00, 40, 0.00, 0, 0, 0, 1),
     (18, 0.00, 55, 0.00, 61, 0.00, 0, 0, 0, 1), (6, 0.00, 72, 0.00, 47, 0.00, 0, 0, 0, 1), (12, 0.00, 60, 0.00, 3, 1.00, 0, 0, 0, 1),
     (28, 0.00, 30, 0.00, 5, 0.20, 0, 0, 0, 1), (7, 0.00, 2, 1.00, 64, 0.00, 0, 0, 1, 1), (5, 0.00, 48, 0.00, 52, 0.00, 0, 0, 1, 1),
-    (24, 0.00, 0, 0.00, 0, 0.00, 0, 0, 0, 1), (21, 0.00, 9, 0.00, 26, 0.00, 0, 0, 0, 1),
+    (15, 0.00, 30, 0.00, 0, 0.00, 0, 0, 0, 1), (11, 0.00, 40, 0.00, 0, 0.00, 0, 0, 0, 1), (26, 0.00, 14, 0.00, 2, 1.00, 0, 0, 0, 1),
+    (40, 0.03, 4, 1.00, 3, 1.00, 0, 0, 0, 1), (24, 0.00, 0, 0.00, 0, 0.00, 0, 0, 0, 1), (21, 0.00, 9, 0.00, 26, 0.00, 0, 0, 0, 1),
     # and what is around it there
     (2, 1.00, 2, 1.00, 3, 1.00, 0, 0, 0, 0), (3, 1.00, 0, 0.00, 2, 1.00, 0, 0, 0, 0), (6, 0.00, 2, 1.00, 3, 1.00, 0, 0, 0, 0),
     (9, 0.33, 52, 0.00, 0, 0.00, 0, 0, 0, 0), (4, 0.00, 3, 0.00, 2, 1.00, 0, 0, 0, 0), (16, 0.75, 7, 1.00, 9, 0.90, 0, 0, 0, 0),
