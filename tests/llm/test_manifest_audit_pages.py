@@ -13,7 +13,7 @@ from helpers import LONG, frame, lower, odd_rows, rows_of
 from pyspark.sql import functions as F
 
 from docmeld.llm import divergence, html_blocks, merkle, queries
-from docmeld.llm.divergence import PerfectHash
+from docmeld.llm.divergence import Lookup, perfect_hash
 
 
 def in_order(rows):
@@ -132,19 +132,20 @@ def test_tampering_is_found(spark):
 # Audit
 
 
-@pytest.mark.parametrize("n", [0, 1, 2, 50, 5000])
-def test_perfect_hash_is_minimal_and_knows_its_terms(n):
+@pytest.mark.parametrize("n, shards", [(0, 1), (1, 1), (2, 3), (50, 4), (5000, 7)])
+def test_perfect_hash_is_minimal_and_knows_its_terms(n, shards):
     words = [f"term{i}".encode() for i in range(n)]
-    perfect = PerfectHash.unpacked(PerfectHash.of(words).packed())
-    assert sorted(perfect.slots(words).tolist()) == list(range(n))
-    assert all(perfect.words[s] == w for w, s in zip(words, perfect.slots(words).tolist()))
-    assert set(perfect.slots([b"other%d" % i for i in range(3000)]).tolist()) == {-1}
+    of = divergence.shard_of(divergence.term_hashes(words), shards)
+    lookup = Lookup.of([perfect_hash([w for w, s in zip(words, of.tolist()) if s == k]) for k in range(shards)])
+    assert len(lookup) == n and sorted(lookup.slots(words).tolist()) == list(range(n))
+    assert all(lookup.words[s].as_py() == w for w, s in zip(words, lookup.slots(words).tolist()))
+    assert set(lookup.slots([b"other%d" % i for i in range(3000)]).tolist()) == {-1}
 
 
 def test_terms_of_equal_hash_are_told_apart(monkeypatch):
-    monkeypatch.setattr(divergence, "term_hashes", lambda words: np.array([len(w) for w in words], np.uint64))
-    perfect = PerfectHash.of([b"ab", b"cd", b"efg"])
-    assert sorted(perfect.slots([b"ab", b"cd", b"efg"]).tolist()) == [0, 1, 2] and perfect.slots([b"xy", b"xyz"]).tolist() == [-1, -1]
+    monkeypatch.setattr(divergence, "term_hashes", lambda words: np.array([len(w) << 32 for w in words], np.uint64))
+    lookup = Lookup.of([perfect_hash([b"ab", b"cd", b"efg"]), perfect_hash([])])
+    assert sorted(lookup.slots([b"ab", b"cd", b"efg"]).tolist()) == [0, 1, 2] and lookup.slots([b"xy", b"xyz"]).tolist() == [-1, -1]
 
 
 def plain_audit(rows, least=3, top=200):
