@@ -35,7 +35,7 @@ GAMMA, LEVELS = 2, 24
 #: All shards together are broadcast up to this size.
 BROADCAST_BYTES = 64 << 20
 #: Counts that a task holds before it hands them over.
-HELD_TERMS, HELD_BYTES = 300_000, 32 << 20
+HELD_TERMS, HELD_BYTES = 300_000, 96 << 20
 #: Sources of a language whose counts are compared together.
 BLOCK = 128
 _TERM = re.compile(rb"[A-Za-z\x80-\xff]+")
