@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
+from functools import cache, wraps
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -11,8 +13,10 @@ from docmeld.workspace import Workspace
 
 #: Rows whose texts a task holds as Python objects at a time.
 CHUNK = 256
-#: A side is broadcast up to this many bytes; beyond it Spark joins by shuffling.
-BROADCAST_BYTES = 64 << 20
+#: A side is broadcast up to this many bytes as Spark holds it, keys and their table included; beyond it Spark joins by shuffling.
+BROADCAST_BYTES, RELATION_ROW = 64 << 20, 56
+#: What workers remember from task to task, by the operator that does.
+_remembered: dict[str, Callable[[], None]] = {}
 
 
 def fold(id_column: Column, folds: int) -> Column:
@@ -20,6 +24,38 @@ def fold(id_column: Column, folds: int) -> Column:
     return F.crc32(F.coalesce(id_column.cast("string"), F.lit("")).cast("binary")) % folds
 
 
+def remembers(operator: str, forget: Callable[[], None]) -> None:
+    """Say how to make a worker process forget what an operator keeps for its next tasks."""
+    _remembered[operator] = forget
+
+
+@cache
+def _trim() -> Callable[[int], int] | None:
+    return getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def released(run: Callable[[Iterator], Iterator], operator: str = "") -> Callable[[Iterator], Iterator]:
+    """``run`` over the batches of a task, whose worker holds no more than it needs.
+
+    Workers outlive their tasks: when one of another operator begins, what was remembered goes, and what a task frees goes
+    back to the system when it ends.
+    """
+
+    @wraps(run)
+    def whole(batches: Iterator) -> Iterator:
+        for name, forget in _remembered.items():
+            if name != operator:
+                forget()
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if trim := _trim():
+                trim(0)
+
+    return whole
+
+
 def chunks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     for at in range(0, batch.num_rows, CHUNK):
         yield batch.slice(at, CHUNK)
@@ -38,12 +74,12 @@ def map_texts(df: DataFrame, rows: Callable[[pa.RecordBatch], dict], schema: str
             for part in chunks(batch):
                 yield pa.RecordBatch.from_pydict(rows(part))
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(released(run), schema)
 
 
 def checked_broadcast(df: DataFrame, bytes_per_row: int, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """``df``, which must be a stored table, marked for broadcasting if its counted rows fit the limit."""
-    return F.broadcast(df) if df.count() * bytes_per_row <= limit else df
+    """``df``, which must be a stored table, marked for broadcasting if its counted rows of ``bytes_per_row`` fit the limit."""
+    return F.broadcast(df) if df.count() * (bytes_per_row + RELATION_ROW) <= limit else df
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

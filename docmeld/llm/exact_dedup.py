@@ -16,11 +16,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from docmeld.llm import quotient
-from docmeld.llm.common import CHUNK, checked_broadcast, map_texts, shuffle_partitions, text_bytes
+from docmeld.llm.common import checked_broadcast, map_texts, shuffle_partitions, text_bytes
 from docmeld.workspace import Workspace
 
 #: Fingerprints that a task holds before it hands over its filter.
 FILTER_ROWS = 2_000_000
+#: Fingerprints of a block, about.
+BLOCK_ROWS = 2_000_000
 #: Copies of each group's row that its members are dealt over, so that one huge group is no hot join key.
 SALTS = 16
 _FILTER = "block int, quotient_bits int, occupied binary, ends binary, remainders binary, counts binary"
@@ -58,7 +60,9 @@ def _texts(docs: DataFrame, bits: int) -> DataFrame:
 
 def repeated_fingerprints(ws: Workspace, prints: DataFrame, bits: int = quotient.BITS) -> DataFrame:
     """Stored (fingerprint) of those that occur in more than one row of ``prints``."""
-    block_bits = max(1, min(16, (shuffle_partitions(ws.spark) - 1).bit_length()))
+    # as many blocks as there are tasks, and more where a block would hold too many fingerprints for one group
+    blocks = max(shuffle_partitions(ws.spark), -(-prints.count() // BLOCK_ROWS))
+    block_bits = max(1, min(24, (blocks - 1).bit_length()))
     low = bits - block_bits
 
     def filters(values: np.ndarray) -> Iterator[pd.DataFrame]:

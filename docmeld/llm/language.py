@@ -16,12 +16,10 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from docmeld.llm.common import chunks, fold, map_texts, text_bytes
+from docmeld.llm.common import chunks, fold, map_texts, released, text_bytes
 
 #: Buckets that n-grams are hashed to; with one row of numbers per language this bounds the model.
 BUCKETS = 1 << 16
-#: Documents whose grams are counted together before a task hands over its counts.
-FLUSH_BYTES = 64 << 20
 ITERATIONS = 12
 UNKNOWN = "und"
 _LETTER = frozenset({"Lu", "Ll", "Lt", "Lm", "Lo"})
@@ -118,7 +116,7 @@ def fit(docs: DataFrame, train: Column | None = None, text: str = "text", lang:
         s = sum(np.frombuffer(c, np.int64) for c in group["counts"])
         return pd.DataFrame({"lang": [group["lang"].iloc[0]], "counts": [s.tobytes()]})
 
-    found = rows.mapInArrow(count, "lang string, counts binary").groupBy("lang").applyInPandas(total, "lang string, counts binary").collect()
+    found = rows.mapInArrow(released(count), "lang string, counts binary").groupBy("lang").applyInPandas(total, "lang string, counts binary").collect()
     found = sorted((r["lang"], np.frombuffer(bytes(r["counts"]), np.int64)) for r in found)
     table = np.stack([(c + 0.5) / (c.sum() + 0.5 * BUCKETS) for _, c in found], 1) if found else np.empty((BUCKETS, 0))
     return LanguageModel(tuple(name for name, _ in found), table)
@@ -164,8 +162,7 @@ def keep_identified(docs: DataFrame, model: LanguageModel, least: float = 0.5, d
     explains them; all columns stay as they are. If nothing was learned, all with a letter stay."""
     shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.table))
 
-    @F.pandas_udf("boolean")
-    def clear(texts: pd.Series) -> pd.Series:
+    def clear(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = LanguageModel(*shared.value)
 
         def stays(text: str) -> bool:
@@ -174,6 +171,7 @@ def keep_identified(docs: DataFrame, model: LanguageModel, least: float = 0.5, d
             chosen, share = model.mixture(text.encode())
             return len(share) > 0 and (share[0] >= least or model.explains(text.encode(), chosen, share))
 
-        return pd.Series([bool(t) and has_letter(t) and bool(stays(t)) for t in texts], dtype=bool)
+        for texts in batches:
+            yield pd.Series([bool(t) and has_letter(t) and bool(stays(t)) for t in texts], dtype=bool)
 
-    return docs.filter(clear(F.col(text)))
+    return docs.filter(F.pandas_udf(released(clear), "boolean", F.PandasUDFType.SCALAR_ITER)(F.col(text)))

@@ -24,9 +24,10 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
-def coin(doc_id: Column, seed: str) -> Column:
-    """A number in [0, 1) that depends on the id and the seed alone."""
-    digest = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), F.lit(""))).cast("binary"))
+def coin(doc_id: Column, text: Column, seed: str) -> Column:
+    """A number in [0, 1) that depends on the id, the text and the seed alone."""
+    parts = [F.coalesce(doc_id.cast("string"), F.lit("")), F.md5(F.coalesce(text, F.lit("")).cast("binary"))]
+    digest = F.md5(F.concat_ws(":", F.lit(seed), *parts).cast("binary"))
     return F.conv(F.substring(digest, 1, _COIN_HEX), 16, 10).cast("double") / float(16**_COIN_HEX)
 
 
@@ -74,13 +75,15 @@ def mix(
 
     Sources in code point order, null as a source of its own at the end, take ``weights`` in turn and share
     ``share`` times all words; no source takes more than ``most`` times its own. A null or empty text has size 0;
-    a source without words has target 0. Rows that repeat an id take equal coins; tied sources cannot occur.
+    a source without words has target 0. Coins follow id and text, so rows that have one id, or none, go each by its own
+    text; only rows equal in both go together. Texts are taken whole. Tied sources cannot occur.
     Empty input gives no rows.
     """
     ws = Workspace(docs.sparkSession)
     key = F.col(source).alias("_source")
     sized = docs.select(F.col(doc_id).alias("_id"), key, F.col(text).alias("_text"), *(F.col(c).alias(f"_keep_{i}") for i, c in enumerate(keep)))
-    sized = with_once(sized, "size", word_count(F.col("_text")))
+    sized = with_once(sized, "_own", F.struct(word_count(F.col("_text")).alias("size"), coin(F.col("_id"), F.col("_text"), seed).alias("coin")))
+    sized = sized.withColumn("size", F.col("_own.size")).withColumn("_coin", F.col("_own.coin")).drop("_own")
     narrow = sized.drop("_text", *(f"_keep_{i}" for i in range(len(keep))))
     # without further columns the counted rows are stored and the texts are read once
     narrow = narrow if keep else ws.store(narrow, "mix-sizes")
@@ -89,7 +92,7 @@ def mix(
     rows = (sized if keep else narrow).withColumn("_at", F.pmod(F.xxhash64("_id", "size"), F.lit(SALTS)).cast("int"))
     rows = rows.join(rates, F.col("_source").eqNullSafe(F.col("_of")) & (F.col("_at") == F.col("_salt")))
     whole = F.floor("rate")
-    copies = whole + (coin(F.col("_id"), seed) < F.col("rate") - whole).cast("long")
+    copies = whole + (F.col("_coin") < F.col("rate") - whole).cast("long")
     return rows.select(
         F.col("_id").alias("doc_id"), "size", "source_size", "target", copies.alias("copies"),
         *(F.col(f"_keep_{i}").alias(c) for i, c in enumerate(keep) if c != "doc_id"),

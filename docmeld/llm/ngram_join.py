@@ -21,7 +21,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from docmeld.llm.common import CHUNK, checked_broadcast, chunks, components, map_texts, shuffle_partitions, text_bytes
+from docmeld.llm.common import CHUNK, checked_broadcast, chunks, components, map_texts, released, shuffle_partitions, text_bytes
 from docmeld.llm.shingles import digest, keys, shingle_set
 from docmeld.workspace import Workspace
 
@@ -32,8 +32,8 @@ CELL = 2_000
 FANOUT = 32
 #: Rows of small buckets that one task searches together.
 BUNDLE = 20_000
-#: Keys that are sorted together.
-KEYS_PER_PART = 300_000
+#: Keys that are sorted together, while that takes no more than so many parts; larger parts are sorted on disk.
+KEYS_PER_PART, MOST_PARTS = 300_000, 4_000
 SALTS = 16
 #: Pairs whose summed minima are computed at a time.
 _PAIRS = 1 << 15
@@ -137,7 +137,7 @@ def _meetings(docs: DataFrame, words: int, least: int) -> DataFrame:
                         ids.append(np.full(len(found[-1]), d))
                 yield pa.RecordBatch.from_pydict({"key": _signed(np.concatenate(found)), "digest": np.concatenate(ids)})
 
-    return docs.select("text").mapInArrow(run, "key long, digest long")
+    return docs.select("text").mapInArrow(released(run, "shingles"), "key long, digest long")
 
 
 def _made(ws: Workspace, docs: DataFrame, reps: DataFrame, digests: DataFrame, words: int, column: str, name: str) -> DataFrame:
@@ -163,7 +163,7 @@ def _made(ws: Workspace, docs: DataFrame, reps: DataFrame, digests: DataFrame, w
                 kinds = {"digest": pa.int64(), "n": pa.int64(), column: pa.binary()}
                 yield pa.RecordBatch.from_pydict({k: pa.array([r[i] for r in rows], t) for i, (k, t) in enumerate(kinds.items())})
 
-    made = chosen.select("text").mapInArrow(run, f"digest long, n long, {column} binary")
+    made = chosen.select("text").mapInArrow(released(run, "shingles"), f"digest long, n long, {column} binary")
     return ws.store(made.join(checked_broadcast(wanted.select("digest"), 8), "digest", "left_semi"), name)
 
 
@@ -195,10 +195,10 @@ class _Verifier:
                         kept.append(bool(_can_link(both, len(p) + len(q), least)))
                     yield part.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
-        near = self.ws.store(_with_sides(pairs, self.counts, "counts").mapInArrow(bounded, "a long, b long").distinct(), f"{name}-near")
+        near = self.ws.store(_with_sides(pairs, self.counts, "counts").mapInArrow(released(bounded), "a long, b long").distinct(), f"{name}-near")
         digests = near.select(F.explode(F.array("a", "b")).alias("digest")).distinct()
         sets = _made(self.ws, self.docs, self.reps, digests, self.words, "hashes", f"{name}-sets")
-        return self.ws.store(_with_sides(near, sets, "hashes").mapInArrow(verified, "a long, b long").distinct(), f"{name}-links")
+        return self.ws.store(_with_sides(near, sets, "hashes").mapInArrow(released(verified), "a long, b long").distinct(), f"{name}-links")
 
 
 def _with_sides(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
@@ -267,7 +267,7 @@ def _groups(ws: Workspace, docs: DataFrame, words: int, least: int, doc_id: str,
     points = ws.store(map_texts(own, sizes, "doc_id long, n_shingles long, digest long"), "points")
     # as many parts as keep the keys of one within a sort of moderate size; a set has fewer keys than half its shingles
     keys_at_most = (points.agg(F.sum("n_shingles")).first()[0] or 0) // 2
-    parts = max(shuffle_partitions(ws.spark), keys_at_most // KEYS_PER_PART)
+    parts = max(shuffle_partitions(ws.spark), min(MOST_PARTS, keys_at_most // KEYS_PER_PART))
     dealt = _meetings(own, words, least).repartition(parts, "key")
     shared = dealt.groupBy("key").agg(F.min("digest").alias("first"), F.max("digest").alias("last"), F.count("*").alias("size"))
     shared = shared.filter("first <> last").select("key", "size")
@@ -335,6 +335,5 @@ def deduplicate(docs: DataFrame, words: int = 5, least: int = 80, doc_id: str =
     rows = docs.toDF(*names).withColumn("_digest", own_digest(F.col(at[text]).cast("string")))
     rows = rows.join(checked_broadcast(gone, 16), F.col(at[doc_id]).cast("long").eqNullSafe(F.col("__docmeld_gone")) & (F.col("_digest") == F.col("__docmeld_digest")), "left_anti")
     # of rows with the same id and set one stays; a row without a set is like no other
-    alone = F.when(F.col("_digest").isNull(), F.monotonically_increasing_id())
-    rows = rows.withColumn("_alone", alone).dropDuplicates([at[doc_id], "_digest", "_alone"])
+    rows = rows.filter("_digest is null").unionAll(rows.filter("_digest is not null").dropDuplicates([at[doc_id], "_digest"]))
     return rows.select(*(F.col(k).alias(c) for k, c in names.items()))

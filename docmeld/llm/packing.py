@@ -20,7 +20,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from docmeld.llm.common import chunks, text_bytes
+from docmeld.llm.common import chunks, released, remembers, text_bytes
 from docmeld.workspace import Workspace
 
 #: Pieces that are packed together.
@@ -111,6 +111,9 @@ def _word_ids(path: str) -> WordIds:
     return WordIds(path)
 
 
+remembers("packing", _word_ids.cache_clear)
+
+
 def pieces(docs: DataFrame, tokenizer: str, capacity: int, doc_id: str = "doc_id", text: str = "text", end_id: int = 0) -> DataFrame:
     """Rows (doc_id, piece, start, length, ids_crc32): whole documents, or consecutive pieces of those above the capacity."""
 
@@ -128,7 +131,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, doc_id: str = "doc_id
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
 
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return own.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return own.mapInArrow(released(run, "packing"), "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def sum_of_squares(lengths: np.ndarray, capacity: int) -> np.ndarray:

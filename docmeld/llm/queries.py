@@ -136,7 +136,7 @@ ORACLE = {
     # Adding sources in the order of limit over weight, the first that stays below its limit ends the list.
     "op9_mixing": r"""
         WITH s AS (
-            SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents
+            SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size, md5(coalesce(text, '')) AS digest FROM documents
         ), by_source AS (
             SELECT source, sum(size)::BIGINT AS source_size FROM s GROUP BY source
         ), weighted AS (
@@ -152,11 +152,11 @@ ORACLE = {
         ), targets AS (
             SELECT source, source_size, least(cap, coalesce(level, 0.0::DOUBLE) * w) AS target FROM weighted LEFT JOIN level ON true
         ), rated AS (
-            SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0::DOUBLE END AS rate
+            SELECT doc_id, size, digest, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0::DOUBLE END AS rate
             FROM s JOIN targets ON s.source IS NOT DISTINCT FROM targets.source
         )
         SELECT doc_id, size, source_size, target,
-               ((floor(rate) + CASE WHEN ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, 12))::UBIGINT / 281474976710656.0::DOUBLE < rate - floor(rate)
+               ((floor(rate) + CASE WHEN ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '') || ':' || digest), 1, 12))::UBIGINT / 281474976710656.0::DOUBLE < rate - floor(rate)
                                     THEN 1 ELSE 0 END) * size)::BIGINT AS taken
         FROM rated
     """,

@@ -9,6 +9,8 @@ from typing import NamedTuple
 
 import numpy as np
 
+from docmeld.llm.common import remembers
+
 #: Sets up to this size meet by their smallest hashes, larger ones by equal segments.
 SMALL = 32
 #: Words whose hashes a worker remembers; frequent ones are soon back after it forgets.
@@ -16,6 +18,7 @@ KNOWN_WORDS = 50_000
 _STEP = 1.4
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _known: dict[bytes, int] = {}
+remembers("shingles", _known.clear)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
