@@ -214,11 +214,44 @@ def test_a_long_word_is_one_lattice(pieces):
     assert pieces.log10(word.encode()) == pytest.approx(forward[-1] / math.log(10), rel=1e-9)
 
 
-def plain_minhash(text):
-    """By definition: all numbered k-mers, ordered per component by their hash from the component's start upwards."""
-    k, points = fingerprint.K, text
-    grams = [points[i : i + k] for i in range(max(1, len(points) - k + 1))] if points else []
-    return grams
+def mixed(x):
+    """A bijection of 64-bit numbers, in whole numbers."""
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 % 2**64
+    x = (x ^ x >> 27) * 0x94D049BB133111EB % 2**64
+    return x ^ x >> 31
+
+
+def plain_minhash(text, k=5, components=64, selected=2):
+    """By definition: every numbered k-mer has a hash; a component takes the ones that follow its start on the circle of hashes,
+    ties by place, and hashes them in the order of the text."""
+    numbered, seen = [], Counter()
+    for place in range(max(1, len(text) - k + 1)) if text else ():
+        code = min(k, len(text))
+        for c in text[place : place + k]:
+            code = (code + ord(c)) * 0x9E3779B97F4A7C15 % 2**64
+            code ^= code >> 29
+        kmer = mixed(code) >> 32 << 32
+        numbered.append((mixed((kmer + mixed(seen[kmer] + 1)) % 2**64) >> 32, place))
+        seen[kmer] += 1
+    out = []
+    for component in range(components):
+        start = component * 2**32 // components
+        chosen = sorted(numbered, key=lambda hp: ((hp[0] - start) % 2**32, hp[1]))[: min(selected, len(numbered))]
+        value = 0
+        for h, _ in sorted(chosen, key=lambda hp: hp[1]):
+            value = mixed((value + (h << 32) + 1) % 2**64)
+        out.append(value >> 48)
+    return out
+
+
+def test_components_equal_those_by_definition():
+    rng = random.Random(5)
+    texts = ["", "a", "abcd", "abcde", "aaaaaaaaa", "\U0001f600é" * 7, "abcabcabc" * 9]
+    texts += ["".join(rng.choice("abc de") for _ in range(rng.randrange(1, 400))) for _ in range(30)]
+    for text in texts:
+        assert fingerprint.order_minhash(text).tolist() == plain_minhash(text)
+    # the definition depends on each of its parts
+    assert plain_minhash(texts[-1]) != plain_minhash(texts[-1], k=4) and plain_minhash(texts[-1]) != plain_minhash(texts[-1], selected=3)
 
 
 def test_fingerprints_of_edits_moves_and_lengths():
@@ -234,7 +267,6 @@ def test_fingerprints_of_edits_moves_and_lengths():
     assert like(text, halves) < 0.7
     # a k-mer hashes alike whatever the length of its text
     assert like(text, text + " and a little more") > 0.8
-    assert len(plain_minhash("abcdef")) == 2
     for short in ("a", "ab", "abcd", "abcde", "aaaaaaaa", "\U0001f600"):
         assert like(short, short) == 1 and like(short, short + "z") < 1
     assert not prints("").any() and prints("x" * 100_000).any()
