@@ -188,8 +188,9 @@ def dq_threshold_report_readable(curated: DataFrame, limits: QualityLimits = Qua
 
 
 def recent_runs(log: DataFrame, n: int = 20) -> DataFrame:
-    """The latest ``n`` rows of a run log or metrics log."""
-    return log.orderBy(F.desc("run_ts")).limit(n)
+    """The latest ``n`` rows of a run log or metrics log; rows of one stamp by their other columns, so that ties are fixed."""
+    rest = [F.col(c) for c in log.columns if c != "run_ts"]
+    return log.orderBy(F.desc("run_ts"), *rest).limit(n)
 
 
 def latest_run(log: DataFrame) -> DataFrame:

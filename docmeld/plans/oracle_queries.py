@@ -251,8 +251,10 @@ ORACLE: dict[str, str] = {
             for hour, (u, d, s) in ((2, (5, 20, 30)), (4, (15, 95, 95)), (3, (5, 20, 30)), (2, (15, 95, 95)))
         ), *_NEEDS_DQ),
     "run_history": with_parts(
-        f"""SELECT run_ts, CASE WHEN pct_missing_dob > 95 THEN 'DQ_BREACH' ELSE 'SUCCESS' END AS status, 'history' AS run_by
-        FROM ({_MONTHLY}) ORDER BY run_ts DESC LIMIT 20""", *_NEEDS_DQ),
+        f"""SELECT run_ts, CASE WHEN pct_missing_dob > 95 THEN 'DQ_BREACH' ELSE 'SUCCESS' END AS status, 'history' AS run_by FROM ({_MONTHLY})
+        UNION ALL
+        SELECT run_ts, CASE WHEN month(run_ts) % 2 = 1 THEN 'VALIDATION_FAILED' ELSE 'ABORTED' END, 'history' FROM ({_MONTHLY})
+        ORDER BY run_ts DESC, status LIMIT 19""", *_NEEDS_DQ),
     "src_binary_stream": """
         SELECT page_id // 20 AS lot, sum(strlen(html) + 1)::bigint AS length, md5(string_agg(html || chr(10), '' ORDER BY page_id)) AS content_md5
         FROM pages GROUP BY 1""",
