@@ -62,7 +62,7 @@ def test_pipeline_of_nothing(spark, tmp_path):
 
 def test_all_queries_are_registered():
     names = [n for n in __spark_entry__.queries() if n.startswith("op") and n[2].isdigit()]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in __spark_entry__.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in __spark_entry__.queries()
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
