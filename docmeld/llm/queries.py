@@ -27,7 +27,7 @@ def op1_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(table(spark, sf_dir, "documents"))
     count = lambda k: F.size(F.filter("base", lambda x: x["kind"] == k)).cast("long")
     return found.select(
-        "doc_id", *(count(k).alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS)),
+        "doc_id", *(count(k).alias(f"n_{kind}") for k, kind in enumerate(pii.BASE_KINDS)),
         F.sha2(pii.joined(F.col("base")).cast("binary"), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"),
     )
 

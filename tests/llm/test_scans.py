@@ -1,8 +1,10 @@
 """Personal data and licences against plain versions."""
 
+import hashlib
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from helpers import LONG, frame, odd_rows, rows_of, lower
 from pyspark.sql import functions as F
@@ -87,6 +89,60 @@ def test_threshold_is_calibrated_on_the_other_half():
     assert pii.chosen_bits([]) == {}
 
 
+def test_unlabelled_are_corrected_by_the_chance_to_be_confirmed():
+    """Half of what is personal data is confirmed; a pattern that is confirmed far less often than that is not chosen."""
+    cells = [(3, b, half, c, n) for b, yes, no in ((9, 100, 100), (16, 5, 95), (2, 0, 80)) for half in (0, 1) for c, n in ((True, yes), (False, no))]
+    assert pii.chosen_bits(cells) == {3: [9]}
+    assert pii.chosen_bits([(4, 9, 0, True, 50), (4, 9, 1, False, 50)]) == {4: []}
+
+
+def plain_boosting(cells):
+    """Boosting over single proposals: a tree of two levels at a time, each leaf one Newton step with a penalty of 1."""
+    x = np.array([[b >> i & 1 for i in range(12)] for b, (yes, no) in cells.items() for _ in range(yes + no)])
+    y = np.array([float(i < yes) for yes, no in cells.values() for i in range(yes + no)])
+    f = np.zeros(len(y))
+    for _ in range(40):
+        p = 1 / (1 + np.exp(-f))
+
+        def worth(rows, p=p):
+            return (y - p)[rows].sum() ** 2 / ((p * (1 - p))[rows].sum() + 1) if rows.any() else 0.0
+
+        def halves(rows, worth=worth):
+            options = [(rows & (x[:, i] == 1), rows & (x[:, i] == 0)) for i in range(12)]
+            values = np.array([worth(a) + worth(b) for a, b in options])
+            return options[int(np.argmax(values >= values.max() - 1e-9))]
+
+        leaves = [leaf for half in halves(np.ones(len(y), bool)) for leaf in halves(half) if leaf.any()]
+        for leaf in leaves:
+            f[leaf] += 0.3 * (y - p)[leaf].sum() / ((p * (1 - p))[leaf].sum() + 1)
+    rows = np.cumsum([0] + [yes + no for yes, no in cells.values()])[:-1]
+    return {b: f[i] for b, i in zip(cells, rows)}
+
+
+def test_boosting_against_single_proposals():
+    rng = np.random.default_rng(5)
+    for _ in range(4):
+        cells = {int(b): (int(rng.integers(0, 40)), int(rng.integers(1, 60))) for b in rng.choice(4096, 25, replace=False)}
+        got, want = pii._boosted(cells), plain_boosting(cells)
+        assert got == pytest.approx(want, abs=1e-6)
+
+
+def test_secrets_and_ids_by_two_generators(spark):
+    """What form and name agree on teaches the trees the form; values of that form are found without a name, others are not."""
+    digest = lambda i: hashlib.sha1(str(i).encode()).hexdigest()
+    rows = [(i, f'set token = "{digest(i)}" and go on') for i in range(60)]
+    rows += [(100 + i, f"the ssn {200 + i}-{10 + i % 80}-{3000 + i} of {i} people") for i in range(60)]
+    rows += [(200 + i, f"a secret: {'what' * (2 + i % 3)} about Donaudampfschifffahrtsgesellschaft{'en' * (i % 2)} and its account of {i}") for i in range(60)]
+    rows += [(900, f'it reads "{digest(900)}" here'), (901, "call it 219-09-9999 then"), (902, "no secret in the passport office of 1999")]
+    found = {r["doc_id"]: r for r in rows_of(pii.find(frame(spark, rows)))}
+    spans = {i: [(pii.KINDS[x["kind"]], t[x["s"] : x["e"]]) for x in found[i]["spans"]] for i, t in rows}
+    for i in range(60):
+        assert spans[i] == [("secret", digest(i))] and spans[200 + i] == []
+        assert spans[100 + i] == [("id", f"{200 + i}-{10 + i % 80}-{3000 + i}")]
+    assert spans[900] == [("secret", digest(900))] and spans[901] == [("id", "219-09-9999")] and spans[902] == []
+    assert all(not r["base"] for r in found.values())
+
+
 def test_redaction(spark):
     texts = {1: "mail a@b.cd or +1 (415) 555-0134.", 2: "😀 10.0.0.1", 3: None, 4: "clean"}
     out = {r["doc_id"]: r["redacted"] for r in rows_of(pii.redact(frame(spark, list(texts.items()))))}
