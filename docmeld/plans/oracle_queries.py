@@ -56,6 +56,39 @@ def _expectations() -> str:
     return "\nUNION ALL ".join(parsed + structured + lanes)
 
 
+# All pairs, one by one.
+_FIELDS = ("ssn4", "dob", "first_name", "last_name")
+_COMPARED = ", ".join(f"nullif(lower(trim({f}::varchar)), '') AS {f}" for f in _FIELDS)
+_PATTERNS = f"""SELECT {' + '.join(f"(d.{f} IS NOT NULL AND m.{f} IS NOT NULL)::int * {1 << i}" for i, f in enumerate(_FIELDS))} AS present,
+    {' + '.join(f"coalesce(d.{f} = m.{f}, false)::int * {1 << i}" for i, f in enumerate(_FIELDS))} AS agree, count(*) AS pairs
+    FROM (SELECT {_COMPARED} FROM structured) d, (SELECT {_COMPARED} FROM member) m GROUP BY 1, 2"""
+
+
+def _estimated() -> str:
+    """Expectation-maximisation as a recursion: one row of parameters per step."""
+    ids = range(len(_FIELDS))
+    has, agrees = (lambda i: f"(present >> {i} & 1)"), (lambda i: f"(agree >> {i} & 1)")
+    rate = lambda w, i: f"(sum({w} * {agrees(i)}) + 0.5::double) / (sum({w} * {has(i)}) + 1.0::double)"
+    like = lambda r: " * ".join(
+        f"CASE WHEN {has(i)} = 0 THEN 1.0::double WHEN {agrees(i)} = 1 THEN {r}{i} ELSE 1 - {r}{i} END" for i in ids)
+    names = ", ".join([f"m{i}" for i in ids] + [f"u{i}" for i in ids])
+    fields = "\nUNION ALL ".join(f"SELECT '{f}' AS field_name, m{i} AS m, u{i} AS u FROM done" for i, f in enumerate(_FIELDS))
+    return f"""SELECT field_name, {rounded('m', 6)} AS m_probability, {rounded('u', 6)} AS u_probability,
+        {rounded('ln(m / u)', 2)} AS agreement_weight, {rounded('ln((1 - m) / (1 - u))', 2)} AS disagreement_weight,
+        1.0::double AS field_weight_multiplier
+    FROM (WITH RECURSIVE p AS MATERIALIZED (SELECT present, agree, pairs::double AS n FROM ({_PATTERNS})),
+        em(step, share, {names}) AS (
+            SELECT 0, 1 / (SELECT count(*) FROM member)::double, {', '.join(['0.9::double'] * len(_FIELDS))},
+                {', '.join(rate('n', i) for i in ids)} FROM p
+            UNION ALL
+            SELECT step + 1, sum(sure) / sum(n), {', '.join(rate('sure', i) for i in ids)}, {', '.join(rate('(n - sure)', i) for i in ids)}
+            FROM (SELECT *, n * t / (t + f) AS sure
+                  FROM (SELECT *, share * {like('m')} AS t, (1 - share) * {like('u')} AS f FROM em, p WHERE step < 100))
+            GROUP BY step),
+        done AS (SELECT * FROM em WHERE step = 100)
+        {fields})"""
+
+
 _TABLES = {
     "parsed": "parsed", "structured": "structured", "member_pairs": "member_pairs", "auth_pairs": "auth_pairs",
     "member_matches": "member_matches", "auth_matches": "auth_matches", "match_events": "events_log",
@@ -210,6 +243,8 @@ ORACLE: dict[str, str] = {
                           FROM (SELECT count(*) AS n FROM member GROUP BY {f})) AS u)"""
             for f in ("ssn4", "dob")
         ), "form", "member"),
+    "fs_agreement_patterns": with_parts(_PATTERNS, "structured", "member"),
+    "fs_parameters_estimated": with_parts(_estimated(), "structured", "member"),
     "expectations_report": with_parts(
         _expectations(), "parsed", "structured_unchecked", "member_pairs_faulty", "auth_pairs_faulty",
         "member_matches_faulty", "auth_matches_faulty"),

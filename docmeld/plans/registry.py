@@ -9,9 +9,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from docmeld.config import DEMO_LIMITS, MAX_FILES_PER_TRIGGER, PRODUCTION_LIMITS
+from docmeld.functions.numeric import round_half_up
 from docmeld.functions.similarity import jaro, jaro_winkler, register_functions
 from docmeld.operators import documents as docs
-from docmeld.operators import metrics, reports, scoring, validation
+from docmeld.operators import estimation, metrics, reports, scoring, validation
 from docmeld.operators.expectations import expectations_report, table_expectations
 from docmeld.operators.scoring import EVENT_DAY, EVENT_MONTH
 from docmeld.operators.gates import QualityBreach, refresh_views, run_gates
@@ -177,6 +178,18 @@ def fs_parameters(t: DerivedTables) -> DataFrame:
     return scoring.fs_parameter_report(t.parameters)
 
 
+@query
+def fs_agreement_patterns(t: DerivedTables) -> DataFrame:
+    patterns = estimation.agreement_patterns(t.structured, t.member)
+    return patterns.select("present", "agree", F.col("pairs").cast("long").alias("pairs"))
+
+
+@query
+def fs_parameters_estimated(t: DerivedTables) -> DataFrame:
+    report = scoring.fs_parameter_report(estimation.estimate_parameters(t.structured, t.member))
+    return report.withColumns({c: round_half_up(F.col(c), 6) for c in ("m_probability", "u_probability")})
+
+
 # Quality
 
 
