@@ -403,3 +403,4 @@ _VIEW_NEEDS = {
     "v_batch_match_metrics": ("member_matches",),
 }
 ORACLE["refresh_views"] = _over_views()
+ORACLE |= {name + "_kept": ORACLE[name] for name in ("v_match_summary", "v_score_distribution", "v_batch_match_metrics")}

@@ -12,7 +12,7 @@ from docmeld.config import DEMO_LIMITS, MAX_FILES_PER_TRIGGER, PRODUCTION_LIMITS
 from docmeld.functions.numeric import round_half_up
 from docmeld.functions.similarity import jaro, jaro_winkler, register_functions
 from docmeld.operators import documents as docs
-from docmeld.operators import estimation, metrics, reports, scoring, validation
+from docmeld.operators import estimation, metrics, reports, scoring, states, validation
 from docmeld.operators.expectations import expectations_report, table_expectations
 from docmeld.operators.scoring import EVENT_DAY, EVENT_MONTH
 from docmeld.operators.gates import QualityBreach, refresh_views, run_gates
@@ -482,6 +482,26 @@ def _refreshed_views(t: DerivedTables) -> DataFrame:
     return reduce(DataFrame.unionAll, sums)
 
 
+def _three_runs(t: DerivedTables) -> states.StateTable:
+    """State of the member matches after three runs, each with the documents of some hours; the second ran twice."""
+    t.keep_pairs()
+    state = states.StateTable(t.spark, t.workspace.path("match_state"), states.match_measures())
+    for run in (0, 1, 1, 2):
+        state.add(t.member_matches.where(F.hour("pipeline_run_ts") % 3 == run), run)
+        if run == 0:
+            state.merge()
+    return state
+
+
+# The same views, kept by batch.
+KEPT_VIEWS: dict[str, Build] = {
+    "v_match_summary": lambda t: states.match_summary(_three_runs(t)),
+    "v_score_distribution": lambda t: states.score_histogram(_three_runs(t)),
+    "v_batch_match_metrics": lambda t: _as_text(states.batch_match_metrics(_three_runs(t)), "batch_date"),
+}
+
 query(_refreshed_views, "refresh_views")
+for _name, _view in KEPT_VIEWS.items():
+    query(_view, _name + "_kept")
 for _name, _view in VIEWS.items():
     query(_view, _name)

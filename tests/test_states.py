@@ -1,0 +1,76 @@
+"""Views from states of batches against the same views over all rows."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from docmeld.operators import reports, states
+
+SCHEMA = "pipeline_run_ts timestamp, match_class string, total_weight double, ssn4_exact double, dob_exact double, first_name_sim double, last_name_sim double"
+
+
+@pytest.fixture(scope="module")
+def matches(spark):
+    rng = random.Random(2)
+    flag = lambda: rng.choice([0.0, 1.0, None])
+    rows = [
+        (rng.choice(["2025-01-01 10:00:00", "2025-01-02 23:30:00", None]), rng.choice(["match", "possible_match", "non_match", None]), rng.choice([None, rng.uniform(-9, 9)]), flag(), flag(), rng.random(), None)
+        for _ in range(500)
+    ]
+    df = spark.createDataFrame(rows, SCHEMA.replace("timestamp", "string", 1)).withColumn("pipeline_run_ts", F.col("pipeline_run_ts").cast("timestamp"))
+    return df.withColumn("part", F.pmod(F.xxhash64(*df.columns), F.lit(5)))
+
+
+VIEWS = [(states.match_summary, reports.match_summary), (states.score_histogram, reports.score_histogram), (states.batch_match_metrics, reports.batch_match_metrics)]
+
+
+def same(spark, state, rows):
+    for kept, whole in VIEWS:
+        a, b = kept(state), whole(rows)
+        assert sorted(a.columns) == sorted(b.columns)
+        assert sorted(map(str, a.select(*b.columns).collect())) == sorted(map(str, b.collect())), whole.__name__
+
+
+def test_batches_replays_and_merges(spark, matches, tmp_path):
+    state = states.StateTable(spark, str(tmp_path / "state"), states.match_measures())
+    part = lambda *ks: matches.where(F.col("part").isin(*ks))
+    state.add(part(0), 0)
+    state.add(part(1), 1)
+    state.add(part(1), 1)
+    same(spark, state, part(0, 1))
+    state.merge()
+    state.add(part(1), 1)
+    state.add(part(2), 2)
+    same(spark, state, part(0, 1, 2))
+    state.add(part(3, 4), 5)
+    state.merge()
+    state.merge()
+    same(spark, state, matches)
+    assert {p.name for p in (tmp_path / "state").iterdir()} == {"upto-5", "batch-2", "batch-5"}
+
+
+def test_merge_that_stopped_halfway(spark, matches, tmp_path):
+    state = states.StateTable(spark, str(tmp_path / "state"), states.match_measures())
+    state.add(matches.where("part < 2"), 0)
+    state.add(matches.where("part >= 2"), 1)
+    (tmp_path / "state" / "upto-1").mkdir()
+    same(spark, state, matches)
+    state.merge()
+    same(spark, state, matches)
+
+
+def test_empty_batches_and_many(spark, matches, tmp_path, monkeypatch):
+    monkeypatch.setattr(states, "MERGE_AT", 3)
+    state = states.StateTable(spark, str(tmp_path / "state"), states.match_measures())
+    for k in range(5):
+        state.add(matches.where(F.col("part") == k).where("false" if k == 2 else "true"), k)
+    same(spark, state, matches.where("part <> 2"))
+    assert state._live() == (2, [3, 4])
+
+
+def test_a_refresh_reads_states_only(spark, matches, tmp_path):
+    state = states.StateTable(spark, str(tmp_path / "state"), states.match_measures())
+    state.add(matches, 0)
+    files = states.match_summary(state).inputFiles()
+    assert files and all("/batch-0/" in f for f in files)
