@@ -171,7 +171,8 @@ def chosen_bits(cells: list[tuple[int, int, int, bool, int]]) -> dict[int, list[
     confirmed. Its share is taken to be the same whatever the bits, so the mean probability of the confirmed proposals
     of half 1 is the chance to be confirmed, ``found``. A pattern is personal data where its probability reaches half of
     ``found``; the threshold is the lowest such score above which the confirmed of half 1, divided by ``found``, make up
-    ``PRECISION`` of all proposals. Nothing is chosen where half 1 has no confirmed proposal.
+    ``PRECISION`` of all proposals. Nothing is chosen where half 1 has no confirmed proposal, nor a pattern that the trees
+    never saw and half 1 does not confirm.
     """
     by: dict = defaultdict(lambda: defaultdict(lambda: [[0.0, 0.0], [0.0, 0.0]]))
     for kind, bits, half, confirmed, n in cells:
@@ -183,7 +184,8 @@ def chosen_bits(cells: list[tuple[int, int, int, bool, int]]) -> dict[int, list[
         confirmed = sum(h[1][0] for h in table.values())
         found = sum(h[1][0] * chance[b] for b, h in table.items()) / confirmed if confirmed else 1.0
         yes = no = 0.0
-        ranked, upto = sorted(table, key=lambda b: (-scores[b], b)), 0
+        known = [b for b, h in table.items() if any(h[0]) or h[1][0]]
+        ranked, upto = sorted(known, key=lambda b: (-scores[b], b)), 0
         for i, b in enumerate(ranked, 1):
             yes, no = yes + table[b][1][0], no + table[b][1][1]
             last = i == len(ranked) or scores[ranked[i]] < scores[b]

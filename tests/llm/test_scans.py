@@ -94,6 +94,10 @@ def test_unlabelled_are_corrected_by_the_chance_to_be_confirmed():
     cells = [(3, b, half, c, n) for b, yes, no in ((9, 100, 100), (16, 5, 95), (2, 0, 80)) for half in (0, 1) for c, n in ((True, yes), (False, no))]
     assert pii.chosen_bits(cells) == {3: [9]}
     assert pii.chosen_bits([(4, 9, 0, True, 50), (4, 9, 1, False, 50)]) == {4: []}
+    # a pattern that only half 1 has scores as nothing was learnt of it, so it takes its own confirmed ones
+    seen = [(4, 9, half, True, 80) for half in (0, 1)] + [(4, 2, half, False, 80) for half in (0, 1)]
+    assert pii.chosen_bits([*seen, (4, 278, 1, False, 3)]) == {4: [9]}
+    assert pii.chosen_bits([*seen, (4, 278, 1, True, 3)]) == {4: [9, 278]}
 
 
 def plain_boosting(cells):
