@@ -1,0 +1,68 @@
+"""Repeated keys by counting fingerprints against plain grouping."""
+
+import random
+
+import numpy as np
+import pytest
+
+from docmeld.operators import repeats
+from docmeld.operators.validation import duplicate_doc_ids
+from docmeld.workspace import Workspace
+
+
+def ids(spark, values, kind="string"):
+    return spark.createDataFrame([(v,) for v in values], f"doc_id {kind}").repartition(6)
+
+
+def same(df):
+    found = repeats.repeated_ids(df)
+    assert found.columns == duplicate_doc_ids(df).columns
+    assert sorted(map(str, found.collect())) == sorted(map(str, duplicate_doc_ids(df).collect()))
+    return found.count()
+
+
+def test_runs_come_back():
+    rng = np.random.default_rng(1)
+    for n in (0, 1, 1000):
+        keys = np.unique(np.concatenate([rng.integers(0, 2**64, n, np.uint64), np.array([0, 2**64 - 1][:n], np.uint64)]))
+        assert (repeats.unpacked(repeats.packed(keys)) == keys).all()
+
+
+def test_counts_stop_at_two():
+    keys, counts = repeats.added(np.array([7, 3, 7, 7], np.uint64), np.array([[1, 0], [2, 1], [1, 0], [1, 1]], np.uint8))
+    assert keys.tolist() == [3, 7] and counts.tolist() == [[2, 1], [2, 1]]
+
+
+@pytest.mark.parametrize("per_range,held", [(1_000_000, 4_000_000), (50, 70)])
+def test_same_rows_as_grouping(spark, monkeypatch, per_range, held):
+    monkeypatch.setattr(repeats, "PER_RANGE", per_range)
+    monkeypatch.setattr(repeats, "HELD", held)
+    rng = random.Random(3)
+    values = [f"d{k}" for k in range(2000)] + [f"d{rng.randrange(2000)}" for _ in range(40)] + ["hot"] * 1000 + [None, None, ""]
+    assert same(ids(spark, values)) > 30
+
+
+def test_odd_tables(spark):
+    assert same(ids(spark, [])) == 0
+    assert same(ids(spark, [None])) == 0
+    assert same(ids(spark, [None, None])) == 1
+    assert same(ids(spark, [1, 2, 3, 1], "long")) == 1
+
+
+def test_too_many_to_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "BROADCAST_ROWS", 3)
+    assert same(ids(spark, list("aabbccddeef"))) == 5
+
+
+def test_only_repeats_are_shuffled(spark):
+    df = ids(spark, [f"d{k}" for k in range(5000)] + ["d7"])
+    found = repeats.unusual(Workspace(spark), "found", [df], {(1,)})
+    assert found[1] == 1
+    assert repeats.only(df, found, "doc_id").count() == 2
+
+
+def test_counts_over_several_tables(spark):
+    a, b = ids(spark, ["x", "y", "z", "z"]), ids(spark, ["x", "w"])
+    found = repeats.unusual(Workspace(spark), "pairs", [a, b], {(1, 1)})
+    left = {r.doc_id for part in (a, b) for r in repeats.only(part, found, "doc_id").collect()}
+    assert left == {"y", "z", "w"}
