@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from docmeld.config import DEMO_LIMITS, PRODUCTION_LIMITS, QualityLimits
@@ -12,10 +14,18 @@ METRIC_COLUMNS = (
     "total_docs", "pct_unreadable", "pct_missing_dob", "pct_missing_ssn4", "parse_errors",
     "pct_match", "pct_possible_match", "pct_non_match",
 )
+#: Counts of a document's rows that say whether something is wrong with it, and counts of its pairs.
+FLAGS = ("unreadable", "no_dob", "no_ssn4", "errors")
+PAIR_COUNTS = ("classed", "match", "possible_match", "non_match")
 
 
-def _per_document(parsed: DataFrame, structured: DataFrame, matches: DataFrame, batch: str | None) -> DataFrame:
-    """One row per document with its row counts in the three tables.
+def document_figures() -> dict[str, Column]:
+    """Number of documents with each flag and of pairs, over one row per document."""
+    return {c: F.count_if(F.col(c) > 0) for c in FLAGS} | {c: F.sum(c) for c in PAIR_COUNTS}
+
+
+def document_counts(parsed: DataFrame, structured: DataFrame, matches: DataFrame, batch: str | None = None) -> DataFrame:
+    """One row per document id in any of the three tables, with its row counts in each.
 
     One shuffle on the document id, aggregated before it; the pairs are never joined to the
     documents. Structured rows and pairs without an id belong to no document.
@@ -52,16 +62,26 @@ def _per_document(parsed: DataFrame, structured: DataFrame, matches: DataFrame,
     keys = {"doc_id", "batch_id"}
     sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in rows.columns if c not in keys]
     stamps = [F.max("batch_id").alias("batch_id")] if batch else []
-    return rows.groupBy("doc_id").agg(*stamps, *sums).where(F.col("parsed_rows") > 0)
+    return rows.groupBy("doc_id").agg(*stamps, *sums)
 
 
-def _metrics(per_doc: DataFrame, batch: str | None, docs: Column, figures: dict[str, Column], pairs: dict[str, Column]) -> DataFrame:
+def _per_document(parsed: DataFrame, structured: DataFrame, matches: DataFrame, batch: str | None) -> DataFrame:
+    """:func:`document_counts` of the documents that the parse table has."""
+    return document_counts(parsed, structured, matches, batch).where(F.col("parsed_rows") > 0)
+
+
+def _metrics(per_doc: DataFrame, batch: str | None, docs: Column, figures: dict[str, Column]) -> DataFrame:
     grouped = per_doc.groupBy("batch_id") if batch else per_doc.groupBy()
-    sums = {"docs": docs, **figures, **pairs}
+    sums = {"docs": docs, **figures}
     totals = grouped.agg(*[c.alias("t_" + name) for name, c in sums.items()])
-    t = lambda name: F.col("t_" + name)
+    return percentages(totals, "t_", ["batch_id"] if batch else [])
+
+
+def percentages(totals: DataFrame, prefix: str = "", keys: Sequence[str] = ()) -> DataFrame:
+    """The metrics from rows of totals over documents."""
+    t = lambda name: F.col(prefix + name)
     return totals.select(
-        *(["batch_id"] if batch else []),
+        *keys,
         t("docs").alias("total_docs"),
         percent(t("unreadable"), t("docs")).alias("pct_unreadable"),
         percent(t("no_dob"), t("docs")).alias("pct_missing_dob"),
@@ -83,9 +103,7 @@ def dq_metrics(
     if since is not None:
         parsed, structured, matches = (df.where(F.col("pipeline_run_ts") >= since) for df in (parsed, structured, matches))
     per_doc = _per_document(parsed, structured, matches, batch)
-    figures = {c: F.count_if(F.col(c) > 0) for c in ("unreadable", "no_dob", "no_ssn4", "errors")}
-    pairs = {c: F.sum(c) for c in ("classed", "match", "possible_match", "non_match")}
-    return _metrics(per_doc, batch, F.count("doc_id"), figures, pairs)
+    return _metrics(per_doc, batch, F.count("doc_id"), document_figures())
 
 
 def dq_metrics_pairweighted(parsed: DataFrame, structured: DataFrame, matches: DataFrame, batch: str | None = None) -> DataFrame:
@@ -104,8 +122,8 @@ def dq_metrics_pairweighted(parsed: DataFrame, structured: DataFrame, matches: D
         "no_ssn4": F.sum(parsed_rows * F.col("no_ssn4") * by_match),
         "errors": F.sum(F.col("errors") * by_structured * by_match),
     }
-    pairs = {c: F.sum(parsed_rows * by_structured * F.col(c)) for c in ("classed", "match", "possible_match", "non_match")}
-    return _metrics(per_doc, batch, F.count("doc_id"), figures, pairs)
+    pairs = {c: F.sum(parsed_rows * by_structured * F.col(c)) for c in PAIR_COUNTS}
+    return _metrics(per_doc, batch, F.count("doc_id"), figures | pairs)
 
 
 def dq_gate(metrics: DataFrame, limits: QualityLimits = PRODUCTION_LIMITS) -> DataFrame:

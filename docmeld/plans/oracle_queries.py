@@ -252,6 +252,9 @@ ORACLE: dict[str, str] = {
         "\nUNION ALL ".join(f"SELECT '{t}' AS \"table\", count(*) AS rows FROM {s}" for t, s in _TABLES.items()), *_LANES),
     "duplicate_doc_ids": with_parts(
         "SELECT doc_id, count(*) AS cnt FROM member_candidates GROUP BY 1 HAVING count(*) > 1", "member_candidates"),
+    "repeated_documents": with_parts(
+        """SELECT doc_id, count(*) AS cnt FROM (SELECT doc_id FROM parsed UNION ALL SELECT doc_id FROM parsed WHERE path LIKE '%7.%')
+        GROUP BY 1 HAVING count(*) > 1""", "parsed"),
     "orphan_structured": with_parts(
         """SELECT doc_id, count(*) AS rows FROM structured s
         WHERE NOT EXISTS (SELECT 1 FROM parsed p WHERE p.doc_id = s.doc_id AND p.path LIKE '/notes/%') GROUP BY 1""",
@@ -403,4 +406,4 @@ _VIEW_NEEDS = {
     "v_batch_match_metrics": ("member_matches",),
 }
 ORACLE["refresh_views"] = _over_views()
-ORACLE |= {name + "_kept": ORACLE[name] for name in ("v_match_summary", "v_score_distribution", "v_batch_match_metrics")}
+ORACLE |= {name + "_kept": ORACLE[name] for name in ("dq_metrics", "v_match_summary", "v_score_distribution", "v_batch_match_metrics")}

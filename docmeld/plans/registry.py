@@ -12,7 +12,7 @@ from docmeld.config import DEMO_LIMITS, MAX_FILES_PER_TRIGGER, PRODUCTION_LIMITS
 from docmeld.functions.numeric import round_half_up
 from docmeld.functions.similarity import jaro, jaro_winkler, register_functions
 from docmeld.operators import documents as docs
-from docmeld.operators import estimation, metrics, reports, scoring, states, validation
+from docmeld.operators import estimation, metrics, repeats, reports, scoring, states, validation
 from docmeld.operators.expectations import expectations_report, table_expectations
 from docmeld.operators.scoring import EVENT_DAY, EVENT_MONTH
 from docmeld.operators.gates import QualityBreach, refresh_views, run_gates
@@ -218,6 +218,13 @@ def duplicate_doc_ids(t: DerivedTables) -> DataFrame:
     return validation.duplicate_doc_ids(t.member_pairs)
 
 
+@query
+def repeated_documents(t: DerivedTables) -> DataFrame:
+    """Documents that a second intake delivers again, in a table where all others occur once."""
+    again = t.parsed.where(F.col("path").like("%7.%"))
+    return repeats.repeated_ids(t.parsed.select("doc_id").unionAll(again.select("doc_id")))
+
+
 @query
 def orphan_structured(t: DerivedTables) -> DataFrame:
     """Structured documents of all intakes that the parse table of one intake does not have."""
@@ -239,6 +246,21 @@ def dq_metrics(t: DerivedTables) -> DataFrame:
     return metrics.dq_metrics(t.parsed, t.structured, t.member_matches)
 
 
+@query
+def dq_metrics_kept(t: DerivedTables) -> DataFrame:
+    """The same metrics from three runs, each read alone; a tenth of the documents comes again in a later run, pairs come one run late."""
+    t.keep_pairs()
+    running = states.RunningMetrics(t.spark, t.workspace.path("running"))
+    run = F.pmod(F.xxhash64("doc_id"), F.lit(30)).cast("int")
+    parsed = t.parsed.withColumn("run", F.explode(F.when(run < 3, F.array(F.lit(0), F.lit(2))).otherwise(F.array(run % 3))))
+    for k in (0, 1, 1, 2):
+        matches = t.member_matches.where((run % 3 == k - 1) | ((k == 2) & (run % 3 == 2)))
+        running.add(parsed.where(F.col("run") == k), t.structured.where(run % 3 == k), matches, k)
+        if k == 0:
+            running.documents.merge()
+    return running.metrics()
+
+
 @query
 def dq_metrics_pairweighted(t: DerivedTables) -> DataFrame:
     return metrics.dq_metrics_pairweighted(t.parsed, t.structured, t.member_matches)

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docmeld.operators import reports, states
+from docmeld.operators.metrics import dq_metrics
 
 SCHEMA = "pipeline_run_ts timestamp, match_class string, total_weight double, ssn4_exact double, dob_exact double, first_name_sim double, last_name_sim double"
 
@@ -74,3 +75,53 @@ def test_a_refresh_reads_states_only(spark, matches, tmp_path):
     state.add(matches, 0)
     files = states.match_summary(state).inputFiles()
     assert files and all("/batch-0/" in f for f in files)
+
+
+def run_tables(spark, seed):
+    """Documents of three runs: some come twice, some pairs late, some rows without an id."""
+    rng = random.Random(seed)
+    ids = [f"d{k}" for k in range(60)] + [None]
+    parsed = [(rng.choice(ids), rng.random() < 0.2, rng.choice([None, None, "CORRUPT"]), run) for run in range(3) for _ in range(50)]
+    structured = [(rng.choice(ids), rng.random() < 0.3, rng.choice([True, False, None]), run) for run in range(3) for _ in range(40)]
+    matches = [(rng.choice([*ids, "unknown"]), rng.choice(["match", "possible_match", "non_match", None]), run) for run in range(3) for _ in range(70)]
+    return (
+        spark.createDataFrame(parsed, "doc_id string, unreadable_flag boolean, parse_error_status string, run int"),
+        spark.createDataFrame(structured, "doc_id string, missing_dob boolean, missing_ssn4 boolean, run int"),
+        spark.createDataFrame(matches, "doc_id string, match_class string, run int"),
+    )
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_metrics_of_three_runs_are_those_of_one(spark, tmp_path, monkeypatch, few):
+    if not few:
+        monkeypatch.setattr(states.RunningMetrics, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(states, "MERGE_AT", 3 if few else 16)
+    all_rows = run_tables(spark, 5)
+    running = states.RunningMetrics(spark, str(tmp_path / "running"))
+    for last in (0, 1, 1, 2, 2):
+        running.add(*(df.where(F.col("run") == last) for df in all_rows), last)
+        assert running.metrics().collect() == dq_metrics(*(df.where(F.col("run") <= last) for df in all_rows)).collect()
+    assert all("/totals/" in f for f in running.metrics().inputFiles())
+
+
+def test_metrics_run_that_stopped_between_its_two_states(spark, tmp_path, monkeypatch):
+    all_rows = run_tables(spark, 6)
+    running = states.RunningMetrics(spark, str(tmp_path / "running"))
+    part = lambda k: [df.where(F.col("run") == k) for df in all_rows]
+    running.add(*part(0), 0)
+    with monkeypatch.context() as broken:
+        broken.setattr(running.documents, "add", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            running.add(*part(1), 1)
+    running.totals.merge()
+    running.add(*part(1), 1)
+    running.add(*part(2), 2)
+    assert running.metrics().collect() == dq_metrics(*all_rows).collect()
+
+
+def test_metrics_of_empty_runs(spark, tmp_path):
+    none = [df.where("false") for df in run_tables(spark, 7)]
+    running = states.RunningMetrics(spark, str(tmp_path / "running"))
+    running.add(*none, 0)
+    running.add(*none, 1)
+    assert running.metrics().collect() == dq_metrics(*none).collect()
