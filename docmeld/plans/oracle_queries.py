@@ -190,6 +190,10 @@ def _weights(digits: int) -> str:
     return ", ".join(f"{rounded(f'{f}(total_weight)', digits)} AS {f}_weight" for f in ("avg", "min", "max"))
 
 
+_PAGE_FILES = """
+        SELECT page_id // 20 AS lot, sum(strlen(html) + 1)::bigint AS length, md5(string_agg(html || chr(10), '' ORDER BY page_id)) AS content_md5
+        FROM pages GROUP BY 1"""
+
 _HISTOGRAM = f"""SELECT round(total_weight, 0) AS weight_bucket, match_class, count(*) AS pair_count
 FROM member_matches GROUP BY ALL"""
 
@@ -293,9 +297,8 @@ ORACLE: dict[str, str] = {
         UNION ALL
         SELECT run_ts, CASE WHEN month(run_ts) % 2 = 1 THEN 'VALIDATION_FAILED' ELSE 'ABORTED' END, 'history' FROM ({_MONTHLY})
         ORDER BY run_ts DESC, status LIMIT 19""", *_NEEDS_DQ),
-    "src_binary_stream": """
-        SELECT page_id // 20 AS lot, sum(strlen(html) + 1)::bigint AS length, md5(string_agg(html || chr(10), '' ORDER BY page_id)) AS content_md5
-        FROM pages GROUP BY 1""",
+    "src_binary_stream": _PAGE_FILES,
+    "src_listed_files": _PAGE_FILES,
     "stream_structured": with_parts(f"SELECT {_TEXT_DOB} FROM structured", "structured"),
     "stream_full_refresh": with_parts(f"SELECT {_TEXT_DOB} FROM structured", "structured"),
     "stream_member_matches": with_parts("SELECT * FROM member_matches", "member_matches"),

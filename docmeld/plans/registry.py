@@ -17,6 +17,7 @@ from docmeld.operators.expectations import expectations_report, table_expectatio
 from docmeld.operators.scoring import EVENT_DAY, EVENT_MONTH
 from docmeld.operators.gates import QualityBreach, refresh_views, run_gates
 from docmeld.plans.derived import DerivedTables
+from docmeld.sources.discovery import FileDiscovery
 from docmeld.sources.files import binary_file_stream
 from docmeld.sources.logs import DQ_RESULTS_SCHEMA, LogTable, RunLog
 from docmeld.sources.publish import payload, publish, recent_events
@@ -348,9 +349,8 @@ def _pipeline(t: DerivedTables) -> Pipeline:
     )
 
 
-@query
-def src_binary_stream(t: DerivedTables) -> DataFrame:
-    """Pages in files of 20, taken in by the binary file stream in two runs.
+def _pages_in_two_runs(t: DerivedTables, stream_of: Callable[[str], DataFrame]) -> DataFrame:
+    """Pages in files of 20, taken in by a file stream in two runs.
 
     Half of the files arrive before the second run with time stamps a month older than the first ones have.
     """
@@ -364,7 +364,7 @@ def src_binary_stream(t: DerivedTables) -> DataFrame:
         pages.where(F.col("half") == half).select("lot", "value").write.partitionBy("lot").text(part)
         if half:
             set_modified(t.spark, part, month_ago)
-        stream = binary_file_stream(t.spark, folder, glob="*.{txt,TXT}", max_files=1000, recursive=True)
+        stream = stream_of(folder)
         lot = F.regexp_extract("path", "lot=([0-9]+)", 1).cast("long")
         arrived = stream.select(lot.alias("lot"), "length", F.md5("content").alias("content_md5"))
         run = arrived.writeStream.format("parquet").option("checkpointLocation", t.workspace.path("pages_checkpoint"))
@@ -372,6 +372,19 @@ def src_binary_stream(t: DerivedTables) -> DataFrame:
     return t.spark.read.schema(arrived.schema).parquet(landed)
 
 
+@query
+def src_binary_stream(t: DerivedTables) -> DataFrame:
+    """Files that the file source finds."""
+    return _pages_in_two_runs(t, lambda folder: binary_file_stream(t.spark, folder, glob="*.{txt,TXT}", max_files=1000, recursive=True))
+
+
+@query
+def src_listed_files(t: DerivedTables) -> DataFrame:
+    """Files that tasks list, less those in the table of files taken before."""
+    state = t.workspace.path("listed")
+    return _pages_in_two_runs(t, lambda folder: FileDiscovery(t.spark, folder, state, glob="*.{txt,TXT}", max_files=1000).arriving())
+
+
 @query
 def stream_structured(t: DerivedTables) -> DataFrame:
     """Two incremental runs: the second finds nothing new."""
