@@ -1,15 +1,17 @@
 """Licence texts by a positional index of rare words, by DataFrame operations only.
 
 A template is a run of words with a mandatory key phrase in it. The corpus says how rare the templates' words are.
-The index holds the rarest word of each key phrase with its position; where a document has such a word, the
-difference of positions aligns the template, the key phrase is verified word for word, and the rare-word weight of
-the template's words that stand at their aligned places is its score.
+A file can only have the templates all of whose key words it has; of these it looks up the rarest words, as many as give each
+such template ``POSTINGS`` of its own. Where a word stands, less its place in the template, is where the template would start;
+the starts by its looked-up words are intersected, the key phrase is verified word for word at what is left, and the rare-word
+weight of the template's words that stand at their aligned places is its score.
 """
 
 from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -19,6 +21,8 @@ from docmeld.functions.once import with_once
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]++"
 #: Share of a template's rare-word weight that has to stand in place.
 LEAST_SHARE = 0.6
+#: Words of a key phrase that are looked up, the rarest ones; all of it if it has no more.
+POSTINGS = 2
 # Characters whose lower case would be an ASCII letter or end in one; another letter above 127 stands in for them.
 _STAND_IN = {"K": "ê", "İ": "ê"}
 
@@ -32,6 +36,16 @@ class Template:
     key_size: int
     base: bool = False
 
+    @property
+    def key(self) -> tuple[str, ...]:
+        return self.words[self.key_at : self.key_at + self.key_size]
+
+
+def looked_up(t: Template, idf: dict[str, float]) -> list[int]:
+    """Places in the template of the rarest words of its key phrase, each word once."""
+    places = [t.words.index(w, t.key_at) for w in dict.fromkeys(t.key)]
+    return sorted(places, key=lambda j: (-idf[t.words[j]], j))[:POSTINGS]
+
 
 def template(label: str, text: str, key: str, base: bool = False) -> Template:
     words, phrase = tuple(text.split()), tuple(key.split())
@@ -96,23 +110,33 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templates:
     repeat an id are scanned each; of equally rare words the first of the key phrase is looked up.
     """
     idf = rarity(docs, text, templates)
-    anchors = {}
-    for t in templates:
-        anchors[t] = max(range(t.key_at, t.key_at + t.key_size), key=lambda j: (idf[t.words[j]], -j))
-    looked_up = sorted({t.words[j] for t, j in anchors.items()})
+    rarest = {t: looked_up(t, idf) for t in templates}
     rows = with_once(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_text")), "words", _words(F.col("_text"))).drop("_text")
     words = F.col("words")
-    any_hit = F.arrays_overlap(words, F.array(*map(F.lit, looked_up)))
-    at = F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda i: F.get(words, i).isin(looked_up))
-    rows = with_once(rows, "hits", F.when(any_hit, at).otherwise(F.array().cast("array<int>")))
+    key_words = sorted({w for t in templates for w in t.key})
+    rows = with_once(rows, "present", F.array_intersect(words, F.array(*map(F.lit, key_words))))
+    # templates with the same words to look up are asked for together
+    needs: dict[tuple[str, ...], set[tuple[str, ...]]] = {}
+    for t in templates:
+        needs.setdefault(tuple(sorted(t.words[j] for j in rarest[t])), set()).add(tuple(sorted(set(t.key))))
+    wanted = []
+    for asked, keys in sorted(needs.items()):
+        possible = [F.size(F.array_except(F.array(*map(F.lit, key)), F.col("present"))) == 0 for key in sorted(keys)]
+        wanted.append(F.when(_any(possible), F.array(*map(F.lit, asked))).otherwise(F.array().cast("array<string>")))
+    nothing = F.array().cast("array<string>")
+    rows = with_once(rows, "wanted", F.when(F.size("present") > 0, F.array_distinct(F.concat(*wanted))).otherwise(nothing))
+    at = F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda i: F.array_contains("wanted", F.get(words, i)))
+    rows = with_once(rows, "hits", F.when(F.size("wanted") > 0, at).otherwise(F.array().cast("array<int>")))
+
+    def by_word(word: str, j: int) -> Column:
+        return F.transform(F.filter("hits", lambda i: F.get(words, i) == word), lambda i: i - j)
 
     def aligned(t: Template) -> Column:
-        """Starts of the template at which its key phrase stands word for word."""
-        j = anchors[t]
-        same = lambda i: [F.get(words, i - j + k) == t.words[k] for k in range(t.key_at, t.key_at + t.key_size)]
-        # the anchor comes first: few hits go further
-        met = lambda i: F.coalesce(_all([F.get(words, i) == t.words[j], *same(i)]), F.lit(False))
-        return F.transform(F.filter(F.col("hits"), met), lambda i: i - j)
+        """Starts of the template on which its looked-up words agree and where its key phrase stands word for word."""
+        starts = reduce(F.array_intersect, [by_word(t.words[j], j) for j in rarest[t]])
+        rest = [k for k in range(t.key_at, t.key_at + t.key_size) if k not in rarest[t]]
+        met = lambda s: F.coalesce(_all([F.get(words, s + k) == t.words[k] for k in rest]), F.lit(False))
+        return F.filter(starts, met) if rest else starts
 
     def share(t: Template, start: Column) -> Column:
         weight = sum(idf[w] for w in t.words)
@@ -138,7 +162,8 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templates:
 
 
 def _all(conditions: list[Column]) -> Column:
-    out = conditions[0]
-    for c in conditions[1:]:
-        out = out & c
-    return out
+    return reduce(lambda a, b: a & b, conditions)
+
+
+def _any(conditions: list[Column]) -> Column:
+    return reduce(lambda a, b: a | b, conditions)

@@ -1,6 +1,8 @@
 """Personal data and licences against plain versions."""
 
 import hashlib
+import math
+import random
 import re
 from collections import Counter
 
@@ -181,6 +183,50 @@ def test_base_phrases(spark):
     assert got == Counter((i, n, frozenset(c.items())) for i, t, *_ in rows for n, c in [plain_scan(t)])
 
 
+def plain_templates(texts, text):
+    """(label, start, share) of each template but the base ones, by trying every start."""
+    split = lambda x: re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", lower(x))
+    sets = [set(split(x)) for x in texts]
+    idf = lambda w: math.log((len(sets) + 1) / (sum(w in s for s in sets) + 1)) + 1e-6
+    words, found = split(text), Counter()
+    for t in licenses.TEMPLATES:
+        weight = sum(idf(w) for w in t.words)
+        for start in range(-len(t.words), len(words)):
+            there = [0 <= start + k < len(words) and words[start + k] == w for k, w in enumerate(t.words)]
+            share = round(sum(idf(w) for w, ok in zip(t.words, there, strict=True) if ok) / weight, 9)
+            if not t.base and all(there[t.key_at : t.key_at + t.key_size]) and share >= 0.6 - 1e-12:
+                found[t.label, start, share] += 1
+    return found
+
+
+def test_templates_by_the_index_are_those_of_every_start(spark):
+    """Texts of template words with words left out, doubled and swapped, so that postings meet in wrong places too."""
+    rng = random.Random(5)
+    texts = []
+    for _ in range(120):
+        words = []
+        for t in rng.choices(licenses.TEMPLATES, k=3):
+            part = list(t.words[rng.choice([0, 0, t.key_at]) :])
+            if rng.random() < 0.4:
+                part.insert(rng.randrange(len(part) + 1), rng.choice(part))
+            if rng.random() < 0.3:
+                part.pop(rng.randrange(len(part)))
+            words += [*part, *rng.choices(["the", "of", "license", "prose", "and"], k=rng.randrange(3))]
+        texts.append(" ".join(words))
+    texts += ["and use and " * 50 + "redistribution and use in source and binary forms", "2 0 license apache version", "cc0", ""]
+    got = {r["doc_id"]: Counter((x["label"], x["at"], round(x["share"], 9)) for x in r["found"]) for r in rows_of(licenses.scan(frame(spark, list(enumerate(texts)))))}
+    expected = {i: plain_templates(texts, x) for i, x in enumerate(texts)}
+    close = lambda c: sorted((label, at, round(share, 7)) for label, at, share in c.elements())
+    assert {i: close(c) for i, c in got.items()} == {i: close(c) for i, c in expected.items()}
+    assert sum(map(len, expected.values())) > 150
+
+
+def test_rarest_words_are_looked_up():
+    t = licenses.template("x", "a common rare rare words", "common rare rare words")
+    assert licenses.looked_up(t, {"a": 9.0, "common": 1.0, "rare": 5.0, "words": 2.0}) == [2, 4]
+    assert licenses.looked_up(t, {"a": 9.0, "common": 1.0, "rare": 1.0, "words": 1.0}) == [1, 2]
+
+
 @pytest.mark.parametrize(
     ("text", "labels"),
     [
