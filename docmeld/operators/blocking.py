@@ -33,8 +33,8 @@ class Rule(NamedTuple):
 MEMBER_RULES = (Rule("ssn4", "ssn4"), Rule("dob", "dob"))
 AUTH_RULES = (Rule("auth_id", "auth_number"), Rule("member_id_on_form", "member_id"))
 
-# Pairs of one block that one task may form; a block with more is split.
-PAIRS_PER_TASK = 5_000_000
+# Pairs of one block that one task may form; a block with more is split. Rows of both sides that a task gets in the mean.
+PAIRS_PER_TASK, ROWS_PER_TASK = 5_000_000, 1_000_000
 # Units of work per task: a cell of a split block or a bucket of small ones is about this part of a task.
 SHARES = 32
 # The list of hot blocks is broadcast up to this size, and looked up by salted keys beyond it.
@@ -119,21 +119,21 @@ def _bucket(n_buckets: int) -> Column:
 
 
 def pair_layout(
-    workspace: Workspace, name: str, left: DataFrame, right: DataFrame, rules: Sequence[Rule], pairs_per_task: int = PAIRS_PER_TASK
+    workspace: Workspace, name: str, left: DataFrame, right: DataFrame, rules: Sequence[Rule], pairs_per_task: int = PAIRS_PER_TASK, rows_per_task: int = ROWS_PER_TASK
 ) -> Layout | None:
     """Deal the pairs of two tables to tasks of equal work; None if there are no keys.
 
-    There is one task for each ``pairs_per_task`` pairs, and at least one per shuffle partition. A unit of work is at most
-    about a ``SHARES``-th of a task and goes to the task its middle falls into, so no task has much more than its part.
+    There is one task for each ``pairs_per_task`` pairs, and at least one per shuffle partition and for each
+    ``rows_per_task`` rows, as tables of many small blocks have few pairs to a row. A unit of work is at most about a ``SHARES``-th of a task and goes to the task its middle falls into, so no task has much more than its part.
     The running sum goes over the units, whose number follows that of the tasks and not that of the keys.
     """
     sizes = workspace.store(block_sizes(left, right, rules), f"{name}_sizes")
     pairs = F.col("left") * F.col("right")
-    total = sizes.agg(F.sum(pairs)).first()[0]
+    total, rows = sizes.agg(F.sum(pairs), F.sum(F.col("left") + F.col("right"))).first()
     if not total:
         return None
     partitions = int(workspace.spark.conf.get("spark.sql.shuffle.partitions"))
-    tasks = max(partitions, math.ceil(total / pairs_per_task))
+    tasks = max(partitions, math.ceil(total / pairs_per_task), math.ceil(rows / rows_per_task))
     share, unit = total / tasks, max(1.0, total / tasks / SHARES)
     n_buckets = tasks * SHARES
     heavy = _split(sizes, unit)
@@ -155,7 +155,8 @@ def _dealt(entries: DataFrame, layout: Layout, row_id: list[str], side: str, lim
     middle = F.floor((F.col("start") + (F.col("cell") + 0.5) * F.col("step")) / layout.pairs_per_task)
     buckets = F.broadcast(layout.buckets) if layout.n_buckets * HOT_ROW_BYTES <= limit else layout.buckets
     placed = cells.withColumn("bucket", _bucket(layout.n_buckets)).join(buckets, "bucket")
-    task = F.coalesce(F.least(middle, F.lit(layout.tasks - 1)).cast("int"), F.col("bucket_task"))
+    # the bound comes last, as ``least`` passes over the NULL that blocks in buckets have here
+    task = F.least(F.coalesce(middle, "bucket_task"), F.lit(layout.tasks - 1)).cast("int")
     placed = placed.withColumn("task", task).drop("bucket", "bucket_task", "start", "step")
     return placed.repartitionById(layout.tasks, "task")
 

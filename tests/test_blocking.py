@@ -103,6 +103,20 @@ def test_tasks_form_about_as_many_pairs_each_whatever_the_skew(spark):
     assert pairs.exceptAll(candidate_pairs(left, right, rules).select("l_id", "r_id")).isEmpty()
 
 
+def test_small_blocks_are_dealt_to_all_tasks(spark):
+    """Keys that occur once on each side lie in buckets only; rows, not pairs, give the number of tasks."""
+    rules, ws = [Rule("k", "k")], Workspace(spark)
+    table = ws.store(spark.range(0, 8000, 1, 1).selectExpr("id", "concat('k', id) as k"), "table")
+    layout = pair_layout(ws, "layout", table, table, rules, 10**6, 1000)
+    assert layout.tasks == 16 and layout.split.isEmpty()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = per_task(candidate_pairs(table, table, rules, layout).select("l_id"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum(rows) == 8000 and len(rows) == 16 and max(rows) <= 1.5 * sum(rows) / len(rows)
+
+
 def test_layout_knows_each_bucket_so_that_new_keys_find_a_task(spark):
     left, right, _ = tables(spark)
     layout = pair_layout(Workspace(spark), "layout", left, right, MEMBER_RULES, 50)
