@@ -16,6 +16,8 @@ FIELDS = ("ssn4", "dob", "first_name", "last_name")
 STEPS = 100
 #: First guess of m; u starts as the share of all pairs that agree.
 FIRST_M = 0.9
+#: Keys that a task counts or joins; an upper bound, as equal rows give one.
+KEYS_PER_TASK = 1_000_000
 #: Pairs that are added, half of them agreeing, so that no probability is 0 or 1.
 PSEUDO_PAIRS = 1.0
 
@@ -25,16 +27,21 @@ def comparable(rows: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFrame:
     return rows.select(*[F.nullif(F.lower(F.trim(F.col(f).cast("string"))), F.lit("")).alias(f) for f in fields])
 
 
-def _counted(rows: DataFrame, fields: tuple[str, ...], side: str) -> DataFrame:
-    """Rows per fields that are present, subset of them, and values in the subset. At most one row per set of present fields
-    has a key, so no key is hot however often it occurs."""
+def _counted(rows: DataFrame, fields: tuple[str, ...], side: str, tasks: int) -> DataFrame:
+    """Rows per fields that are present, subset of them, and values in the subset, dealt by subset and values. At most one row
+    per set of present fields has a key, so no key is hot however often it occurs.
+
+    Values outside the subset come back empty, which no value is.
+    """
     has = sum((F.when(F.col(f).isNotNull(), 1 << i).otherwise(0) for i, f in enumerate(fields)), F.lit(0))
     tuples = rows.groupBy(*fields).agg(F.count(F.lit(1)).alias("n")).withColumn("has", has)
     subsets = F.filter(F.sequence(F.lit(0), F.lit((1 << len(fields)) - 1)), lambda s: s.bitwiseAND(F.col("has")) == s)
-    entries = tuples.withColumn("subset", F.explode(subsets))
+    # a row gives many keys, so few tasks, though enough for the rows, would hold too many
+    entries = tuples.repartition(tasks, "has", *fields).withColumn("subset", F.explode(subsets))
     kept = {f: F.when(F.col("subset").bitwiseAND(F.lit(1 << i)) != 0, F.col(f)) for i, f in enumerate(fields)}
     keyed = entries.withColumns(kept).groupBy("has", "subset", *fields).agg(F.sum("n").alias("n"))
-    return keyed.select([F.col(c).alias(f"{side}_{c}") for c in keyed.columns])
+    values = [F.coalesce(f, F.lit("")).alias(f) for f in fields]
+    return keyed.select("subset", *values, *[F.col(c).alias(f"{side}_{c}") for c in ("has", "n")]).repartition(tasks, "subset", *fields)
 
 
 def agreement_patterns(left: DataFrame, right: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFrame:
@@ -43,13 +50,12 @@ def agreement_patterns(left: DataFrame, right: DataFrame, fields: tuple[str, ...
 
     Null and empty values are missing. Equal rows count each. An empty table gives no rows.
     """
-    d, e = (_counted(comparable(rows, fields), fields, side) for rows, side in ((left, "l"), (right, "r")))
-    same = F.col("l_subset") == F.col("r_subset")
-    for f in fields:
-        same = same & F.col("l_" + f).eqNullSafe(F.col("r_" + f))
+    keys = (left.count() + right.count()) << len(fields)
+    tasks = max(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(keys / KEYS_PER_TASK))
+    d, e = (_counted(comparable(rows, fields), fields, side, tasks) for rows, side in ((left, "l"), (right, "r")))
     whole = lambda c: F.col(c).cast("decimal(19,0)")
     present = F.col("l_has").bitwiseAND(F.col("r_has"))
-    at_least = d.join(e, same).groupBy(present.alias("present"), F.col("l_subset").alias("subset")).agg(F.sum(whole("l_n") * whole("r_n")).alias("pairs"))
+    at_least = d.join(e, ["subset", *fields]).groupBy(present.alias("present"), "subset").agg(F.sum(whole("l_n") * whole("r_n")).alias("pairs"))
     subset = F.col("subset")
     smaller = F.filter(F.sequence(F.lit(0), subset), lambda a: a.bitwiseAND(subset) == a)
     signed = F.when((F.bit_count(subset) - F.bit_count("agree")) % 2 == 0, F.col("pairs")).otherwise(-F.col("pairs"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from docmeld.config import DEMO_LIMITS, PRODUCTION_LIMITS, QualityLimits
 from docmeld.functions.numeric import percent, round_half_up
+from docmeld.operators.counted import pair_number
 
 # Names of the metrics, and below of the checks in the threshold reports.
 METRIC_COLUMNS = (
@@ -28,7 +29,7 @@ def document_counts(parsed: DataFrame, structured: DataFrame, matches: DataFrame
     """One row per document id in any of the three tables, with its row counts in each.
 
     One shuffle on the document id, aggregated before it; the pairs are never joined to the
-    documents. Structured rows and pairs without an id belong to no document.
+    documents. Structured rows and pairs without an id belong to no document. ``matches`` may be a counted table.
     """
 
     def flag(condition: Column) -> Column:
@@ -49,14 +50,14 @@ def document_counts(parsed: DataFrame, structured: DataFrame, matches: DataFrame
         flag(F.col("missing_dob")).alias("no_dob"),
         flag(F.col("missing_ssn4")).alias("no_ssn4"),
     )
-    match_class = F.col("match_class")
+    match_class, n = F.col("match_class"), pair_number(matches)
     scored = matches.where(F.col("doc_id").isNotNull()).select(
         "doc_id",
-        one.alias("match_rows"),
-        flag(match_class.isNotNull()).alias("classed"),
-        flag(match_class == "match").alias("match"),
-        flag(match_class == "possible_match").alias("possible_match"),
-        flag(match_class == "non_match").alias("non_match"),
+        n.alias("match_rows"),
+        (n * flag(match_class.isNotNull())).alias("classed"),
+        (n * flag(match_class == "match")).alias("match"),
+        (n * flag(match_class == "possible_match")).alias("possible_match"),
+        (n * flag(match_class == "non_match")).alias("non_match"),
     )
     rows = documents.unionByName(extracted, allowMissingColumns=True).unionByName(scored, allowMissingColumns=True)
     keys = {"doc_id", "batch_id"}

@@ -47,6 +47,14 @@ def test_patterns_are_those_of_all_pairs(spark, seed):
     assert patterns(spark, left, right) == plain_patterns(left, right)
 
 
+def test_keys_are_dealt_to_tasks_by_their_number(spark):
+    """Few rows give many keys; AQE would bring them together in as many tasks as the rows need."""
+    rows = est.comparable(spark.createDataFrame(table(random.Random(3), 400), SCHEMA))
+    counted = est._counted(rows, est.FIELDS, "l", 9)
+    sizes = [len(p) for p in counted.rdd.glom().collect()]
+    assert len(sizes) == 9 and max(sizes) < sum(sizes) / 3
+
+
 def test_nothing_and_missing_fields(spark):
     row, empty = (1, "0001", None, "", "Lee"), (2, None, None, None, None)
     assert patterns(spark, [], [row]) == {} == patterns(spark, [row], [])
