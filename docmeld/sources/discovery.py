@@ -120,17 +120,19 @@ class Listing(DataSourceStreamReader):
     def read(self, partition: InputPartition) -> Iterator[tuple]:
         fs, _, root = located(self.folder)
         for folder, below, known in partition.folders:
-            seen = (0, 0)
-            for e in self.walk(fs, folder, below):
-                seen = counted(seen, e.path)
-            if seen == (known or (0, 0)):
-                continue
-            # listed once more, as the names are not held; the mark is of those handed on
+            if known:
+                seen = (0, 0)
+                for e in self.walk(fs, folder, below):
+                    seen = counted(seen, e.path)
+                if seen == known:
+                    continue
+            # listed once more if it has a mark, as the names are not held; the mark is of those handed on
             seen = (0, 0)
             for e in self.walk(fs, folder, below):
                 seen = counted(seen, e.path)
                 yield folder, root + e.path, modified(e), e.size or 0, None, None
-            yield folder, None, None, None, *seen
+            if known or seen != (0, 0):
+                yield folder, None, None, None, *seen
 
 
 def counted(mark: tuple[int, int], path: str) -> tuple[int, int]:

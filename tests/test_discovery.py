@@ -141,3 +141,17 @@ def test_names(tmp_path):
     assert patterns("*.{pdf,PDF}") == ["*.pdf", "*.PDF"] and patterns("a{1,2}{x,y}") == ["a1x", "a1y", "a2x", "a2y"]
     for uri in (f"{tmp_path}/", f"file:{tmp_path}", f"file://{tmp_path}"):
         assert located(uri)[1:] == (str(tmp_path), "file:")
+
+
+def test_a_folder_without_a_mark_is_walked_once(tmp_path, inbox, monkeypatch):
+    options = {"path": str(inbox), "state": str(tmp_path / "state"), "glob": "*.pdf", "depth": "1", "tasks": "1"}
+    listing, walked, walk = discovery.Listing(options), [], discovery.Listing.walk
+    monkeypatch.setattr(discovery.Listing, "walk", lambda self, fs, folder, below: walked.append(folder) or walk(self, fs, folder, below))
+    folder = str(inbox / "b")
+    rows = list(listing.read(discovery.Prefixes([(folder, True, None)])))
+    assert len(rows) == 6 and rows[-1][4] == 5 and walked == [folder]
+    mark = rows[-1][4:]
+    assert not list(listing.read(discovery.Prefixes([(folder, True, mark)]))) and len(walked) == 2
+    assert len(list(listing.read(discovery.Prefixes([(folder, True, (4, 0))])))) == 6 and len(walked) == 4
+    (tmp_path / "none").mkdir()
+    assert not list(listing.read(discovery.Prefixes([(str(tmp_path / "none"), True, None)])))
