@@ -35,6 +35,8 @@ BUNDLE = 20_000
 #: Keys that are sorted together, while that takes no more than so many parts; larger parts are sorted on disk.
 KEYS_PER_PART, MOST_PARTS = 300_000, 4_000
 SALTS = 16
+#: Bits of a key that travel. Sets that meet by chance are told apart when they are verified: of 3.4 billion keys 3 in 1,000 do.
+KEY_BITS = 40
 #: Pairs whose summed minima are computed at a time.
 _PAIRS = 1 << 15
 
@@ -122,7 +124,8 @@ def _signed(a: np.ndarray) -> np.ndarray:
 
 
 def _meetings(docs: DataFrame, words: int, least: int) -> DataFrame:
-    """(key, digest) of each set's keys; a task hands in each set once."""
+    """(digest, key) of each set's keys; a task hands in each set once. The zeros above the bits of a key and the head of
+    the next row are one run, which compresses."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -135,9 +138,10 @@ def _meetings(docs: DataFrame, words: int, least: int) -> DataFrame:
                         seen.add(d)
                         found.append(keys(hashes, least))
                         ids.append(np.full(len(found[-1]), d))
-                yield pa.RecordBatch.from_pydict({"key": _signed(np.concatenate(found)), "digest": np.concatenate(ids)})
+                short = np.concatenate(found) >> np.uint64(64 - KEY_BITS)
+                yield pa.RecordBatch.from_pydict({"digest": np.concatenate(ids), "key": _signed(short)})
 
-    return docs.select("text").mapInArrow(released(run, "shingles"), "key long, digest long")
+    return docs.select("text").mapInArrow(released(run, "shingles"), "digest long, key long")
 
 
 def _made(ws: Workspace, docs: DataFrame, reps: DataFrame, digests: DataFrame, words: int, column: str, name: str) -> DataFrame:

@@ -132,6 +132,14 @@ def test_join_of_a_bucket_larger_than_a_cell(spark, monkeypatch):
     assert found_join(frame(spark, rows, 4), 3, 90) == plain_join(rows, 3, 90)
 
 
+def test_keys_travel_in_few_bits(spark):
+    """The key comes last, so that its zeros and the head of the next row are one run."""
+    docs = spark.createDataFrame([(" ".join(f"w{i}" for i in range(400)),)], "text string")
+    met = ngram_join._meetings(docs, 3, 90)
+    keys = [r["key"] for r in met.collect()]
+    assert met.columns == ["digest", "key"] and len(set(keys)) > 30 and 0 <= min(keys) and max(keys) < 1 << 40
+
+
 def test_join_deduplicate_and_empty(spark):
     rows = near_copies(random.Random(9), 80)
     df = frame(spark, rows, extra=True)
