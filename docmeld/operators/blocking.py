@@ -161,6 +161,17 @@ def _dealt(entries: DataFrame, layout: Layout, row_id: list[str], side: str, lim
     return placed.repartitionById(layout.tasks, "task")
 
 
+def _sides(left: DataFrame, right: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
+    return _entries(left, [r.left for r in rules], "l_"), _entries(right, [r.right for r in rules], "r_")
+
+
+def dealt_sides(left: DataFrame, right: DataFrame, rules: Sequence[Rule], layout: Layout, limit: int = HOT_BROADCAST_BYTES) -> tuple[DataFrame, DataFrame]:
+    """Both sides' entries by task; rows of one (rule, key, cell) are a pair."""
+    lefts, rights = _sides(left, right, rules)
+    lefts = _dealt(lefts, layout, ["l_" + c for c in left.columns], "left", limit)
+    return lefts, _dealt(rights, layout, ["r_" + c for c in right.columns], "right", limit)
+
+
 def stored_hot_blocks(
     workspace: Workspace, name: str, left: DataFrame, right: DataFrame, rules: Sequence[Rule], pairs_per_task: int = PAIRS_PER_TASK
 ) -> DataFrame | None:
@@ -217,14 +228,13 @@ def candidate_pairs(
     only spreads oversize ones; the pairs are the same with either and without. A list above ``hot_limit`` bytes is not
     broadcast.
     """
-    lefts = _entries(left, [r.left for r in rules], "l_")
-    rights = _entries(right, [r.right for r in rules], "r_")
     on = ["rule", "key"]
     if isinstance(hot, Layout):
-        lefts = _dealt(lefts, hot, ["l_" + c for c in left.columns], "left", hot_limit)
-        rights = _dealt(rights, hot, ["r_" + c for c in right.columns], "right", hot_limit)
+        lefts, rights = dealt_sides(left, right, rules, hot, hot_limit)
         on += ["cell", "task"]
-    elif hot is not None:
+    else:
+        lefts, rights = _sides(left, right, rules)
+    if hot is not None and not isinstance(hot, Layout):
         lefts = _cells(lefts, hot, ["l_" + c for c in left.columns], "left", hot_limit)
         rights = _cells(rights, hot, ["r_" + c for c in right.columns], "right", hot_limit)
         on.append("cell")

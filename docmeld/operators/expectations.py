@@ -109,14 +109,19 @@ def apply_expectations(df: DataFrame, rules: Sequence[Expectation], name: str |
     return df
 
 
-def expectations_report(df: DataFrame, rules: Sequence[Expectation], table: str) -> DataFrame:
-    """Violations of each rule in one pass: (table, rule, level, violations, total)."""
+def expectations_report(df: DataFrame, rules: Sequence[Expectation], table: str, rows: str | None = None) -> DataFrame:
+    """Violations of each rule in one pass: (table, rule, level, violations, total).
+
+    ``rows``: column that says how many rows one stands for, all of which break the same rules.
+    """
+    n = F.lit(1).cast("long") if rows is None else F.col(rows)
+    none = F.lit(0).cast("long")
     entries = [
         F.struct(
             F.lit(rule.name).alias("rule"),
             F.lit(rule.level).alias("level"),
-            F.count_if(~rule.passes).alias("violations"),
-            F.count(F.lit(1)).alias("total"),
+            F.coalesce(F.sum(F.when(~rule.passes, n)), none).alias("violations"),
+            F.coalesce(F.sum(n), none).alias("total"),
         )
         for rule in rules
     ]

@@ -102,6 +102,19 @@ class StateTable:
 _SIMILARITY = {"ssn4_agreement": "ssn4_exact", "dob_agreement": "dob_exact", "first_name_sim": "first_name_sim", "last_name_sim": "last_name_sim"}
 
 
+def summed_match_measures() -> Measures:
+    """:func:`match_measures` of a summed table (``operators/summed.py``), whose weights and similarities are never null."""
+    n = F.col("pairs")
+    sums = {"n": n, "weight_n": n, "weight_sum": F.col("weight_sum")}
+    for name, column in list(_SIMILARITY.items())[:2]:
+        known = F.col(column).isNotNull().cast("long")
+        sums |= {f"{name}_n": n * known, f"{name}_sum": F.col(column) * n}
+    for name, column in (("first_name_sim", "first_sum"), ("last_name_sim", "last_sum")):
+        sums |= {f"{name}_n": n, f"{name}_sum": F.col(column)}
+    keys = {c: F.col(c) for c in ("batch_date", "match_class", "weight_bucket")}
+    return Measures(keys, sums, {"weight_min": F.col("weight_min")}, {"weight_max": F.col("weight_max")})
+
+
 def match_measures() -> Measures:
     """What the views of matches need, by day, class and whole-number weight; as many groups as days times some hundreds."""
     weight, one = F.col("total_weight"), F.lit(1)

@@ -196,11 +196,11 @@ def fs_parameters_estimated(t: DerivedTables) -> DataFrame:
 
 def _expectations(t: DerivedTables) -> DataFrame:
     """Violations of every rule in tables that no rule was applied to."""
-    t.keep_pairs()
+    t.keep_auth_pairs()
     tables = {"parsed": t.parsed, "structured": t.structured_unchecked, **t.faulty_lanes()}
     report = None
     for name, rules in table_expectations(F.lit(TODAY), text="text_length").items():
-        rows = expectations_report(tables[name], rules, name)
+        rows = expectations_report(tables[name], rules, name, "pairs" if "pairs" in tables[name].columns else None)
         report = rows if report is None else report.unionAll(rows)
     return report
 
@@ -448,12 +448,12 @@ def publish_status(t: DerivedTables) -> DataFrame:
 
 @query
 def match_distribution(t: DerivedTables) -> DataFrame:
-    return reports.match_distribution(t.member_matches)
+    return reports.match_distribution(t.member_match_sums)
 
 
 @query
 def score_histogram(t: DerivedTables) -> DataFrame:
-    return reports.score_histogram(t.member_matches)
+    return reports.score_histogram(t.member_match_sums)
 
 
 @query
@@ -485,16 +485,16 @@ def risk_tiers(t: DerivedTables) -> DataFrame:
 VIEWS: dict[str, Build] = {
     "v_pipeline_kpis": lambda t: reports.pipeline_kpis(t.member, t.auth, t.curated, t.member_match_counts),
     "v_dq_metrics": lambda t: reports.dq_overview(t.curated),
-    "v_doc_match_status": lambda t: reports.doc_match_status(t.parsed, t.member_matches),
-    "v_match_summary": lambda t: reports.match_summary(t.member_matches),
-    "v_score_distribution": lambda t: reports.score_histogram(t.member_matches),
+    "v_doc_match_status": lambda t: reports.doc_match_status(t.parsed, t.best_member_matches),
+    "v_match_summary": lambda t: reports.match_summary(t.member_match_sums),
+    "v_score_distribution": lambda t: reports.score_histogram(t.member_match_sums),
     "v_auth_match_summary": lambda t: reports.auth_match_summary(t.auth_matches),
     "v_intake_summary": lambda t: reports.intake_summary(t.intake),
     "v_batch_metrics": lambda t: _as_text(reports.batch_metrics(t.parsed), "batch_date"),
     "v_batch_extraction_metrics": lambda t: _as_text(
         reports.batch_extraction_metrics(t.parsed, t.structured), "batch_date"
     ),
-    "v_batch_match_metrics": lambda t: _as_text(reports.batch_match_metrics(t.member_matches), "batch_date"),
+    "v_batch_match_metrics": lambda t: _as_text(reports.batch_match_metrics(t.member_match_sums), "batch_date"),
 }
 
 
@@ -509,8 +509,8 @@ def _checksum(df: DataFrame, name: str) -> DataFrame:
 
 
 def _refreshed_views(t: DerivedTables) -> DataFrame:
-    """Register all report views over stored pairs; rows and a checksum of all values that each one shows."""
-    t.keep_pairs()
+    """Register all report views over stored sums and pairs; rows and a checksum of all values that each one shows."""
+    t.keep_auth_pairs()
     outcome = refresh_views(t.spark, {name: lambda view=view: view(t) for name, view in VIEWS.items()})
     sums = [_checksum(t.spark.table(n), n) for n, state in outcome.items() if state == "REFRESHED"]
     return reduce(DataFrame.unionAll, sums)
@@ -518,10 +518,9 @@ def _refreshed_views(t: DerivedTables) -> DataFrame:
 
 def _three_runs(t: DerivedTables) -> states.StateTable:
     """State of the member matches after three runs, each with the documents of some hours; the second ran twice."""
-    t.keep_pairs()
-    state = states.StateTable(t.spark, t.workspace.path("match_state"), states.match_measures())
+    state = states.StateTable(t.spark, t.workspace.path("match_state"), states.summed_match_measures())
     for run in (0, 1, 1, 2):
-        state.add(t.member_matches.where(F.hour("pipeline_run_ts") % 3 == run), run)
+        state.add(t.member_match_sums.where(F.col("run") == run), run)
         if run == 0:
             state.merge()
     return state
