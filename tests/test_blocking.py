@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from docmeld.operators.blocking import _cells, _entries, AUTH_RULES, MEMBER_RULES, Rule, candidate_pairs, hot_blocks, pair_layout, stored_hot_blocks
+from docmeld.operators.blocking import _cells, _entries, _placed_sides, AUTH_RULES, MEMBER_RULES, Rule, candidate_pairs, hot_blocks, pair_layout, stored_hot_blocks
 from docmeld.plans.derived import DerivedTables
 from docmeld.workspace import Workspace
 
@@ -137,6 +137,25 @@ def test_dealing_adds_no_shuffle_to_the_join(spark):
     assert plan.count("Exchange shufflepartitionidpassthrough") == 2 and "Exchange hashpartitioning" not in plan
 
 
+def test_rows_are_dealt_before_they_are_copied_to_cells(spark):
+    """A small file that becomes many copies does not do so in one task."""
+    left = spark.range(20_000).selectExpr("id", "'x' as k").repartition(8)
+    right = spark.range(500).selectExpr("id", "'x' as k").coalesce(1)
+    rules = [Rule("k", "k")]
+    layout = pair_layout(Workspace(spark), "layout", left, right, rules, 10_000, 30_000)
+    rights = _placed_sides(left, right, rules, layout, 1 << 20)[1]
+    rows = [r["count"] for r in rights.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(rows) > 100_000 and max(rows) <= 60_000
+    pairs = candidate_pairs(left, right, rules, layout)
+    assert pairs.count() == 10_000_000
+
+
+def test_tables_without_copies_are_not_dealt_twice(spark):
+    left = spark.range(5000).selectExpr("id", "cast(id as string) as k")
+    layout = pair_layout(Workspace(spark), "layout", left, left, [Rule("k", "k")], 100, 500)
+    assert layout.spread == {"left": 0, "right": 0}
+
+
 def test_empty_string_is_a_key(spark):
     left = spark.createDataFrame([(1, "", None)], "id int, ssn4 string, dob string")
     assert found(candidate_pairs(left, left, MEMBER_RULES)) == [(1, 1)]
