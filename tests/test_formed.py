@@ -7,7 +7,7 @@ import random
 import numpy as np
 import pytest
 
-from docmeld.operators import formed, summed
+from docmeld.operators import blocking, formed, summed
 from docmeld.operators.blocking import MEMBER_RULES, candidate_pairs
 from docmeld.operators.scoring import pair_features
 from docmeld.plans.registry import QUERIES
@@ -47,6 +47,19 @@ def test_features_are_those_of_the_join(spark, lanes, small, monkeypatch):
     assert rows(found) == rows(expected)
 
 
+def test_lists_and_not_pairs_are_handed_over(spark, monkeypatch):
+    """What Python hands to Spark grows with both sides of a block and their distinct names, not with its pairs."""
+    docs = spark.createDataFrame([(f"d{i}", None, *NAMES[i % 2], "0001", DAYS[1 + i % 2]) for i in range(60)], DOCUMENT)
+    members = spark.createDataFrame([(f"m{i}", *NAMES[i % 2], "0001", DAYS[1 + i % 2]) for i in range(50)], MEMBER)
+    assert formed.member_pair_features(Workspace(spark), "layout", docs, members).count() == 3000
+    monkeypatch.setattr(formed, "_exploded", lambda handed: handed)
+    monkeypatch.setattr(blocking, "SHARES", 1)
+    handed = formed.member_pair_features(Workspace(spark), "layout", docs, members)
+    values = [len(x) for row in handed.collect() for x in row if isinstance(x, list)]
+    # both rules find pairs
+    assert 0 < sum(values) < 3000 + 1500
+
+
 def test_no_keys_give_no_pairs(spark, lanes):
     none = formed.member_pair_features(Workspace(spark), "layout", lanes[0].where("false"), lanes[1].where("false"))
     assert none.columns[:2] == ["doc_id", "member_id"] and none.isEmpty()
