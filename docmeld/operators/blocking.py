@@ -58,11 +58,16 @@ def block_sizes(left: DataFrame, right: DataFrame, rules: Sequence[Rule]) -> Dat
     """Rows of both sides per (rule, key). A side without rows counts as one row, so a key that very many rows of one side
     share has weight even where it has no partner."""
 
-    def keys(df: DataFrame, columns: list[str], is_left: int) -> DataFrame:
-        entries = _entries(df.select(*dict.fromkeys(columns)), columns, "c_")
-        return entries.select("rule", "key", F.lit(is_left).alias("left"), F.lit(1 - is_left).alias("right"))
+    def keys(df: DataFrame, columns: list[str]) -> DataFrame:
+        return _entries(df.select(*dict.fromkeys(columns)), columns, "c_")
 
-    both = keys(left, [r.left for r in rules], 1).unionAll(keys(right, [r.right for r in rules], 0))
+    return entry_sizes(keys(left, [r.left for r in rules]), keys(right, [r.right for r in rules]))
+
+
+def entry_sizes(lefts: DataFrame, rights: DataFrame) -> DataFrame:
+    """:func:`block_sizes` of entries."""
+    both = lefts.select("rule", "key", F.lit(1).alias("left"), F.lit(0).alias("right"))
+    both = both.unionAll(rights.select("rule", "key", F.lit(0).alias("left"), F.lit(1).alias("right")))
     rows = [F.greatest(F.sum(side), F.lit(1)).cast("double").alias(side) for side in ("left", "right")]
     return both.groupBy("rule", "key").agg(*rows)
 
@@ -125,13 +130,20 @@ def _bucket(n_buckets: int) -> Column:
 def pair_layout(
     workspace: Workspace, name: str, left: DataFrame, right: DataFrame, rules: Sequence[Rule], pairs_per_task: int = PAIRS_PER_TASK, rows_per_task: int = ROWS_PER_TASK
 ) -> Layout | None:
-    """Deal the pairs of two tables to tasks of equal work; None if there are no keys.
+    """Deal the pairs of two tables to tasks of equal work; None if there are no keys."""
+    return layout_of_sizes(workspace, name, block_sizes(left, right, rules), pairs_per_task, rows_per_task)
+
+
+def layout_of_sizes(
+    workspace: Workspace, name: str, sizes: DataFrame, pairs_per_task: int = PAIRS_PER_TASK, rows_per_task: int = ROWS_PER_TASK
+) -> Layout | None:
+    """:func:`pair_layout` of blocks whose sizes are known.
 
     There is one task for each ``pairs_per_task`` pairs, and at least one per shuffle partition and for each
     ``rows_per_task`` rows, as tables of many small blocks have few pairs to a row. A unit of work is at most about a ``SHARES``-th of a task and goes to the task its middle falls into, so no task has much more than its part.
     The running sum goes over the units, whose number follows that of the tasks and not that of the keys.
     """
-    sizes = workspace.store(block_sizes(left, right, rules), f"{name}_sizes")
+    sizes = workspace.store(sizes, f"{name}_sizes")
     pairs = F.col("left") * F.col("right")
     total, *rows_of = sizes.agg(F.sum(pairs), F.sum("left"), F.sum("right")).first()
     rows = sum(n or 0 for n in rows_of)

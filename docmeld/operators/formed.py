@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
 from docmeld.operators.blocking import MEMBER_RULES, dealt_together, pair_layout
-from docmeld.operators.summed import _BLOCK, ANCHORS, NAMES, _coded, _column, _row_codes_of_both, _Similarity
+from docmeld.operators.summed import _BLOCK, ANCHORS, NAMES, _coded, _column, _ranges, _row_codes_of_both, _Similarity
 from docmeld.workspace import Workspace
 
 # Executors get the code of these functions with the task and need no copy of the package.
@@ -39,11 +39,6 @@ def _stretches(left: np.ndarray, stretch: int | np.ndarray) -> np.ndarray:
     return np.append(np.flatnonzero(within % stretch == 0), len(left))
 
 
-def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The numbers of all ranges, one range after the other."""
-    return np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
-
-
 def _lists(values: pa.Array, sizes: np.ndarray, nullable: bool = False) -> pa.ListArray:
     offsets = pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32))
     return pa.ListArray.from_arrays(offsets, values, pa.list_(pa.field("element", values.type, nullable)))

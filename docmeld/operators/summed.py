@@ -1,9 +1,10 @@
 """Pairs of the member lane scored and added up where they meet, for reports that need weights but not the pairs.
 
-Blocks are dealt to tasks as for :func:`docmeld.operators.blocking.candidate_pairs`. A task forms its pairs as numbers of two rows, a
-bounded lot at a time, scores and classifies all of them, and hands over sums: a row per group of documents and members, agreement
-of the anchors, class and whole-number weight (a summed table), or one row per document with its best weight. The work still
-grows with the pairs, but no pair becomes a row of Spark.
+Blocks are dealt to tasks as for :func:`docmeld.operators.blocking.candidate_pairs`. Partners of a block that are equal in their names
+and the other anchor are one row with a number. A task goes through documents and distinct names of their partners, a bounded lot at a
+time: such a cell is scored once for each agreement of the other anchor, with the number of its pairs. It hands over sums: a row per group
+of documents and members, agreement of the anchors, class and whole-number weight (a summed table), or one row per document with its best
+weight. Where all names differ there are as many cells as pairs.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from docmeld.config import MATCH_CLASSES, POSSIBLE_THRESHOLD, MatchWeights
 from docmeld.functions.similarity import jaro_winkler_scores
-from docmeld.operators.blocking import MEMBER_RULES, dealt_sides, pair_layout
+from docmeld.operators.blocking import HOT_BROADCAST_BYTES, MEMBER_RULES, _placed, _sides, entry_sizes, layout_of_sizes
 from docmeld.operators.expectations import apply_expectations, match_expectations
 from docmeld.operators.scoring import classify
 from docmeld.workspace import Workspace
@@ -29,7 +30,7 @@ from docmeld.workspace import Workspace
 for _module in (__name__, MatchWeights.__module__):
     cloudpickle.register_pickle_by_value(sys.modules[_module])
 
-#: Pairs that a task adds up in the mean, and those it holds at once; similarities it keeps as a table of names by names.
+#: Cells that a task adds up in the mean, and those it holds at once; similarities it keeps as a table of names by names.
 PAIRS_PER_TASK, HELD, TABLE = 200_000_000, 1 << 18, 4_000_000
 ANCHORS, NAMES = ("ssn4", "dob"), ("first_name", "last_name")
 _BLOCK = ("task", "rule", "key", "cell")
@@ -41,13 +42,14 @@ MEASURES = (
 
 
 class _Lot(NamedTuple):
-    """Some pairs: places of both rows, codes of the agreement of both anchors (2: unknown), similarities, weights."""
+    """Some cells: places of a row of each side, codes of the agreement of both anchors (2: unknown), similarities, weights, number of pairs."""
 
     left: np.ndarray
     right: np.ndarray
     flags: list[np.ndarray]
     sims: list[np.ndarray]
     weight: np.ndarray
+    pairs: np.ndarray
 
 
 def _coded(left: pa.Array, right: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -93,12 +95,21 @@ class _Similarity:
         return self._scores(distinct)[back]
 
 
-def _lots(left: pa.Table, right: pa.Table, weights: MatchWeights, held: int | None = None) -> Iterator[_Lot]:
-    """All pairs of the blocks of a task, by rows of the left side in order of their blocks."""
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges, one range after the other."""
+    return np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+
+
+def _lots(left: pa.Table, right: pa.Table, weights: MatchWeights, keys_r: list[str]) -> Iterator[_Lot]:
+    """All pairs of the blocks of a task, those of a document with partners of equal names and ``keys_r`` counted by agreement of the anchors."""
     block_l, block_r = _row_codes_of_both(left, right)
-    order = np.argsort(block_r, kind="stable")
-    first = np.searchsorted(block_r[order], block_l, side="left")
-    partners = np.searchsorted(block_r[order], block_l, side="right") - first
+    n = _column(right, "r_n").to_numpy(zero_copy_only=False)
+    named = _row_codes(right, ["r_" + c for c in NAMES] + keys_r)
+    # groups of partners, in order of their blocks
+    keys, one, group = np.unique(block_r * (named.max(initial=0) + 1) + named, return_index=True, return_inverse=True)
+    group, block_g = group.reshape(-1), block_r[one]
+    first = np.searchsorted(block_g, block_l, side="left")
+    partners = np.searchsorted(block_g, block_l, side="right") - first
     rows = np.argsort(block_l, kind="stable")
     rows = rows[partners[rows] > 0]
     ends = np.cumsum(partners[rows])
@@ -106,34 +117,50 @@ def _lots(left: pa.Table, right: pa.Table, weights: MatchWeights, held: int | No
         return
     fields = [_Similarity(_column(left, "l_" + c), _column(right, "r_" + c), int(ends[-1])) for c in NAMES]
     anchors = [_coded(_column(left, "l_" + c), _column(right, "r_" + c))[:2] for c in ANCHORS]
-    rule = _column(left, "rule").to_numpy(zero_copy_only=False)
+    # the rows of a block agree in its own anchor
+    rule_l, rule_r = (_column(t, "rule").to_numpy(zero_copy_only=False) for t in (left, right))
+    other_l, other_r = (np.where(rule == 0, *own) for rule, own in ((rule_l, (anchors[1][0], anchors[0][0])), (rule_r, (anchors[1][1], anchors[0][1]))))
+    size, unknown = (np.bincount(group, weights=x, minlength=len(keys)).astype(np.int64) for x in (n, n * (other_r < 0)))
+    # partners by the other anchor
+    width = max(other_l.max(initial=0), other_r.max(initial=0)) + 1
+    known = np.flatnonzero(other_r >= 0)
+    values, value_r = np.unique(block_r[known] * width + other_r[known], return_inverse=True)
+    triples, triple_r = np.unique(value_r.reshape(-1) * len(keys) + group[known], return_inverse=True)
+    group_t = triples % len(keys)
+    n_t = np.bincount(triple_r.reshape(-1), weights=n[known], minlength=len(triples)).astype(np.int64)
+    value_l = np.where(other_l >= 0, block_l * width + other_l, -1)
+    first_t = np.searchsorted(values[triples // len(keys)], value_l, side="left")
+    agreeing = np.searchsorted(values[triples // len(keys)], value_l, side="right") - first_t
     signs = [np.array([-w, w, -w]) for w in (weights.ssn4, weights.dob)]
     start = 0
     while start < len(rows):
         before = ends[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(ends, before + (held or HELD), side="right")))
+        stop = max(start + 1, int(np.searchsorted(ends, before + HELD, side="right")))
         some = rows[start:stop]
-        n = partners[some]
-        i = np.repeat(some, n)
-        j = order[np.arange(len(i)) + np.repeat(first[some] - (np.cumsum(n) - n), n)]
-        flags = []
-        for of_left, of_right in anchors:
-            x, y = of_left[i], of_right[j]
-            flags.append(np.where((x < 0) | (y < 0), 2, x == y))
+        i, g = np.repeat(some, partners[some]), _ranges(first[some], partners[some])
+        sims_of = [field.of(i, one[g]) for field in fields]
+        missing = other_l[i] < 0
+        # unknown, agreeing, differing
+        n_unknown = np.where(missing, size[g], unknown[g])
+        n_differing = size[g] - n_unknown
+        t = _ranges(first_t[some], agreeing[some])
+        starts = np.cumsum(partners[some]) - partners[some]
+        same = np.repeat(starts - first[some], agreeing[some]) + group_t[t]
+        n_differing[same] -= n_t[t]
         # a pair that an earlier rule finds is that rule's
-        found = np.zeros(len(i), bool)
-        for k in range(len(ANCHORS) - 1):
-            found |= (rule[i] > k) & (flags[k] == 1)
-        if found.any():
-            keep = ~found
-            i, j, flags = i[keep], j[keep], [f[keep] for f in flags]
-        sims = [field.of(i, j) for field in fields]
+        mine = rule_l[i[same]] == 0
+        kinds = [(2, np.flatnonzero(n_unknown), n_unknown), (0, np.flatnonzero(n_differing), n_differing)]
+        at = np.concatenate([*(x for _, x, _ in kinds), same[mine]])
+        pairs = np.concatenate([*(number[x] for _, x, number in kinds), n_t[t[mine]]])
+        other = np.repeat([2, 0, 1], [len(kinds[0][1]), len(kinds[1][1]), mine.sum()])
+        i, j, sims = i[at], one[g[at]], [sim[at] for sim in sims_of]
+        flags = [np.where(rule_l[i] == k, 1, other) for k in range(len(ANCHORS))]
         # added up in the order of fs_score
         weight = signs[0][flags[0]] + signs[1][flags[1]]
         for sim in sims:
             weight = weight + (sim * weights.name_scale - 1.0)
         if len(i):
-            yield _Lot(i, j, flags, sims, weight)
+            yield _Lot(i, j, flags, sims, weight, pairs)
         start = stop
 
 
@@ -156,7 +183,7 @@ def _added(left: pa.Table, right: pa.Table, weights: MatchWeights, keys_l: list[
     # a row of each group, to read its values from
     one_l, one_r = (pd.Series(np.arange(len(g))).groupby(g).first().to_numpy() for g in (group_l, group_r))
     parts = []
-    for lot in _lots(left, right, weights):
+    for lot in _lots(left, right, weights, keys_r):
         t, bucket = lot.weight, _rounded(lot.weight)
         lowest = bucket.min()
         classed = np.where(t >= weights.match_at, 0, np.where(t >= weights.possible_at, 1, 2))
@@ -172,12 +199,12 @@ def _added(left: pa.Table, right: pa.Table, weights: MatchWeights, keys_l: list[
         group = group_l[lot.left] * n_r + group_r[lot.right]
         group, groups = pd.factorize(group)
         at, size = group * len(used) + place[bins], len(groups) * len(used)
-        pairs = np.bincount(at, minlength=size)
+        pairs = np.bincount(at, weights=lot.pairs, minlength=size).astype(np.int64)
         low, high = np.full(size, np.inf), np.full(size, -np.inf)
         np.minimum.at(low, at, t)
         np.maximum.at(high, at, t)
         some = np.flatnonzero(pairs)
-        sums = [np.bincount(at, weights=x, minlength=size)[some] for x in (t, *lot.sims)]
+        sums = [np.bincount(at, weights=x * lot.pairs, minlength=size)[some] for x in (t, *lot.sims)]
         bucket = used[some % len(used)] // 108 + lowest
         parts.append((groups[some // len(used)], used[some % len(used)] % 108, bucket, pairs[some], *sums, low[some], high[some]))
     names = ("group", "bin", "weight_bucket", "pairs", "weight_sum", "first_sum", "last_sum", "weight_min", "weight_max")
@@ -199,12 +226,12 @@ def _added(left: pa.Table, right: pa.Table, weights: MatchWeights, keys_l: list[
 
 def _best(left: pa.Table, right: pa.Table, weights: MatchWeights) -> pa.Table:
     """Per row of the left side with pairs: the highest weight, and the lowest of a match."""
-    parts = []
-    for lot in _lots(left, right, weights):
-        starts = np.flatnonzero(np.diff(lot.left, prepend=-1))
-        matched = np.where(lot.weight >= weights.match_at, lot.weight, np.inf)
-        parts.append((lot.left[starts], np.maximum.reduceat(lot.weight, starts), np.minimum.reduceat(matched, starts)))
-    row, best, low = [np.concatenate(x) for x in zip(*parts)] if parts else (np.zeros(0, np.int64), np.zeros(0), np.zeros(0))
+    best, low = np.full(left.num_rows, -np.inf), np.full(left.num_rows, np.inf)
+    for lot in _lots(left, right, weights, []):
+        np.maximum.at(best, lot.left, lot.weight)
+        np.minimum.at(low, lot.left, np.where(lot.weight >= weights.match_at, lot.weight, np.inf))
+    row = np.flatnonzero(best > -np.inf)
+    best, low = best[row], low[row]
     return pa.table({
         "doc_id": _column(left, "l_doc_id").take(pa.array(row)), "best_weight": pa.array(best), "lightest_match": pa.array(low, mask=np.isinf(low))
     })
@@ -213,13 +240,19 @@ def _best(left: pa.Table, right: pa.Table, weights: MatchWeights) -> pa.Table:
 def _per_task(workspace: Workspace, name: str, documents: DataFrame, members: DataFrame, keys_l: list[str], keys_r: list[str], of, schema: str) -> DataFrame:
     """``of`` both sides of each task; rows without an id make no valid pair."""
     documents, members = documents.where("doc_id is not null"), members.where("member_id is not null")
-    layout = pair_layout(workspace, name, documents, members, MEMBER_RULES, PAIRS_PER_TASK)
+    fields = [*NAMES, *ANCHORS]
+    lefts, rights = _sides(documents, members, MEMBER_RULES)
+    alike = ["r_" + c for c in NAMES] + keys_r
+    partners = ["rule", "key", *dict.fromkeys(["r_" + c for c in fields] + keys_r)]
+    rights = workspace.store(rights.groupBy(*partners).agg(F.count(F.lit(1)).alias("r_n")), f"{name}_partners")
+    layout = layout_of_sizes(workspace, name, entry_sizes(lefts, rights.select("rule", "key", *alike).distinct()), PAIRS_PER_TASK)
     if layout is None:
         return workspace.spark.createDataFrame([], schema)
-    fields = [*NAMES, *ANCHORS]
-    sides = dealt_sides(documents, members, MEMBER_RULES, layout)
-    columns = [[p + c for c in dict.fromkeys([*fields, *keys])] for p, keys in (("l_", keys_l), ("r_", keys_r))]
-    lefts, rights = (df.select(*_BLOCK, *c).groupBy("task") for df, c in zip(sides, columns))
+    lefts = _placed(lefts, layout, ["l_" + c for c in documents.columns], "left", HOT_BROADCAST_BYTES)
+    # partners that are alike stay together
+    rights = _placed(rights, layout, alike, "right", HOT_BROADCAST_BYTES)
+    columns = list(dict.fromkeys(["l_" + c for c in fields] + keys_l)), [*partners[2:], "r_n"]
+    lefts, rights = (df.repartitionById(layout.tasks, "task").select(*_BLOCK, *c).groupBy("task") for df, c in zip((lefts, rights), columns))
     return lefts.cogroup(rights).applyInArrow(of, schema)
 
 
@@ -246,7 +279,7 @@ def summed_matches(
         found = _added(left, right, weights, ["l_" + c for c in keys_l], ["r_" + c for c in keys_r])
         return found.rename_columns([c.removeprefix("l_") if c in {"l_" + k for k in keys_l} else c.removeprefix("r_") if c in {"r_" + k for k in keys_r} else c for c in found.column_names]).select(names)
 
-    rows = _per_task(workspace, f"{name}_layout", documents, members, keys_l, keys_r, of, schema)
+    rows = _per_task(workspace, f"{name}_layout", documents, members, ["l_" + c for c in keys_l], ["r_" + c for c in keys_r], of, schema)
     sums = names[names.index("pairs") : names.index("weight_min")]
     measures = [F.sum(c).alias(c) for c in sums] + [F.min("weight_min").alias("weight_min"), F.max("weight_max").alias("weight_max")]
     return workspace.store(rows.groupBy(*names[: names.index("pairs")]).agg(*measures), name)
@@ -263,7 +296,7 @@ def best_matches(workspace: Workspace, name: str, documents: DataFrame, members:
     def of(left: pa.Table, right: pa.Table) -> pa.Table:
         return _best(left, right, weights)
 
-    rows = _per_task(workspace, f"{name}_layout", documents, members, ["doc_id"], [], of, _types(documents, ["doc_id"]) + "best_weight double, lightest_match double")
+    rows = _per_task(workspace, f"{name}_layout", documents, members, ["l_doc_id"], [], of, _types(documents, ["doc_id"]) + "best_weight double, lightest_match double")
     best = rows.groupBy("doc_id").agg(F.max("best_weight").alias("best_weight"), F.min("lightest_match").alias("lightest_match"))
     lightest = F.coalesce("lightest_match", "best_weight")
     best = apply_expectations(best.withColumns({"total_weight": lightest, "match_class": classify(lightest, weights)}), match_expectations())

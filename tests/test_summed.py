@@ -93,6 +93,26 @@ def test_a_match_that_is_too_light_stops_the_run(spark, lanes):
         summed.best_matches(Workspace(spark), "best", *lanes, weights)
 
 
+def test_partners_of_equal_names_are_scored_together():
+    """Cells grow with the distinct names of a block and the values of the other anchor a document meets, not with its partners."""
+    block = {"task": 0, "rule": 0, "key": "0001", "cell": 0}
+    docs = [block | {"l_first_name": "Ann", "l_last_name": "Lee", "l_ssn4": "0001", "l_dob": dob} for dob in DAYS]
+    members = [
+        block | {"r_first_name": name, "r_last_name": "Lee", "r_ssn4": "0001", "r_dob": dob, "r_n": 1000 + k}
+        for name in ("Ann", "Bob") for k, dob in enumerate([*DAYS, dt.date(1970, 1, 1)])
+    ]
+    lots = list(summed._lots(pa.Table.from_pylist(docs), pa.Table.from_pylist(members), MatchWeights(), []))
+    found = {}
+    for lot in lots:
+        assert len(set(zip(lot.left, lot.right, lot.flags[1]))) == len(lot.left)
+        for i, j, dob, n in zip(lot.left, lot.right, lot.flags[1], lot.pairs):
+            key = (int(i), members[j]["r_first_name"], int(dob))
+            found[key] = found.get(key, 0) + int(n)
+    unknown = {(0, name, 2): 4006 for name in ("Ann", "Bob")}
+    of_day = {(i, name, dob): n for i, same in ((1, 1001), (2, 1002)) for name in ("Ann", "Bob") for dob, n in ((2, 1000), (1, same), (0, 3006 - same))}
+    assert found == unknown | of_day
+
+
 def test_no_keys_no_pairs(spark, lanes):
     docs = lanes[0].where("ssn4 is null and dob is null")
     nobody = lanes[1].where("false")
