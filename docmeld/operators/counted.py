@@ -49,6 +49,19 @@ def decided_class(weights: MatchWeights, ssn4: bool, dob: bool) -> str | None:
     return classes[0]
 
 
+def with_anchors(df: DataFrame) -> DataFrame:
+    """Both anchors as one key, NULL if one is."""
+    # the date comes first, as it holds no blank
+    return df.withColumn("anchors", F.concat(F.col("dob").cast("string"), F.lit(" "), F.col("ssn4")))
+
+
+def worth_review_rules(weights: MatchWeights = MatchWeights()) -> tuple[Rule, ...]:
+    """Blocking rules that find all pairs of the member lane but non-matches: both anchors together (:func:`with_anchors`) if one
+    alone makes a non-match whatever the names, else those of the lane."""
+    one = {decided_class(weights, True, False), decided_class(weights, False, True)}
+    return ANCHORS if one == {"non_match"} else MEMBER_RULES
+
+
 def member_match_counts(
     workspace: Workspace, documents: DataFrame, members: DataFrame, scored: Callable[[DataFrame, DataFrame, tuple[Rule, ...]], DataFrame],
     weights: MatchWeights = MatchWeights(),
@@ -62,9 +75,7 @@ def member_match_counts(
     one = {"ssn4": decided_class(weights, True, False), "dob": decided_class(weights, False, True)}
     if None in one.values():
         return counted(scored(documents, members, MEMBER_RULES))
-    # the date comes first, as it holds no blank
-    anchors = F.concat(F.col("dob").cast("string"), F.lit(" "), F.col("ssn4"))
-    docs, entities = (df.withColumn("anchors", anchors) for df in (documents, members))
+    docs, entities = with_anchors(documents), with_anchors(members)
     keyed = docs.where("doc_id is not null").select("doc_id", "pipeline_run_ts", "ssn4", "dob", "anchors")
     known = entities.where("member_id is not null")
 

@@ -430,7 +430,7 @@ def stream_match_events(t: DerivedTables) -> DataFrame:
 def publish_payload(t: DerivedTables) -> DataFrame:
     """Every column of the events by way of the JSON text."""
     as_of = F.lit(PUBLISH_AS_OF).cast("timestamp_ntz")
-    events = t.match_events_since(recent_since(as_of))
+    events = t.match_events_since(recent_since(as_of), for_review=True)
     return payload(recent_events(events, as_of)).select("key", F.from_json("value", events.schema).alias("v")).select("key", "v.*")
 
 
@@ -438,7 +438,7 @@ def publish_payload(t: DerivedTables) -> DataFrame:
 def publish_status(t: DerivedTables) -> DataFrame:
     """Publish to a file sink; the number of events sent comes from the write itself."""
     as_of = F.lit(PUBLISH_AS_OF).cast("timestamp_ntz")
-    sent = publish(t.match_events_since(recent_since(as_of)), {"path": t.workspace.path("published")}, as_of, sink="json")
+    sent = publish(t.match_events_since(recent_since(as_of), for_review=True), {"path": t.workspace.path("published")}, as_of, sink="json")
     received = t.spark.read.schema("key string, value string").json(t.workspace.path("published"))
     return received.agg(F.count(F.lit(1)).alias("received")).select(
         F.lit(sent.status).alias("status"), F.lit(sent.events).cast("long").alias("events"), "received"
