@@ -4,7 +4,8 @@ import re
 
 import pytest
 
-from docmeld.operators.blocking import MEMBER_RULES, candidate_pairs, hot_blocks
+from docmeld.operators.blocking import MEMBER_RULES, candidate_pairs, hot_blocks, pair_layout
+from docmeld.plans import derived, registry
 from docmeld.plans.registry import QUERIES
 from docmeld.sources.tables import dealt
 from docmeld.workspace import Workspace
@@ -51,3 +52,15 @@ def test_hot_keys_are_not_brought_together_to_be_looked_up(spark):
             assert sorted(map(tuple, pairs.select("l_doc_id", "r_member_id").collect())) == expected
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_candidates_are_dealt_as_ids_and_anchors(spark, sf_dir, monkeypatch):
+    """Rows that are copied to the parts of a block carry no more than a candidate needs."""
+    sides = []
+    monkeypatch.setattr(derived, "pair_layout", lambda w, n, left, right, *a, **k: sides.append((left, right)) or pair_layout(w, n, left, right, *a, **k))
+    t = derived.DerivedTables(spark, sf_dir)
+    found = registry.candidate_pairs_member(t)
+    assert [set(x.columns) for x in sides[0]] == [{"doc_id", "ssn4", "dob"}, {"member_id", "ssn4", "dob"}]
+    whole = t.member_candidates.select("l_doc_id", "r_member_id")
+    assert found.count() == whole.count() > 0
+    assert found.exceptAll(whole).isEmpty()
